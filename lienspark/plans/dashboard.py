@@ -23,13 +23,6 @@ def selected(rows: DataFrame, year: int, states: Sequence[str]) -> DataFrame:
     return rows.where((F.col("data_year") == year) & F.col("state_name").isin(list(states)))
 
 
-def state_codes(states: DataFrame, names: Sequence[str]) -> list[str]:
-    """Codes of the named states from the lookup, for filters on the partition key."""
-    return [
-        row.state_code for row in states.where(F.col("state_name").isin(list(names))).collect()
-    ]
-
-
 def filter_choices(summary: DataFrame) -> dict[str, DataFrame]:
     """What the two filters offer."""
     return {"years": years(summary), "state_names": state_names(summary)}

@@ -74,3 +74,14 @@ def by_segment_and_type(
     return fact.where(
         F.col("risk_segment").isin(list(segments)) & F.col("loan_type_name").isin(list(loan_types))
     )
+
+
+def in_states(fact: DataFrame, states: DataFrame, year: int, names: Sequence[str]) -> DataFrame:
+    """Loans of one year in the named states.
+
+    ``states`` is the lookup. The names are turned into codes first, because the
+    warehouse is partitioned by code: only those states' folders are read.
+    """
+    codes = states.where(F.col("state_name").isin(list(names))).select("state_code")
+    wanted = [row.state_code for row in codes.limit(len(names)).collect()]
+    return fact.where((F.col("data_year") == year) & F.col("state_code").isin(wanted))
