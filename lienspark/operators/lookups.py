@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # lookup name -> (column of the loan, name of the description in the result)
 LOOKUPS = {
@@ -23,11 +24,10 @@ def describe(
 
     The seeds carry their own broadcast mark, so the loans are not shuffled.
     """
+    keys = []
     for name in names:
         code, description = LOOKUPS[name]
-        key, text = seeds[name].columns
-        renamed = seeds[name].toDF(f"{name}__key", description)
-        loans = loans.join(renamed, loans[code] == renamed[f"{name}__key"], "left").drop(
-            f"{name}__key"
-        )
-    return loans
+        keys.append(f"{name}__key")
+        renamed = seeds[name].toDF(keys[-1], description)
+        loans = loans.join(renamed, F.expr(f"{code} = {keys[-1]}"), "left")
+    return loans.drop(*keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lienspark.functions import text_to_double, text_to_integer
@@ -42,14 +42,13 @@ def originated_number(register: DataFrame) -> DataFrame:
 def cast_loans(register: DataFrame) -> DataFrame:
     """Register types for the register's columns; others pass through."""
 
-    def typed(name: str):
+    def typed(name: str) -> Column:
         target = REGISTER_TYPES.get(name, "string")
-        column = F.col(name)
         if target == "string":
-            return column
+            return F.col(name)
         if target == "double":
-            return text_to_double(column).alias(name)
-        return text_to_integer(column, target).alias(name)
+            return text_to_double(name).alias(name)
+        return text_to_integer(name, target).alias(name)
 
     return register.select(*(typed(name) for name in register.columns))
 
@@ -57,7 +56,7 @@ def cast_loans(register: DataFrame) -> DataFrame:
 def cast_money(register: DataFrame) -> DataFrame:
     """Doubles for the four money columns of the exploration set."""
     money = ["loan_amount", "interest_rate", "property_value", "income"]
-    return register.withColumns({name: text_to_double(F.col(name)) for name in money})
+    return register.withColumns({name: text_to_double(name) for name in money})
 
 
 def stamp_year(loans: DataFrame, year: int) -> DataFrame:
@@ -67,16 +66,18 @@ def stamp_year(loans: DataFrame, year: int) -> DataFrame:
 
 def available(loans: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The load columns a frame has, in load order."""
-    return loans.select(*keep, *(name for name in LOAD_COLUMNS if name in loans.columns))
+    present = loans.columns
+    return loans.select(*keep, *(name for name in LOAD_COLUMNS if name in present))
 
 
 def zero_codes(loans: DataFrame) -> DataFrame:
     """Missing codes and years as 0, whole numbers."""
+    present = loans.columns
     return loans.withColumns(
         {
-            name: F.coalesce(F.col(name), F.lit(0)).cast("int")
+            name: F.expr(f"CAST(coalesce({name}, 0) AS int)")
             for name in CODE_COLUMNS
-            if name in loans.columns
+            if name in present
         }
     )
 
@@ -85,7 +86,7 @@ def zero_income(loans: DataFrame) -> DataFrame:
     """Missing income as 0, cut to a whole number."""
     if "income" not in loans.columns:
         return loans
-    return loans.withColumn("income", F.coalesce(F.col("income"), F.lit(0)).cast("bigint"))
+    return loans.withColumn("income", F.expr("CAST(coalesce(income, 0) AS bigint)"))
 
 
 def upper_names(loans: DataFrame) -> DataFrame:

@@ -9,6 +9,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# The JVM runs a method above this many bytes of code interpreted. A wide row can
+# make Spark generate one; with this as its limit Spark generates smaller parts.
+COMPILED_METHOD_BYTES = "8000"
+
 _local_folders: dict[str, str] = {}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lienspark.operators.layout import cluster_by, gather_by
 from lienspark.schemas import PARTITION_KEYS
-from lienspark.settings import session_conf
+from lienspark.settings import COMPILED_METHOD_BYTES, session_conf
 
 TARGET_FILE_BYTES = "256m"
 
@@ -30,6 +30,7 @@ def write_by_state(loans: DataFrame, path: str, gather: bool = True) -> DataFram
         spark,
         spark__sql__adaptive__enabled="true",
         spark__sql__adaptive__advisoryPartitionSizeInBytes=TARGET_FILE_BYTES,
+        spark__sql__codegen__hugeMethodLimit=COMPILED_METHOD_BYTES,
     ):
         (
             rows.write.mode("overwrite")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.schemas import PARTITION_KEYS, WAREHOUSE_TYPES
-from lienspark.settings import session_conf
+from lienspark.settings import COMPILED_METHOD_BYTES, session_conf
 
 TABLE_BLOOM_COLUMN = "lei"
 
@@ -43,7 +43,11 @@ def replace_year(loans: DataFrame, table: str, year: int) -> None:
             for name in names
         )
     )
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="STATIC"):
+    with session_conf(
+        spark,
+        spark__sql__sources__partitionOverwriteMode="STATIC",
+        spark__sql__codegen__hugeMethodLimit=COMPILED_METHOD_BYTES,
+    ):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} "
             f"PARTITION (data_year = {int(year)}, state_code) SELECT * FROM {{loans}}",

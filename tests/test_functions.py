@@ -29,7 +29,7 @@ def both_ways(spark, texts, kind):
     with session_conf(spark, spark__sql__ansi__enabled="true"):
         ours = [
             r[0]
-            for r in frame.orderBy("i").select(text_to_integer(F.col("v"), kind)).collect()
+            for r in frame.orderBy("i").select(text_to_integer("v", kind)).collect()
         ]
     with session_conf(spark, spark__sql__ansi__enabled="false"):
         plain = [r[0] for r in frame.orderBy("i").select(F.col("v").cast(kind)).collect()]
@@ -62,7 +62,7 @@ def test_known_integer_casts(spark):
 
 def test_double_cast(spark):
     frame = spark.createDataFrame([("5.25",), ("NA",), ("Exempt",), ("",), (None,)], "v string")
-    values = [r[0] for r in frame.select(text_to_double(F.col("v"))).collect()]
+    values = [r[0] for r in frame.select(text_to_double("v")).collect()]
     assert values == [5.25, None, None, None, None]
 
 
