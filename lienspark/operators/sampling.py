@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 10_000
 # 16 to this power times the sample size is more rows than any table has.
 MAX_ZEROS = 12
+HASH_DIGITS = 32
 
 
 def sample_quality(fact: DataFrame) -> DataFrame:
@@ -38,12 +39,12 @@ def random_rows(
     aggregated row. Only rows with as many zeros as still leave n of them are
     sorted: about 16 n rows at most, and the same result as without.
     """
-    key = F.col(id_column).cast("string")
+    key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
     if not reproducible:
         salt = str(secrets.randbits(63) if seed is None else seed)
         key = F.concat(F.lit(salt + ":"), key)
     hashed = F.md5(key)
-    zeros = F.length(hashed) - F.length(F.ltrim(hashed, F.lit("0")))
+    zeros = HASH_DIGITS - F.length(F.ltrim(hashed, F.lit("0")))
 
     enough = (F.when(F.count_if(zeros >= k) >= n, k) for k in range(1, MAX_ZEROS + 1))
     cut = rows.agg(F.greatest(F.lit(0), *enough).alias("cut"))

@@ -65,10 +65,15 @@ def matched_spread(loans: DataFrame) -> DataFrame:
 
 
 def explore(
-    register: DataFrame, rates: DataFrame, keep: Sequence[str] = ()
+    register: DataFrame,
+    rates: DataFrame,
+    keep: Sequence[str] = (),
+    view: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Every frame of the exploration."""
+    """Every frame of the exploration; ``view`` names the loans for SQL of one's own."""
     loans = explore_loans(register, keep)
+    if view:
+        loans.createOrReplaceTempView(view)
     joined = join_benchmark_rounded(loans, rates)
     return {
         "loans": loans,

@@ -38,6 +38,7 @@ def load_year(
     income_to_zero: bool = True,
     gather: bool = False,
     location: str | None = None,
+    batch_rows: int | None = None,
 ) -> None:
     """Replace ``year`` in the warehouse table with the rows of ``staging``.
 
@@ -53,4 +54,4 @@ def load_year(
     loans = add_surrogate_id(loans, year_start(year)).withColumn(
         "loaded_at", F.current_timestamp()
     )
-    replace_year(loans, table, year)
+    replace_year(loans, table, year, batch_rows)

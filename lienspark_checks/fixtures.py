@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lienspark.operators.shaping import available, zero_codes, zero_income
 from lienspark.plans.enrich import enrich
 from lienspark.plans.ingest import clean_loans
-from lienspark.plans.marts import loan_fact
+from lienspark.plans.marts import SUMMARY_LOOKUPS, loan_fact
 from lienspark.sources.seeds import builtin_seeds
 
 # Choices are array lookups, not long CASE chains: the whole register then stays
@@ -102,3 +102,8 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str, dti_scale: float = 1) -> DataFrame:
     return loan_fact(staged(spark, sf_dir), builtin_seeds(spark), dti_scale)
+
+
+def summary_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with only the descriptions that summary and sample show."""
+    return loan_fact(staged(spark, sf_dir), builtin_seeds(spark), lookups=SUMMARY_LOOKUPS)

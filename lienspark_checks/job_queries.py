@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lienspark.operators.shaping import available, zero_codes
 from lienspark.operators.surrogate import add_surrogate_id, year_start
 from lienspark.plans.dashboard import dashboard_frames
 from lienspark.plans.enrich import enrich_year
@@ -350,7 +349,7 @@ def job5(spark, sf_dir):
     """Totals of the dashboard's frames beside each other."""
     frames = dashboard_frames(
         summary_of(spark, sf_dir),
-        loan_sample(fixtures.fact(spark, sf_dir), reproducible=True),
+        loan_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True),
         YEAR,
         STATES,
     )

@@ -58,7 +58,7 @@ def rounded_summary(summary: DataFrame) -> DataFrame:
 
 
 def summary_of(spark, sf_dir) -> DataFrame:
-    return risk_summary(fixtures.fact(spark, sf_dir))
+    return risk_summary(fixtures.summary_fact(spark, sf_dir))
 
 
 # Fact and aggregates
@@ -222,7 +222,7 @@ def srt3(spark, sf_dir):
 
 @registered("srt4_loan_sample", after(f"SELECT {rounded_sql(SAMPLE_COLUMNS)} FROM sample"))
 def srt4(spark, sf_dir):
-    return rounded(loan_sample(fixtures.fact(spark, sf_dir), reproducible=True))
+    return rounded(loan_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True))
 
 
 @registered(
@@ -231,7 +231,7 @@ def srt4(spark, sf_dir):
 )
 def srt4_small(spark, sf_dir):
     """A sample far smaller than the table, so that the limit binds."""
-    fit = sample_quality(fixtures.fact(spark, sf_dir))
+    fit = sample_quality(fixtures.summary_fact(spark, sf_dir))
     return random_rows(fit, 100, reproducible=True).select("id", "income")
 
 
@@ -241,7 +241,7 @@ def srt4_small(spark, sf_dir):
 )
 def srt4_seeded(spark, sf_dir):
     """The seeded draw differs between engines; its size and distinct ids do not."""
-    fit = sample_quality(fixtures.fact(spark, sf_dir))
+    fit = sample_quality(fixtures.summary_fact(spark, sf_dir))
     return random_rows(fit, seed=7).agg(
         F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids")
     )
@@ -305,7 +305,7 @@ def dq2_summary(spark, sf_dir):
 )
 def dq2_sample(spark, sf_dir):
     return not_null_failures(
-        loan_sample(fixtures.fact(spark, sf_dir), reproducible=True),
+        loan_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True),
         ["income", "interest_rate_spread", "state_name"],
     )
 
@@ -348,7 +348,7 @@ def dq4(spark, sf_dir):
     ),
 )
 def doc1(spark, sf_dir):
-    return documented.high_risk_by_state(fixtures.fact(spark, sf_dir))
+    return documented.high_risk_by_state(fixtures.summary_fact(spark, sf_dir))
 
 
 @registered(
@@ -359,7 +359,7 @@ def doc1(spark, sf_dir):
     ),
 )
 def doc2(spark, sf_dir):
-    trend = documented.ltv_beside_benchmark(fixtures.fact(spark, sf_dir))
+    trend = documented.ltv_beside_benchmark(fixtures.summary_fact(spark, sf_dir))
     return trend.withColumns({name: F.round(name, 6) for name in ("avg_ltv", "mkt_benchmark")})
 
 
@@ -372,7 +372,7 @@ def doc2(spark, sf_dir):
     ),
 )
 def doc3(spark, sf_dir):
-    return documented.segment_shares(fixtures.fact(spark, sf_dir))
+    return documented.segment_shares(fixtures.summary_fact(spark, sf_dir))
 
 
 @registered(
@@ -383,7 +383,7 @@ def doc3(spark, sf_dir):
     ),
 )
 def doc4(spark, sf_dir):
-    means = documented.ratio_kpis(fixtures.fact(spark, sf_dir))
+    means = documented.ratio_kpis(fixtures.summary_fact(spark, sf_dir))
     return means.withColumns({name: F.round(name, 6) for name in means.columns})
 
 
@@ -392,7 +392,7 @@ def doc4(spark, sf_dir):
     after("SELECT risk_segment, count(*) AS loan_count FROM fact GROUP BY 1"),
 )
 def doc5(spark, sf_dir):
-    return documented.segment_distribution(fixtures.fact(spark, sf_dir))
+    return documented.segment_distribution(fixtures.summary_fact(spark, sf_dir))
 
 
 @registered(
@@ -412,7 +412,7 @@ def doc6(spark, sf_dir):
     ),
 )
 def doc7(spark, sf_dir):
-    return documented.ltv_dti_sample(fixtures.fact(spark, sf_dir), reproducible=True)
+    return documented.ltv_dti_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True)
 
 
 @registered(

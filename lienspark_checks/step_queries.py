@@ -43,6 +43,7 @@ from lienspark.plans.explore import (
     matched_spread,
     unmatched,
 )
+from lienspark.plans.marts import loan_sample
 from lienspark.schemas import (
     EXPLORE_COLUMNS,
     LOAD_COLUMNS,
@@ -279,7 +280,7 @@ def flt2(spark, sf_dir):
 
 @registered("flt3_sample_quality", after("SELECT id, income FROM quality"))
 def flt3(spark, sf_dir):
-    return sample_quality(fixtures.fact(spark, sf_dir)).select("id", "income")
+    return sample_quality(fixtures.summary_fact(spark, sf_dir)).select("id", "income")
 
 
 HIGH_DTI_SQL = (
@@ -309,7 +310,7 @@ def flt4(spark, sf_dir):
     ),
 )
 def flt5(spark, sf_dir):
-    summary = risk_summary(fixtures.fact(spark, sf_dir))
+    summary = risk_summary(fixtures.summary_fact(spark, sf_dir))
     return selected(summary, YEAR, STATES).select(
         "data_year", "state_code", "state_name", "risk_segment", "loan_purpose_name", "loan_count"
     )
@@ -323,9 +324,7 @@ def flt5(spark, sf_dir):
     ),
 )
 def flt5_sample(spark, sf_dir):
-    from lienspark.plans.marts import loan_sample
-
-    sample = loan_sample(fixtures.fact(spark, sf_dir), reproducible=True)
+    sample = loan_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True)
     return rounded(selected(sample, YEAR, STATES))
 
 
@@ -364,7 +363,7 @@ def flt9(spark, sf_dir):
     ),
 )
 def flt10(spark, sf_dir):
-    return heatmap(risk_summary(fixtures.fact(spark, sf_dir)), YEAR)
+    return heatmap(risk_summary(fixtures.summary_fact(spark, sf_dir)), YEAR)
 
 
 # Functions

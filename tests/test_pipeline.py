@@ -78,10 +78,11 @@ def test_explore_frames(spark):
     from lienspark.sources.register import read_register_inferred
 
     register = read_register_inferred(spark, write_register(spark, SF_DIR))
-    frames = explore(register, fixtures.rates(spark, SF_DIR), keep=["k"])
+    frames = explore(register, fixtures.rates(spark, SF_DIR), keep=["k"], view="explored")
     total = frames["n_loans"].first().n_loans
     missing = frames["n_unmatched"].first().n_unmatched
     assert total == frames["loans"].count()
+    assert spark.sql("SELECT count(*) FROM explored").first()[0] == total
     assert frames["unmatched"].count() == missing > 0
     assert frames["spread"].count() == total - missing
     amounts = [row.loan_amount for row in frames["high_rate_high_dti"].collect()]

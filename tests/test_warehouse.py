@@ -71,6 +71,15 @@ def test_loading_the_same_year_again_changes_nothing(spark, table):
     assert spark.table(table).drop("loaded_at").orderBy("id").collect() == first
 
 
+def test_batches_become_files(spark, table):
+    rows = staging(spark, *(loan("CA") for _ in range(10))).coalesce(1)
+    load_year(rows, table, 2023, batch_rows=4)
+    assert len(spark.table(table).inputFiles()) == 3
+    load_year(rows, table, 2023)
+    assert len(spark.table(table).inputFiles()) == 1
+    assert spark.table(table).agg(F.count_distinct("id")).first()[0] == 10
+
+
 def test_odd_states_keep_their_place(spark, table):
     load_year(staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0)), table, 2023)
     assert contents(spark, table) == {(2023, "NA"): 1.0, (2023, None): 2.0, (2023, "A/'"): 3.0}
