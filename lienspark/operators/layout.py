@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+# For the session around the action that runs a gathered frame.
+GATHER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
 
 
 def gather_by(rows: DataFrame, *columns: str) -> DataFrame:
@@ -18,11 +23,11 @@ def gather_by(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.hint("rebalance", *columns)
 
 
-def cluster_by(rows: DataFrame, keys: Sequence[str], spread_by: str) -> DataFrame:
-    """Order rows by ``keys`` over tasks and within them.
+def cluster_by(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows gathered by ``keys`` and ordered by them within each task.
 
-    ``spread_by``, a column unique per row, is hashed into the range key: rows
-    with equal keys can then be cut over several tasks.
+    Every task then holds few keys, so the minimum and maximum a file keeps of
+    them are narrow. Unlike a range partitioning this needs no pass to sample the
+    keys and no number of tasks, and it can cut a key that is too large for one.
     """
-    spread = F.xxhash64(spread_by)
-    return rows.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
+    return gather_by(rows, *keys).sortWithinPartitions(*keys)

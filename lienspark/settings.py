@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -12,17 +12,17 @@ from pyspark.sql import SparkSession
 # The JVM runs a method above this many bytes of code interpreted. A wide row can
 # make Spark generate one; with this as its limit Spark generates smaller parts.
 COMPILED_METHOD_BYTES = "8000"
+WIDE_ROW_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": COMPILED_METHOD_BYTES}
 
 _local_folders: dict[str, str] = {}
 
 
 @contextmanager
-def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Set SQL options (``a__b`` stands for ``a.b``) and put the old ones back."""
-    wanted = {key.replace("__", "."): value for key, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in wanted}
+def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Set SQL options and put the old ones back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
-        for key, value in wanted.items():
+        for key, value in settings.items():
             spark.conf.set(key, value)
         yield
     finally:

@@ -7,11 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lienspark.operators.layout import cluster_by, gather_by
+from lienspark.operators.layout import GATHER_SETTINGS, cluster_by, gather_by
 from lienspark.schemas import PARTITION_KEYS
-from lienspark.settings import COMPILED_METHOD_BYTES, session_conf
-
-TARGET_FILE_BYTES = "256m"
+from lienspark.settings import WIDE_ROW_SETTINGS, session_conf
 
 
 def write_by_state(loans: DataFrame, path: str, gather: bool = True) -> DataFrame:
@@ -26,12 +24,7 @@ def write_by_state(loans: DataFrame, path: str, gather: bool = True) -> DataFram
     report = Observation(f"write-{uuid.uuid4().hex}")
     rows = gather_by(loans, "state_code") if gather else loans
     rows = rows.observe(report, F.count(F.lit(1)).alias("rows_loaded"))
-    with session_conf(
-        spark,
-        spark__sql__adaptive__enabled="true",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes=TARGET_FILE_BYTES,
-        spark__sql__codegen__hugeMethodLimit=COMPILED_METHOD_BYTES,
-    ):
+    with session_conf(spark, GATHER_SETTINGS | WIDE_ROW_SETTINGS):
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -52,15 +45,15 @@ def publish_year(loans: DataFrame, root: str, year: int, gather: bool = True) ->
 
 def write_rates(rates: DataFrame, path: str) -> None:
     """The rate series with microsecond timestamps."""
-    with session_conf(
-        rates.sparkSession, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"
-    ):
+    microseconds = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+    with session_conf(rates.sparkSession, microseconds):
         rates.write.mode("overwrite").parquet(path)
 
 
-def write_clustered(loans: DataFrame, path: str, spread_by: str = "id") -> None:
-    """Files ordered by year and state, so a filter on them skips row groups."""
-    cluster_by(loans, PARTITION_KEYS, spread_by).write.mode("overwrite").parquet(path)
+def write_clustered(loans: DataFrame, path: str) -> None:
+    """Files of few years and states each, so a filter on them skips most of them."""
+    with session_conf(loans.sparkSession, GATHER_SETTINGS | WIDE_ROW_SETTINGS):
+        cluster_by(loans, *PARTITION_KEYS).write.mode("overwrite").parquet(path)
 
 
 def count_files(spark: SparkSession, path: str) -> int:

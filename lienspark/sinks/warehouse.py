@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lienspark.operators.layout import GATHER_SETTINGS
 from lienspark.schemas import PARTITION_KEYS, WAREHOUSE_TYPES
-from lienspark.settings import COMPILED_METHOD_BYTES, session_conf
+from lienspark.settings import WIDE_ROW_SETTINGS, session_conf
 
 TABLE_BLOOM_COLUMN = "lei"
 
@@ -46,12 +47,11 @@ def replace_year(
             for name in names
         )
     )
-    with session_conf(
-        spark,
-        spark__sql__sources__partitionOverwriteMode="STATIC",
-        spark__sql__codegen__hugeMethodLimit=COMPILED_METHOD_BYTES,
-        spark__sql__files__maxRecordsPerFile=str(batch_rows or 0),
-    ):
+    settings = {
+        "spark.sql.sources.partitionOverwriteMode": "STATIC",
+        "spark.sql.files.maxRecordsPerFile": str(batch_rows or 0),
+    }
+    with session_conf(spark, settings | GATHER_SETTINGS | WIDE_ROW_SETTINGS):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} "
             f"PARTITION (data_year = {int(year)}, state_code) SELECT * FROM {{loans}}",

@@ -11,9 +11,7 @@ from lienspark.settings import session_conf
 
 def read_loans(spark: SparkSession, path: str) -> DataFrame:
     """Loans partitioned by state; the state stays text whatever it looks like."""
-    with session_conf(
-        spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"
-    ):
+    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
         return spark.read.parquet(path)
 
 

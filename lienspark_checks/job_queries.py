@@ -12,7 +12,7 @@ from lienspark.plans.explore import explore
 from lienspark.plans.ingest import ingest_loans
 from lienspark.plans.load import load_year
 from lienspark.plans.marts import build_marts, loan_sample
-from lienspark.plans.pipeline import run_year
+from lienspark.plans.yearly import run_year
 from lienspark.schemas import REGISTER_COLUMNS, REGISTER_TYPES
 from lienspark.settings import fresh_path
 from lienspark.sinks.lake import publish_year, write_by_state, write_clustered, write_rates

@@ -26,12 +26,12 @@ TEXTS = [
 def both_ways(spark, texts, kind):
     """What our cast gives under ANSI, and what a plain cast gives without it."""
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
-    with session_conf(spark, spark__sql__ansi__enabled="true"):
+    with session_conf(spark, {"spark.sql.ansi.enabled": "true"}):
         ours = [
             r[0]
             for r in frame.orderBy("i").select(text_to_integer("v", kind)).collect()
         ]
-    with session_conf(spark, spark__sql__ansi__enabled="false"):
+    with session_conf(spark, {"spark.sql.ansi.enabled": "false"}):
         plain = [r[0] for r in frame.orderBy("i").select(F.col("v").cast(kind)).collect()]
     return ours, plain
 

@@ -88,7 +88,7 @@ def test_rates_are_written_in_microseconds(spark):
 
     path = fresh_path(spark, "rates")
     rows = [(datetime(2000, 1, 1, 0, 0, 0, 123456), 2.0)]
-    with session_conf(spark, spark__sql__parquet__outputTimestampType="INT96"):
+    with session_conf(spark, {"spark.sql.parquet.outputTimestampType": "INT96"}):
         write_rates(
             spark.createDataFrame(rows, "observation_date timestamp, fed_rate double"), path
         )
@@ -157,7 +157,7 @@ def test_shared_folder_is_the_named_one(spark):
 def test_session_conf_puts_values_back(spark):
     spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     with pytest.raises(RuntimeError):
-        with session_conf(spark, spark__sql__sources__partitionOverwriteMode="DYNAMIC"):
+        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "DYNAMIC"}):
             assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "DYNAMIC"
             raise RuntimeError
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"

@@ -3,7 +3,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from lienspark.operators.layout import gather_by
+from lienspark.operators.layout import GATHER_SETTINGS, gather_by
 from lienspark.operators.surrogate import YEAR_SHIFT, add_surrogate_id, year_start
 from lienspark.plans.load import load_year, shape_for_load
 from lienspark.schemas import LOAD_COLUMNS, WAREHOUSE_TYPES
@@ -12,6 +12,8 @@ from lienspark.sinks.lake import count_files, publish_year, write_by_state, writ
 from lienspark.sinks.warehouse import create_loan_table, partition_keys
 from lienspark.sources.lake import read_loans
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 STAGING = """
     activity_year int, lei string, state_code string, loan_type smallint, loan_purpose smallint,
     occupancy_type smallint, lien_status smallint, loan_amount double, income int, yr int
@@ -56,7 +58,7 @@ def test_year_is_replaced_whole(spark, table):
 
 
 def test_year_is_replaced_whole_in_a_dynamic_session(spark, table):
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="DYNAMIC"):
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "DYNAMIC"}):
         load_year(staging(spark, loan("CA"), loan("TX")), table, 2023)
         load_year(staging(spark, loan("CA")), table, 2023)
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "DYNAMIC"
@@ -176,7 +178,7 @@ def test_publishing_replaces_the_year_folder_only(spark):
 
 def test_publishing_in_a_dynamic_session(spark):
     root = fresh_path(spark, "root")
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="DYNAMIC"):
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "DYNAMIC"}):
         publish_year(staging(spark, loan("CA"), loan("TX")), root, 2023)
         publish_year(staging(spark, loan("CA")), root, 2023)
     assert {r.state_code for r in read_loans(spark, f"{root}/2023").collect()} == {"CA"}
@@ -191,7 +193,7 @@ def test_report_of_a_write(spark):
 
 
 def test_hot_state_is_cut_and_small_ones_are_not_scattered(spark, monkeypatch):
-    monkeypatch.setattr("lienspark.sinks.lake.TARGET_FILE_BYTES", "64k")
+    monkeypatch.setitem(GATHER_SETTINGS, ADVISORY, "64k")
     path = fresh_path(spark, "skewed")
     rows = spark.range(0, 300_000, 1, 16).select(
         F.xxhash64("id").alias("k"),
@@ -211,26 +213,21 @@ def test_gathering_uses_one_rebalance(spark, plan_of):
     assert plan_of(gather_by(rows, "state_code")).count("REBALANCE_PARTITIONS_BY_COL") >= 1
 
 
-def test_clustered_files_cut_a_hot_state(spark):
+def test_clustered_files_are_narrow_and_cut_a_hot_state(spark, monkeypatch):
+    monkeypatch.setitem(GATHER_SETTINGS, ADVISORY, "64k")
     path = fresh_path(spark, "clustered")
-    rows = spark.range(0, 60_000, 1, 8).select(
-        "id",
+    rows = spark.range(0, 120_000, 1, 16).select(
+        F.xxhash64("id").alias("id"),
         F.lit(2023).alias("data_year"),
         F.when(F.col("id") % 3 > 0, "CA").otherwise("TX").alias("state_code"),
     )
-    with session_conf(
-        spark,
-        spark__sql__adaptive__coalescePartitions__enabled="false",
-        spark__sql__shuffle__partitions="8",
-    ):
-        write_clustered(rows, path)
+    write_clustered(rows, path)
     per_file = (
         spark.read.parquet(path)
-        .withColumn("file", F.input_file_name())
-        .groupBy("file")
-        .agg(F.count("*").alias("n"), F.min("state_code").alias("lo"), F.max("state_code").alias("hi"))
+        .groupBy(F.input_file_name().alias("file"))
+        .agg(F.count("*").alias("n"), F.count_distinct("state_code").alias("states"))
         .collect()
     )
-    assert len(per_file) == 8
-    assert max(row.n for row in per_file) < 15_000
-    assert sum(row.lo != row.hi for row in per_file) <= 1
+    assert sum(row.n for row in per_file) == 120_000
+    assert max(row.n for row in per_file) < 40_000
+    assert sum(row.states > 1 for row in per_file) <= 1

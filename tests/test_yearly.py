@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lienspark.operators.quality import DataTestFailure
 from lienspark.plans.explore import explore
-from lienspark.plans.pipeline import run_year
+from lienspark.plans.yearly import run_year
 from lienspark.settings import fresh_path
 from lienspark.sinks.lake import write_rates
 from lienspark_checks import fixtures
