@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,24 +39,20 @@ def accepted_values_failures(
 ) -> DataFrame:
     """Values outside the accepted ones per column, in one pass; NULL passes.
 
-    A row contributes only the columns that fail, so clean data shuffles nothing.
+    Rows without a failure are filtered out before anything is made of them, so
+    clean data shuffles nothing.
     """
-    failing = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    ~F.col(name).isin(list(values)),
-                    F.struct(
-                        F.lit(name).alias("column_name"),
-                        F.col(name).cast("string").alias("value"),
-                    ),
-                )
-                for name, values in accepted.items()
-            )
+    outside = {name: ~F.col(name).isin(list(values)) for name, values in accepted.items()}
+    failing = (
+        F.when(
+            fails,
+            F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")),
         )
+        for name, fails in outside.items()
     )
     return (
-        rows.select(F.inline(failing))
+        rows.where(reduce(or_, outside.values()))
+        .select(F.inline(F.array_compact(F.array(*failing))))
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n_rows"))
     )

@@ -264,7 +264,7 @@ def srt5(spark, sf_dir):
     after("SELECT id, count(*) AS n_rows FROM fact GROUP BY 1 HAVING count(*) > 1"),
 )
 def dq1(spark, sf_dir):
-    return unique_failures(fixtures.fact(spark, sf_dir), "id")
+    return unique_failures(fixtures.summary_fact(spark, sf_dir), "id")
 
 
 @registered(
@@ -276,7 +276,7 @@ def dq1(spark, sf_dir):
 )
 def dq1_lender(spark, sf_dir):
     """The same test on a column that repeats, so that it has failures to show."""
-    return unique_failures(fixtures.fact(spark, sf_dir), "lei")
+    return unique_failures(fixtures.summary_fact(spark, sf_dir), "lei")
 
 
 def _nulls(table: str, *columns: str) -> str:
@@ -327,7 +327,7 @@ def dq3(spark, sf_dir):
 def dq4(spark, sf_dir):
     """One value too few is accepted, so that the test has failures to show."""
     return accepted_values_failures(
-        fixtures.fact(spark, sf_dir),
+        fixtures.summary_fact(spark, sf_dir),
         {
             "risk_segment": ["Low", "High"],
             "cost_category": ["High Cost", "Market/Subsidized"],
