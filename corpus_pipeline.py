@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lienspark.llm import near_dup, quality
+from lienspark.llm import decontaminate, near_dup, pii, quality
 from lienspark.llm.io import written
 from lienspark.llm.registry import read
 
@@ -25,9 +25,21 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return near_dup.keep(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the folder's benchmark."""
+    return decontaminate.keep(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in the text."""
+    return pii.redact(docs, pii.train(docs))
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("near duplicates", near_dup_stage),
+    ("decontamination", decontamination_stage),
+    ("personal data", pii_stage),
 ]
 
 

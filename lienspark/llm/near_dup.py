@@ -256,9 +256,11 @@ def keep(docs: DataFrame) -> DataFrame:
     Rows without an id or text have no copies and stay.
     """
     dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("copy")).distinct()
-    left = docs.join(dropped, docs.doc_id == dropped.copy, "left_anti")
-    nameless = left.where("doc_id IS NULL")
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(nameless)
+    # Rows without an id are told apart by a number, so that all of them stay.
+    number = "row" + "_" * max(map(len, docs.columns))
+    numbered = docs.withColumn(number, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    left = numbered.join(dropped, numbered.doc_id == dropped.copy, "left_anti")
+    return left.dropDuplicates(["doc_id", number]).drop(number)
 
 
 @registered("op4_minhash_near_dedup")
