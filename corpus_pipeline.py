@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lienspark.llm import decontaminate, near_dup, pii, quality
+from lienspark.llm import decontaminate, mixing, near_dup, pii, quality
 from lienspark.llm.io import written
 from lienspark.llm.registry import read
 
@@ -35,11 +35,17 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs, pii.train(docs))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words the mix takes of each document that is left."""
+    return mixing.mix_sources(docs)
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("near duplicates", near_dup_stage),
     ("decontamination", decontamination_stage),
     ("personal data", pii_stage),
+    ("mixing", mixing_stage),
 ]
 
 

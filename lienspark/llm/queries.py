@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from lienspark.llm import decontaminate, near_dup, pii, quality  # noqa: F401
+from lienspark.llm import decontaminate, line_rules, mixing, near_dup, pii, quality  # noqa: F401
 from lienspark.llm.registry import ORACLES, QUERIES  # noqa: F401
