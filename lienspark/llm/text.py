@@ -116,15 +116,24 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def gram_hashes(items: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every ``size`` consecutive 64-bit items, by their first position."""
-    n = len(items) - size + 1
-    if n <= 0:
+    """A hash of every ``size`` consecutive 64-bit items, by their first position.
+
+    The hash of a + b items is put together from those of a and of b items, so the
+    work grows with the logarithm of ``size``.
+    """
+    if len(items) < size:
         return np.empty(0, np.uint64)
-    total = items[:n].copy()
-    for k in range(1, size):
-        total *= STEP
-        total += items[k : k + n]
-    return mix(total)
+    total, done = None, 0
+    part, width, power = items, 1, STEP
+    while True:
+        if size & width:
+            total = part.copy() if total is None else total[: len(part) - done] * power + part[done:]
+            done += width
+        if done == size:
+            return mix(total[: len(items) - size + 1])
+        n = len(part) - width
+        part, width = part[:n] * power + part[width:], width * 2
+        power = np.uint64(int(power) ** 2 % 2**64)
 
 
 def inside(bounds: np.ndarray, size: int, n: int) -> np.ndarray:
