@@ -13,10 +13,12 @@ similarity as the chance, so registers are grouped in bands.
 
 Texts with equal words are collapsed first; their copies get the class of the
 first id. In a band's bucket every document is tested against the bucket's first
-one; after that only buckets that still hold several classes are compared further,
-and only documents of different classes whose registers agree often enough. So a
-large group of copies never becomes pairs, and no link between classes is lost
-beyond what banding itself can miss (5e-5 at a similarity of 0.8, less above).
+one. What is left are buckets that still hold several classes: there each document
+outside the bucket's largest class meets all others, in blocks of ``BLOCK_ROWS``
+documents inside which similarities are computed as matrices, and only links
+between classes come out, one for each document and class. So a large group of
+copies never becomes pairs, and no link is lost beyond what banding itself can
+miss (5e-5 at a similarity of 0.8, less above).
 
 Nulls and corner cases: a null text is in a class of its own; texts without a
 word are copies of each other; a null ``doc_id`` gets a null class; rows that
@@ -43,9 +45,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-# Agreeing registers below which two documents are not compared in full: four
-# standard deviations below the threshold.
-AGREEING = int(REGISTERS * SIMILARITY - 4 * (REGISTERS * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
+# Documents of a block, and shingles of a matrix of it.
+BLOCK_ROWS, BLOCK_GRAMS = 512, 4096
+# Rows of blocks in one task.
+SHARD_ROWS = 4096
 RUN_BYTES = 4 << 20
 # Points drawn at once for each shingle when few shingles are left.
 DRAW, FEW = 32, 4096
@@ -188,17 +191,115 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` of ids whose texts are similar enough."""
+def block_links(small: np.ndarray, labels: np.ndarray, rows: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a block between different labels: a document of the smaller classes
+    and any other, the first found for each such document and label.
+
+    ``rows``, ``grams`` and ``counts`` are the block's shingles in order of row and
+    gram; ``small`` are the rows of the documents outside the largest class.
+    """
+    n = len(labels)
+    size = np.bincount(rows, minlength=n)
+    plain = np.bincount(rows, counts > 1, n) == 0
+    order = np.argsort(grams, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = grams[order][1:] != grams[order][:-1]
+    held = np.bincount(np.cumsum(new) - 1) > 1
+    name = np.cumsum(held) - 1
+    shared = held[np.cumsum(new) - 1]
+    row, gram = rows[order][shared], name[(np.cumsum(new) - 1)[shared]]
+    common = np.zeros((len(small), n), np.float32)
+    for low in range(0, int(held.sum()), BLOCK_GRAMS):
+        part = slice(np.searchsorted(gram, low), np.searchsorted(gram, low + BLOCK_GRAMS))
+        matrix = np.zeros((n, BLOCK_GRAMS), np.float32)
+        matrix[row[part], gram[part] - low] = 1
+        common += matrix[small] @ matrix.T
+    jaccard = common / np.maximum(size[small][:, None] + size[None, :] - common, 1)
+    apart = labels[small][:, None] != labels[None, :]
+    sure = plain[small][:, None] & plain[None, :]
+    cuts = np.searchsorted(rows, np.arange(n + 1))
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    # Without repeated shingles both similarities are the same; otherwise the
+    # probability Jaccard is at most the shared part of the larger weight.
+    for a, b in zip(*np.nonzero(apart & sure & (jaccard >= SIMILARITY - 1e-6)), strict=True):
+        found.setdefault((int(small[a]), int(labels[b])), (int(small[a]), int(b)))
+    for a, b in zip(*np.nonzero(apart & ~sure & (common > 0)), strict=True):
+        one = int(small[a])
+        if (one, int(labels[b])) not in found:
+            x, y = slice(cuts[one], cuts[one + 1]), slice(cuts[b], cuts[b + 1])
+            if probability_jaccard(grams[x], counts[x], grams[y], counts[y]) >= SIMILARITY - 1e-9:
+                found[one, int(labels[b])] = (one, int(b))
+    return list(found.values())
+
+
+def _across(key, table):
+    """Links of the blocks of a shard."""
+    ids, labels = table.column("doc_id").to_numpy(), table.column("label").to_numpy()
+    small = table.column("small").to_numpy(zero_copy_only=False)
+    grams, counts = table.column("grams").combine_chunks(), table.column("counts").combine_chunks()
+    offsets, values = grams.offsets.to_numpy(), grams.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    times = counts.values.to_numpy(zero_copy_only=False)
+    bucket, block = table.column("bucket").to_numpy(), table.column("block").to_numpy()
+    order = np.lexsort((ids, block, bucket))
+    turn = np.flatnonzero(np.concatenate(([True], (np.diff(bucket[order]) != 0) | (np.diff(block[order]) != 0), [True])))
+    links = set()
+    for low, high in zip(turn[:-1], turn[1:], strict=True):
+        mine = order[low:high]
+        lengths = offsets[mine + 1] - offsets[mine]
+        flat = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(offsets[mine], lengths)
+        rows = np.repeat(np.arange(len(mine)), lengths)
+        at = np.flatnonzero(small[mine])
+        if len(at) and len(mine) > 1:
+            links |= {
+                (int(min(ids[mine[a]], ids[mine[b]])), int(max(ids[mine[a]], ids[mine[b]])))
+                for a, b in block_links(at, labels[mine], rows, values[flat], times[flat])
+            }
+    a, b = zip(*sorted(links), strict=True) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def weighted_shingles(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The shingles of every document in a pair ``a``, ``b`` of ids."""
     involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    grams = written(
-        docs.join(involved, "doc_id", "left_semi")
-        .mapInArrow(_shingled, "doc_id long, grams array<long>, counts array<int>"),
-        "shingles",
-    )
+    found = docs.join(involved, "doc_id", "left_semi").mapInArrow(_shingled, "doc_id long, grams array<long>, counts array<int>")
+    return written(found.dropDuplicates(["doc_id"]), "shingles")
+
+
+def verified(grams: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` of ids whose texts are similar enough."""
     of_a = grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga"), F.col("counts").alias("wa"))
     of_b = grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb"), F.col("counts").alias("wb"))
-    return written(pairs.join(of_a, "a").join(of_b, "b").mapInArrow(_verified, "a long, b long"), "verified").distinct()
+    return written(pairs.join(of_a, "a").join(of_b, "b").mapInArrow(_verified, "a long, b long"), "verified")
+
+
+def _links_across(members: DataFrame, labels: DataFrame, grams: DataFrame) -> DataFrame | None:
+    """Links between the classes that still share a bucket; None if none does."""
+    labelled = written(
+        members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+            "bucket", "doc_id", F.coalesce("label", "doc_id").alias("label")
+        ),
+        "labelled",
+    )
+    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    mixed = (
+        parts.groupBy(F.col("bucket").alias("of"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.max_by("label", F.struct("n", -F.col("label"))).alias("largest"))
+        .where("labels > 1")
+    )
+    placed = (
+        labelled.join(mixed, labelled.bucket == mixed.of)
+        .withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("small", F.col("label") != F.col("largest"))
+        .withColumn("block", F.explode(F.expr("IF(small, sequence(0, blocks - 1), array(own))")))
+        .select("bucket", "block", "doc_id", "label", "small")
+    )
+    placed = written(placed, "placed")
+    shards = placed.count() // SHARD_ROWS + 1
+    if placed.isEmpty():
+        return None
+    shard = F.pmod(F.xxhash64("bucket", "block"), F.lit(shards)).alias("shard")
+    return written(placed.join(grams, "doc_id").groupBy(shard).applyInArrow(_across, "a long, b long"), "across")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -218,26 +319,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = written(banded.join(heads.select("bucket", "head"), "bucket"), "members")
 
     stars = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = verified(texts, stars)
+    grams = weighted_shingles(texts, stars)
+    links = verified(grams, stars)
     labels = components(links)
-
-    labelled = (
-        members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label"))
-    )
-    labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    mixed = mixed.select("bucket").withColumnRenamed("bucket", "mixed")
-    rest = labelled.join(mixed, labelled.bucket == mixed.mixed).select("bucket", "doc_id", "label")
-    rest = written(rest.join(single, "doc_id"), "rest")
-    if not rest.isEmpty():
-        left = rest.select("bucket", F.col("doc_id").alias("a"), F.col("label").alias("la"), F.col("registers").alias("ra"))
-        right = rest.select("bucket", F.col("doc_id").alias("b"), F.col("label").alias("lb"), F.col("registers").alias("rb"))
-        agreeing = F.size(F.filter(F.zip_with("ra", "rb", lambda x, y: x == y), lambda same: same))
-        across = left.join(
-            right, (left.bucket == right.bucket) & (F.col("la") < F.col("lb")) & (agreeing >= AGREEING)
-        ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = verified(texts, written(across.distinct().join(stars, ["a", "b"], "left_anti"), "across"))
+    more = _links_across(members, labels, grams)
+    if more is not None:
         labels = components(links.union(more))
 
     found = copies.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
