@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # For the session around the action that runs a gathered frame.
 GATHER_SETTINGS = {
@@ -23,11 +24,15 @@ def gather_by(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.hint("rebalance", *columns)
 
 
-def cluster_by(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows gathered by ``keys`` and ordered by them within each task.
+def cluster_by(rows: DataFrame, *keys: str, files: int | None = None) -> DataFrame:
+    """Rows in ranges of ``keys``, ordered by them within each task.
 
-    Every task then holds few keys, so the minimum and maximum a file keeps of
-    them are narrow. Unlike a range partitioning this needs no pass to sample the
-    keys and no number of tasks, and it can cut a key that is too large for one.
+    Every task holds one range, so the minimum and maximum a file keeps of the keys
+    leave out all other ranges. A hash of the row ends the range key: it lets a key
+    with very many rows fall into several tasks. Spark samples the keys first, which
+    reads the rows a second time. ``files`` is the number of ranges, by default that
+    of the shuffle partitions, of which small neighbours are put together.
     """
-    return gather_by(rows, *keys).sortWithinPartitions(*keys)
+    ends = (*keys, F.xxhash64(*rows.columns))
+    ranged = rows.repartitionByRange(files, *ends) if files else rows.repartitionByRange(*ends)
+    return ranged.sortWithinPartitions(*keys)

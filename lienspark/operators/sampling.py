@@ -35,9 +35,10 @@ def random_rows(
 
     Sorting with a limit keeps n rows per task and sends all of them to one
     task, too many at thousands of tasks. A first pass over the id therefore
-    counts the rows whose hash starts with at least 1, 2, 3 … zeros, in one
-    aggregated row. Only rows with as many zeros as still leave n of them are
-    sorted: about 16 n rows at most, and the same result as without.
+    counts the rows by the zeros their hash starts with. Only rows with as many
+    zeros as still leave n of them are sorted: about 16 n rows at most, and the
+    same result as without. Both passes must see the same ids, so ids made on the
+    fly have to be written first.
     """
     key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
     if not reproducible:
@@ -46,6 +47,12 @@ def random_rows(
     hashed = F.md5(key)
     zeros = HASH_DIGITS - F.length(F.ltrim(hashed, F.lit("0")))
 
-    enough = (F.when(F.count_if(zeros >= k) >= n, k) for k in range(1, MAX_ZEROS + 1))
-    cut = rows.agg(F.greatest(F.lit(0), *enough).alias("cut"))
+    counts = rows.groupBy(F.least(zeros, F.lit(MAX_ZEROS)).alias("zeros")).agg(
+        F.count("*").alias("n_rows")
+    )
+    at_least = (
+        F.when(F.sum(F.when(F.col("zeros") >= k, F.col("n_rows"))) >= n, k)
+        for k in range(1, MAX_ZEROS + 1)
+    )
+    cut = counts.agg(F.greatest(F.lit(0), *at_least).alias("cut"))
     return rows.where(zeros >= cut.scalar()).orderBy(hashed, id_column).limit(n)

@@ -26,6 +26,30 @@ def risk_summary(fact: DataFrame) -> DataFrame:
     )
 
 
+def summary_by_code(segmented: DataFrame) -> DataFrame:
+    """The summary's parts per year, codes and segment: sums and counts to add up."""
+    return segmented.groupBy("data_year", "state_code", "loan_purpose", "risk_segment").agg(
+        F.count("*").alias("loan_count"),
+        F.sum("loan_amount").alias("total_loan_amount"),
+        F.sum("interest_rate").alias("sum_interest_rate"),
+        F.sum("interest_rate_spread").alias("sum_spread"),
+        F.count("interest_rate_spread").alias("n_spreads"),
+    )
+
+
+def merged_summary(parts: DataFrame) -> DataFrame:
+    """The summary from described parts; codes of one name fall together."""
+    loans = F.sum("loan_count")
+    high = F.coalesce(F.sum(F.when(F.col("risk_segment") == "High", F.col("loan_count"))), F.lit(0))
+    return parts.groupBy(*SUMMARY_KEYS).agg(
+        loans.alias("loan_count"),
+        F.sum("total_loan_amount").alias("total_loan_amount"),
+        F.sum("sum_interest_rate").alias("sum_interest_rate"),
+        (F.sum("sum_spread") / F.nullif(F.sum("n_spreads"), F.lit(0))).alias("avg_rate_spread"),
+        share(high, loans).alias("high_risk_ratio"),
+    )
+
+
 def heatmap(summary: DataFrame, year: int) -> DataFrame:
     """Loans per state of one year, all states."""
     return (

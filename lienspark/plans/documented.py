@@ -77,11 +77,11 @@ def by_segment_and_type(
 
 
 def in_states(fact: DataFrame, states: DataFrame, year: int, names: Sequence[str]) -> DataFrame:
-    """Loans of one year in the named states.
+    """Loans of one year in the named states; a name may have several codes.
 
-    ``states`` is the lookup. The names are turned into codes first, because the
-    warehouse is partitioned by code: only those states' folders are read.
+    ``states`` is the lookup. The warehouse is partitioned by code; with a lookup
+    read from a table or files, its codes of the names become a partition filter
+    when the query runs, so only those states' folders are read.
     """
     codes = states.where(F.col("state_name").isin(list(names))).select("state_code")
-    wanted = [row.state_code for row in codes.limit(len(names)).collect()]
-    return fact.where((F.col("data_year") == year) & F.col("state_code").isin(wanted))
+    return fact.where(F.col("data_year") == year).join(codes, "state_code", "left_semi")

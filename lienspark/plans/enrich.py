@@ -41,7 +41,7 @@ def enrich_year(
     """Enrich one year's folder into another one; returns the write report.
 
     The input is partitioned by state already, so the output is written in the
-    same tasks that read it.
+    tasks that read it, each of which holds files of few states.
     """
     loans = read_loans(spark, f"{loans_root}/{year}")
     return publish_year(

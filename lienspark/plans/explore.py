@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lienspark.functions import rounded_spread
-from lienspark.operators.benchmark import join_benchmark_rounded
+from lienspark.operators.benchmark import join_benchmark_rounded, yearly_benchmark_rounded
 from lienspark.operators.shaping import cast_money, originated_number, select_explore_columns
 
 # Debt-to-income classes from 45 percent up, as the register writes them.
@@ -42,8 +42,13 @@ def high_rate_high_dti(loans: DataFrame) -> DataFrame:
 
 
 def largest_first(loans: DataFrame, *tie_breaks: str) -> DataFrame:
-    """Sorted by amount; the tie-breaks let equal amounts fall into several tasks."""
-    return loans.orderBy(F.desc_nulls_last("loan_amount"), *tie_breaks)
+    """Sorted by amount, then by the tie-breaks and all other columns.
+
+    Amounts are rounded in the register, so few of them hold most loans; the
+    further keys let equal amounts fall into several tasks.
+    """
+    others = [name for name in loans.columns if name not in ("loan_amount", *tie_breaks)]
+    return loans.orderBy(F.desc_nulls_last("loan_amount"), *tie_breaks, *others)
 
 
 def newest_rates(rates: DataFrame) -> DataFrame:
@@ -52,6 +57,11 @@ def newest_rates(rates: DataFrame) -> DataFrame:
     return dated.orderBy(F.desc("activity_year"), F.desc("observation_date"))
 
 
+def newest_benchmarks(rates: DataFrame) -> DataFrame:
+    """The rounded yearly benchmark, newest year first."""
+    return yearly_benchmark_rounded(rates).orderBy(F.desc("activity_year"))
+
+
 def unmatched(loans: DataFrame) -> DataFrame:
     """Loans whose year has no benchmark."""
     return loans.where(F.col("avg_fed_rate").isNull())
@@ -86,6 +96,7 @@ def explore(
             *keep,
         ),
         "newest_rates": newest_rates(rates),
+        "newest_benchmarks": newest_benchmarks(rates),
         "n_unmatched": unmatched(joined).agg(F.count("*").alias("n_unmatched")),
         "unmatched": unmatched(joined).select(*keep, "activity_year", "lei"),
         "spread": matched_spread(joined).select(

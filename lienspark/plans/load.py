@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lienspark.operators.layout import gather_by
+from lienspark.operators.quality import DataTestFailure, not_null_failures, require_none
 from lienspark.operators.shaping import (
     available,
     stamp_year,
@@ -39,14 +40,25 @@ def load_year(
     gather: bool = False,
     location: str | None = None,
     batch_rows: int | None = None,
-) -> None:
+    require_state: bool | None = None,
+) -> DataFrame:
     """Replace ``year`` in the warehouse table with the rows of ``staging``.
 
+    Returns one row: ``rows_removed`` and ``rows_loaded``. The local database does
+    not take a loan without a state, so unless ``require_state`` is False its way
+    of loading stops at one before the table is touched.
+
     ``staging`` should be read from a written folder, so that a load that fails
     can be run again. Such a folder is partitioned by state and needs no shuffle;
     ``gather=True`` is for rows in any other order. Ids and load time are added
     in the writing tasks.
     """
+    if require_state is None:
+        require_state = income_to_zero
+    if require_state:
+        if "state_code" not in staging.columns:
+            raise DataTestFailure("state not null: the staging has no state_code")
+        require_none(not_null_failures(staging, ["state_code"]), "state not null")
     create_loan_table(staging.sparkSession, table, location)
     loans = shape_for_load(staging, year, income_to_zero)
     if gather:
@@ -54,4 +66,4 @@ def load_year(
     loans = add_surrogate_id(loans, year_start(year)).withColumn(
         "loaded_at", F.current_timestamp()
     )
-    replace_year(loans, table, year, batch_rows)
+    return replace_year(loans, table, year, batch_rows)

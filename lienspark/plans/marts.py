@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.functions import cost_category, risk_segment
+from lienspark.functions.segments import HIGH_DTI, HIGH_LTV, MEDIUM_LTV
 from lienspark.operators.lookups import LOOKUPS, describe
 from lienspark.operators.quality import (
     accepted_values_failures,
@@ -17,8 +19,15 @@ from lienspark.operators.quality import (
 )
 from lienspark.operators.sampling import SAMPLE_ROWS, random_rows, sample_quality
 from lienspark.operators.shaping import select_sample_columns, staging_view
-from lienspark.operators.summary import risk_summary
-from lienspark.schemas import COST_CATEGORIES, FACT_COLUMNS, RISK_SEGMENTS, layer_name
+from lienspark.operators.summary import merged_summary, summary_by_code
+from lienspark.schemas import (
+    COST_CATEGORIES,
+    FACT_COLUMNS,
+    RISK_SEGMENTS,
+    STAGING_COLUMNS,
+    layer_name,
+)
+from lienspark.sinks.tables import publish_table
 from lienspark.sources.seeds import builtin_seeds
 
 # All that the summary and the sample show of the lookups.
@@ -26,6 +35,19 @@ SUMMARY_LOOKUPS = ("loan_purpose", "state_mapping")
 
 SEGMENT_VALUES = {"risk_segment": RISK_SEGMENTS}
 FACT_VALUES = {"risk_segment": RISK_SEGMENTS, "cost_category": COST_CATEGORIES}
+SOURCE_KEYS = ["data_year", "state_code"]
+
+
+def segmented(staging: DataFrame, dti_scale: float = 1) -> DataFrame:
+    """Staging with segment and cost category, before any lookup."""
+    return staging.withColumns(
+        {
+            "risk_segment": risk_segment(
+                F.col("loan_to_value_ratio"), F.col("debt_to_income_numeric"), dti_scale
+            ),
+            "cost_category": cost_category(F.col("interest_rate_spread")),
+        }
+    )
 
 
 def loan_fact(
@@ -39,21 +61,71 @@ def loan_fact(
     A left join with a unique key neither adds nor removes rows, so a reader that
     needs only some of the descriptions can name their ``lookups``.
     """
-    segmented = describe(staging, seeds, lookups).withColumns(
-        {
-            "risk_segment": risk_segment(
-                F.col("loan_to_value_ratio"), F.col("debt_to_income_numeric"), dti_scale
-            ),
-            "cost_category": cost_category(F.col("interest_rate_spread")),
-        }
-    )
     left_out = {text for name, (_, text) in LOOKUPS.items() if name not in lookups}
-    return segmented.select(
+    return segmented(describe(staging, seeds, lookups), dti_scale).select(
         *(name for name in FACT_COLUMNS if name not in left_out),
         F.current_timestamp().alias("mart_updated_at"),
     )
 
 
+def staging_sql(table: str, year: int | None = None) -> str:
+    """The staging view as text, over a catalog table."""
+    where = "" if year is None else f" WHERE data_year = {int(year)}"
+    columns = ", ".join(STAGING_COLUMNS)
+    return f"SELECT {columns}, current_timestamp() AS dbt_updated_at FROM {table}{where}"
+
+
+def fact_sql(staging: str, lookups: dict[str, str], dti_scale: float = 1) -> str:
+    """The fact as text, over the staging view and the lookup tables by name."""
+    ltv, dti = "s.loan_to_value_ratio", "s.debt_to_income_numeric"
+    if dti_scale != 1:
+        dti = f"{dti} * {dti_scale}D"
+    made = {
+        "risk_segment": (
+            f"CASE WHEN {ltv} > {HIGH_LTV}D OR {dti} > {HIGH_DTI} THEN 'High' "
+            f"WHEN {ltv} BETWEEN {MEDIUM_LTV}D AND {HIGH_LTV}D AND {dti} <= {HIGH_DTI} "
+            "THEN 'Medium' ELSE 'Low' END"
+        ),
+        "cost_category": (
+            "CASE WHEN s.interest_rate_spread > 0 THEN 'High Cost' "
+            "ELSE 'Market/Subsidized' END"
+        ),
+    }
+    joins = ""
+    for name, (code, text) in LOOKUPS.items():
+        made[text] = f"{name}.{text}"
+        joins += (
+            f" LEFT JOIN (SELECT * FROM {lookups[name]}) AS {name}(code, {text}) "
+            f"ON s.{code} = {name}.code"
+        )
+    columns = ", ".join(
+        f"{made[column]} AS {column}" if column in made else f"s.{column}"
+        for column in FACT_COLUMNS
+    )
+    return f"SELECT {columns}, current_timestamp() AS mart_updated_at FROM {staging} s{joins}"
+
+
+def summarise(loans: DataFrame, seeds: dict[str, DataFrame]) -> DataFrame:
+    """The risk summary of segmented loans.
+
+    Loans are grouped by code first, so the lookups meet a few groups and not
+    every loan.
+    """
+    return merged_summary(describe(summary_by_code(loans), seeds, SUMMARY_LOOKUPS))
+
+
+def sample_of(
+    loans: DataFrame,
+    seeds: dict[str, DataFrame],
+    n: int = SAMPLE_ROWS,
+    seed: int | None = None,
+    reproducible: bool = False,
+) -> DataFrame:
+    """The loan sample of segmented loans, described after it is drawn."""
+    chosen = random_rows(sample_quality(loans), n, seed=seed, reproducible=reproducible)
+    return select_sample_columns(describe(chosen, seeds, SUMMARY_LOOKUPS))
+
+
 def loan_sample(
     fact: DataFrame,
     n: int = SAMPLE_ROWS,
@@ -65,6 +137,50 @@ def loan_sample(
     return select_sample_columns(chosen)
 
 
+def _require_unique_keys(seeds: dict[str, DataFrame]) -> None:
+    """All lookups' keys in one job; the message names the first that repeats."""
+    keys = [
+        rows.select(F.lit(name).alias("lookup"), F.col(rows.columns[0]).cast("string").alias("key"))
+        for name, rows in seeds.items()
+    ]
+    together = reduce(DataFrame.unionAll, keys).where(F.col("key").isNotNull())
+    repeated = together.groupBy("lookup", "key").agg(F.count("*").alias("n_rows"))
+    failing = {row.lookup for row in repeated.where(F.col("n_rows") > 1).collect()}
+    for name, rows in seeds.items():
+        if name in failing:
+            require_none(unique_failures(rows, rows.columns[0]), f"unique {name}")
+
+
+def _require_sound(source: DataFrame, loans: DataFrame) -> None:
+    """Null and value tests of source and fact, counted in one pass.
+
+    Only a failing test reads the loans again, to say what fails.
+    """
+    tests: list[tuple[str, F.Column, Callable[[], DataFrame]]] = [
+        (
+            "source not null",
+            F.greatest(*(F.count_if(F.col(name).isNull()) for name in SOURCE_KEYS)),
+            lambda: not_null_failures(source, SOURCE_KEYS),
+        ),
+        (
+            "fact not null",
+            F.count_if(F.col("id").isNull()),
+            lambda: not_null_failures(loans, ["id"]),
+        ),
+        (
+            "fact accepted values",
+            F.greatest(
+                *(F.count_if(~F.col(name).isin(values)) for name, values in FACT_VALUES.items())
+            ),
+            lambda: accepted_values_failures(loans, FACT_VALUES),
+        ),
+    ]
+    counts = loans.agg(*(count for _, count, _ in tests)).first()
+    for (test, _, failures), count in zip(tests, counts, strict=True):
+        if count:
+            require_none(failures(), test)
+
+
 def build_marts(
     spark: SparkSession,
     table: str,
@@ -76,54 +192,52 @@ def build_marts(
     seed: int | None = None,
     dti_scale: float = 1,
     root: str | None = None,
+    reproducible: bool = False,
 ) -> dict[str, str]:
     """Build every model over the warehouse table, in order of dependence.
 
     Each step is tested before anything that reads it is built; a failing test
     raises. Lookups, summary and sample become tables in the layers' databases;
-    staging and fact stay views. ``root`` places the databases in a folder of their
-    own instead of the session's warehouse. Returns the name of each model.
+    staging and fact are views of the catalog over tables, so other sessions can
+    ask them. A table is written anew and tested before it takes the place of the
+    old one. ``root`` places the databases in a folder of their own instead of the
+    session's warehouse. Returns the name of each model.
     """
     seeds = seeds or builtin_seeds(spark)
-    lookup, prod = layer_name(base, "lookup", style), layer_name(base, "prod", style)
-    for database in (lookup, prod):
+    stg, lookup, prod = (layer_name(base, layer, style) for layer in ("stg", "lookup", "prod"))
+    for database in (stg, lookup, prod):
         place = f"LOCATION '{root}/{database}'" if root else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {place}")
     names = {
-        "stg_loans": f"{layer_name(base, 'stg', style)}__stg_loans",
-        "fct_loan_risk": f"{prod}__fct_loan_risk",
+        "stg_loans": f"{stg}.stg_loans",
+        "fct_loan_risk": f"{prod}.fct_loan_risk",
         "prd_risk_summary": f"{prod}.prd_risk_summary",
         "prd_loan_sample": f"{prod}.prd_loan_sample",
     }
 
+    _require_unique_keys(seeds)
     for name, rows in seeds.items():
-        require_none(unique_failures(rows, rows.columns[0]), f"unique {name}")
         names[name] = f"{lookup}.{name}"
-        rows.write.mode("overwrite").saveAsTable(names[name])
+        publish_table(rows, names[name])
 
     source = spark.table(table)
-    require_none(not_null_failures(source, ["data_year", "state_code"]), "source not null")
     staging = staging_view(source, year)
-    staging.createOrReplaceTempView(names["stg_loans"])
-
-    loan_fact(staging, seeds, dti_scale).createOrReplaceTempView(names["fct_loan_risk"])
-    # the lookups have proved unique, so the tests need none of them
-    tested = loan_fact(staging, seeds, dti_scale, lookups=())
-    require_none(not_null_failures(tested, ["id"]), "fact not null")
-    require_none(accepted_values_failures(tested, FACT_VALUES), "fact accepted values")
-    require_none(unique_failures(tested, "id"), "fact unique id")
-
-    fact = loan_fact(staging, seeds, dti_scale, SUMMARY_LOOKUPS)
-    risk_summary(fact).write.mode("overwrite").saveAsTable(names["prd_risk_summary"])
-    summary = spark.table(names["prd_risk_summary"])
-    require_none(not_null_failures(summary, ["data_year"]), "summary not null")
-    require_none(accepted_values_failures(summary, SEGMENT_VALUES), "summary accepted values")
-
-    loan_sample(fact, n_sample, seed).write.mode("overwrite").saveAsTable(
-        names["prd_loan_sample"]
-    )
-    sample = spark.table(names["prd_loan_sample"])
-    require_none(
-        not_null_failures(sample, ["income", "interest_rate_spread"]), "sample not null"
-    )
+    loans = segmented(staging, dti_scale)
+    _require_sound(source, loans)
+    require_none(unique_failures(loans, "id"), "fact unique id")
+    spark.sql(f"CREATE OR REPLACE VIEW {names['stg_loans']} AS {staging_sql(table, year)}")
+    fact = fact_sql(names["stg_loans"], {name: names[name] for name in seeds}, dti_scale)
+    spark.sql(f"CREATE OR REPLACE VIEW {names['fct_loan_risk']} AS {fact}")
+
+    def summary_tests(summary: DataFrame) -> None:
+        require_none(not_null_failures(summary, ["data_year"]), "summary not null")
+        require_none(accepted_values_failures(summary, SEGMENT_VALUES), "summary accepted values")
+
+    def sample_tests(sample: DataFrame) -> None:
+        known = ["income", "interest_rate_spread"]
+        require_none(not_null_failures(sample, known), "sample not null")
+
+    publish_table(summarise(loans, seeds), names["prd_risk_summary"], summary_tests)
+    drawn = sample_of(loans, seeds, n_sample, seed, reproducible)
+    publish_table(drawn, names["prd_loan_sample"], sample_tests)
     return names

@@ -29,11 +29,17 @@ def run_year(
     n_sample: int = SAMPLE_ROWS,
     seed: int | None = None,
     marts_root: str | None = None,
+    income_to_zero: bool = True,
+    batch_rows: int | None = None,
+    style: str = "prefixed",
+    dti_scale: float = 1,
+    reproducible: bool = False,
 ) -> dict[str, str] | None:
     """Ingest, enrich, load and build the marts; a step that fails ends the run.
 
-    Returns the models' names, or None where a step finds no input. Every step
-    reads what the one before it has written, so a run can be repeated.
+    ``income_to_zero`` and ``batch_rows`` are those of the load, the others those
+    of the marts. Returns the models' names, or None where a step finds no input.
+    Every step reads what the one before it has written, so a run can be repeated.
     """
     raw, staging = f"{lake}/raw", f"{lake}/staging"
     ingest_loans(spark, register, raw, year)
@@ -44,5 +50,26 @@ def run_year(
     if not input_present(spark, f"{staging}/{year}"):
         logger.warning("no staged loans for %s, stopping before the load", year)
         return None
-    load_year(read_staging(spark, f"{staging}/{year}"), table, year, location=location)
-    return build_marts(spark, table, seeds, base, n_sample=n_sample, seed=seed, root=marts_root)
+    report = load_year(
+        read_staging(spark, f"{staging}/{year}"),
+        table,
+        year,
+        income_to_zero=income_to_zero,
+        location=location,
+        batch_rows=batch_rows,
+    ).first()
+    logger.info(
+        "%s: %d rows removed, %d loaded", year, report.rows_removed, report.rows_loaded
+    )
+    return build_marts(
+        spark,
+        table,
+        seeds,
+        base,
+        style=style,
+        n_sample=n_sample,
+        seed=seed,
+        dti_scale=dti_scale,
+        root=marts_root,
+        reproducible=reproducible,
+    )

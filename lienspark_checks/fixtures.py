@@ -20,7 +20,7 @@ from lienspark.sources.seeds import builtin_seeds
 # within what the JVM compiles as one method.
 REGISTER_SQL = """
 SELECT k,
- CAST(year(o_orderdate) AS STRING) AS activity_year,
+ if(k % 29 = 0, '2005', CAST(year(o_orderdate) AS STRING)) AS activity_year,
  concat('LEI', lpad(CAST(o_custkey % 100 AS STRING), 17, '0')) AS lei,
  get(array('CA', 'TX', 'FL', 'NY', 'WA', 'IL', 'OH', 'GA', 'NC', 'MI', 'NJ', 'VA', 'AZ', 'PR',
   'NA', NULL, 'CO'), least(c_nationkey, 16)) AS state_code,
@@ -59,11 +59,13 @@ FROM (SELECT *, o_orderkey AS k, CAST(round(o_totalprice) AS BIGINT) AS amount
  FROM {orders}) JOIN {customer} ON o_custkey = c_custkey
 """
 
-# 2001 has no rates on purpose, so that its loans find no benchmark.
+STATE_FOR_MISSING = "WY"
+
+# The loans moved to 2005 find no benchmark: the series ends before it.
 RATES_SQL = """
 SELECT date_trunc('month', l_shipdate) AS observation_date,
  CAST(SUM(CAST(round(l_tax * 100) AS BIGINT)) AS DOUBLE) / COUNT(*) AS fed_rate
-FROM {lineitem} WHERE year(l_shipdate) < 2001 GROUP BY 1
+FROM {lineitem} GROUP BY 1
 """
 
 
@@ -71,22 +73,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw register, all text but the key."""
-    return spark.sql(
+def register(spark: SparkSession, sf_dir: str, all_states: bool = False) -> DataFrame:
+    """The raw register, all text but the key.
+
+    With ``all_states`` the loans without a state get ``STATE_FOR_MISSING``, as a
+    table with mandatory states needs them.
+    """
+    loans = spark.sql(
         REGISTER_SQL,
         orders=table(spark, sf_dir, "orders"),
         customer=table(spark, sf_dir, "customer"),
     )
+    if all_states:
+        loans = loans.withColumn("state_code", F.coalesce("state_code", F.lit(STATE_FOR_MISSING)))
+    return loans
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RATES_SQL, lineitem=table(spark, sf_dir, "lineitem"))
 
 
-def originated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def originated(spark: SparkSession, sf_dir: str, all_states: bool = False) -> DataFrame:
     """Cast loans with their key."""
-    return clean_loans(register(spark, sf_dir), keep=["k"])
+    return clean_loans(register(spark, sf_dir, all_states), keep=["k"])
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lienspark.operators.lookups import describe
 from lienspark.operators.surrogate import add_surrogate_id, year_start
 from lienspark.plans.dashboard import dashboard_frames
 from lienspark.plans.enrich import enrich_year
@@ -16,9 +17,10 @@ from lienspark.plans.yearly import run_year
 from lienspark.schemas import REGISTER_COLUMNS, REGISTER_TYPES
 from lienspark.settings import fresh_path
 from lienspark.sinks.lake import publish_year, write_by_state, write_clustered, write_rates
-from lienspark.sinks.warehouse import partition_keys
-from lienspark.sources.lake import read_loans, read_rates, read_staging
+from lienspark.sinks.warehouse import create_loan_table, partition_keys
+from lienspark.sources.lake import input_present, read_loans, read_rates, read_staging
 from lienspark.sources.register import read_register, read_register_inferred
+from lienspark.sources.seeds import builtin_seeds, read_seeds
 from lienspark_checks import fixtures
 from lienspark_checks.oracle import after
 from lienspark_checks.registry import registered
@@ -40,12 +42,10 @@ def fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{name}_{location.split('/')[-2]}", location
 
 
-def write_register(spark: SparkSession, sf_dir: str, only_known_states: bool = False) -> str:
+def write_register(spark: SparkSession, sf_dir: str, all_states: bool = False) -> str:
     """The register as the delimited text the pipeline starts from."""
     path = fresh_path(spark, "register")
-    loans = fixtures.register(spark, sf_dir)
-    if only_known_states:
-        loans = loans.where(F.col("state_code").isNotNull())
+    loans = fixtures.register(spark, sf_dir, all_states)
     loans.write.option("sep", "|").option("header", True).csv(path)
     return path
 
@@ -97,6 +97,7 @@ def src4(spark, sf_dir):
 
 # Sinks
 
+NOT_COLORADO = "NOT state_code <=> 'CO'"
 STATE_TOTALS = (
     "count(*) AS n_loans, CAST(sum(loan_amount) AS BIGINT) AS amount, "
     "count(interest_rate) AS n_rates"
@@ -123,7 +124,7 @@ def snk1(spark, sf_dir):
     "snk2_publish_year",
     after(
         f"SELECT state_code, {STATE_TOTALS} FROM loans "
-        "WHERE state_code != 'CO' GROUP BY 1"
+        "WHERE state_code IS DISTINCT FROM 'CO' GROUP BY 1"
     ),
 )
 def snk2(spark, sf_dir):
@@ -131,7 +132,7 @@ def snk2(spark, sf_dir):
     root = fresh_path(spark, "published")
     loans = fixtures.originated(spark, sf_dir)
     publish_year(loans, root, RUN_YEAR)
-    publish_year(loans.where(F.col("state_code") != "CO"), root, RUN_YEAR)
+    publish_year(loans.where(NOT_COLORADO), root, RUN_YEAR)
     return state_totals(read_loans(spark, f"{root}/{RUN_YEAR}"), "state_code")
 
 
@@ -139,20 +140,136 @@ def snk2(spark, sf_dir):
     "snk4_replace_year",
     after(
         f"SELECT CAST(1997 AS INTEGER) AS data_year, state_code, {STATE_TOTALS} FROM loans "
-        "WHERE state_code != 'CO' GROUP BY 2 UNION ALL "
+        "WHERE state_code IS DISTINCT FROM 'CO' GROUP BY 2 UNION ALL "
         f"SELECT CAST(1998 AS INTEGER), state_code, {STATE_TOTALS} FROM loans GROUP BY 2"
     ),
 )
 def snk4(spark, sf_dir):
-    """Two years loaded, one of them again without a state."""
+    """Two years loaded, one of them again without a state; a failed load between."""
     table, location = fresh_table(spark, "replaced")
     staging = read_staging(spark, written_loans(spark, sf_dir))
-    load_year(staging, table, 1997, location=location)
-    load_year(staging, table, 1998)
-    load_year(staging.where(F.col("state_code") != "CO"), table, 1997)
+    load_year(staging, table, 1997, location=location, require_state=False)
+    load_year(staging, table, 1998, require_state=False)
+    broken = staging.withColumn(
+        "loan_amount", F.expr("IF(k % 100 = 0, raise_error('broken row'), loan_amount)")
+    )
+    try:
+        load_year(broken, table, 1998, require_state=False)
+    except Exception as error:  # the load must fail, and only for this reason
+        if "broken row" not in str(error):
+            raise
+    else:
+        raise AssertionError("the broken load did not fail")
+    load_year(staging.where(NOT_COLORADO), table, 1997, require_state=False)
     return state_totals(spark.table(table), "data_year", "state_code")
 
 
+@registered(
+    "snk8_batches",
+    after(
+        "SELECT state_code, count(*) AS n_loans, CAST(ceil(count(*) / 500.0) AS BIGINT) AS n_least, "
+        "true AS in_bound FROM loans GROUP BY 1"
+    ),
+)
+def snk8(spark, sf_dir):
+    """No file holds more rows than a batch, and no row is lost."""
+    table, location = fresh_table(spark, "batches")
+    staging = read_staging(spark, written_loans(spark, sf_dir))
+    load_year(staging, table, RUN_YEAR, location=location, batch_rows=500, require_state=False)
+    files = spark.table(table).groupBy("state_code", F.input_file_name().alias("file")).count()
+    return files.groupBy("state_code").agg(
+        F.sum("count").alias("n_loans"),
+        F.ceil(F.sum("count") / 500.0).alias("n_least"),
+        ((F.max("count") <= 500) & (F.count("*") >= F.ceil(F.sum("count") / 500.0))).alias("in_bound"),
+    )
+
+
+@registered(
+    "snk13_load_report",
+    after("SELECT count(*) AS rows_removed, count(*) AS rows_loaded FROM loans"),
+)
+def snk13_load(spark, sf_dir):
+    """The second load of a year removes what the first one loaded."""
+    table, location = fresh_table(spark, "load_report")
+    staging = read_staging(spark, written_loans(spark, sf_dir))
+    load_year(staging, table, RUN_YEAR, location=location, require_state=False)
+    return load_year(staging, table, RUN_YEAR, require_state=False)
+
+
+@registered(
+    "snk5_table_over_existing_data",
+    after(
+        f"SELECT CAST({RUN_YEAR} AS INTEGER) AS data_year, state_code, {STATE_TOTALS} "
+        "FROM loans GROUP BY 2"
+    ),
+)
+def snk5(spark, sf_dir):
+    """A new catalog entry on a location that holds a year shows it."""
+    table, location = fresh_table(spark, "first_entry")
+    staging = read_staging(spark, written_loans(spark, sf_dir))
+    load_year(staging, table, RUN_YEAR, location=location, require_state=False)
+    create_loan_table(spark, f"{table}_again", location)
+    return state_totals(spark.table(f"{table}_again"), "data_year", "state_code")
+
+
+@registered(
+    "snk12_lasting_fact_view",
+    after("SELECT risk_segment, cost_category, count(*) AS n_loans FROM fact GROUP BY 1, 2", all_states=True),
+)
+def snk12(spark, sf_dir):
+    """Another session of the same catalog asks the fact."""
+    table, location = fresh_table(spark, "lasting")
+    staging = read_staging(spark, written_staging(spark, sf_dir, all_states=True))
+    load_year(staging, table, RUN_YEAR, location=location)
+    names = build_marts(spark, table, base=table, root=f"{location}_marts")
+    fact = spark.newSession().table(names["fct_loan_risk"])
+    return fact.groupBy("risk_segment", "cost_category").agg(F.count("*").alias("n_loans"))
+
+
+@registered("src8_input_present", "SELECT true AS written, false AS missing, true AS of_year, false AS of_other")
+def src8(spark, sf_dir):
+    path = written_loans(spark, sf_dir)
+    dated = read_loans(spark, path).withColumn("data_year", F.lit(RUN_YEAR))
+    found = (
+        input_present(spark, path),
+        input_present(spark, f"{path}-nowhere"),
+        input_present(spark, dated, RUN_YEAR),
+        input_present(spark, dated, RUN_YEAR - 1),
+    )
+    return spark.range(1).select(
+        *(F.lit(v).alias(n) for n, v in zip(("written", "missing", "of_year", "of_other"), found))
+    )
+
+
+@registered(
+    "src6_seeds_from_csv",
+    after(
+        "SELECT 'loan_purpose' AS lookup, CAST(id AS VARCHAR) AS key, description AS text FROM loan_purpose "
+        "UNION ALL SELECT 'state_mapping', state_code, state_name FROM state_mapping "
+        "UNION ALL SELECT 'named_loans', purpose.description, CAST(count(*) AS VARCHAR) FROM staged "
+        "LEFT JOIN loan_purpose purpose ON staged.loan_purpose = purpose.id GROUP BY 2"
+    ),
+)
+def src6(spark, sf_dir):
+    """Lookups written as CSV, read again and joined to the loans."""
+    folder = fresh_path(spark, "seeds")
+    for name, rows in builtin_seeds(spark).items():
+        rows.write.option("header", True).csv(f"{folder}/{name}.csv")
+    seeds = read_seeds(spark, folder)
+    rows = [
+        seeds[name].select(
+            F.lit(name).alias("lookup"),
+            F.col(seeds[name].columns[0]).cast("string").alias("key"),
+            F.col(seeds[name].columns[1]).alias("text"),
+        )
+        for name in ("loan_purpose", "state_mapping")
+    ]
+    named = describe(fixtures.staged(spark, sf_dir), seeds, ["loan_purpose"])
+    counts = named.groupBy("loan_purpose_name").agg(F.count("*").cast("string").alias("text"))
+    counts = counts.select(F.lit("named_loans").alias("lookup"), F.col("loan_purpose_name").alias("key"), "text")
+    return rows[0].unionAll(rows[1]).unionAll(counts)
+
+
 @registered(
     "snk6_partition_keys",
     after("SELECT DISTINCT state_code FROM loans WHERE state_code IS NOT NULL"),
@@ -199,9 +316,8 @@ def snk9(spark, sf_dir):
 )
 def snk10(spark, sf_dir):
     table, location = fresh_table(spark, "loaded")
-    load_year(
-        read_staging(spark, written_loans(spark, sf_dir)), table, RUN_YEAR, location=location
-    )
+    staging = read_staging(spark, written_loans(spark, sf_dir))
+    load_year(staging, table, RUN_YEAR, location=location, require_state=False)
     return (
         spark.table(table)
         .groupBy("state_code")
@@ -231,10 +347,10 @@ def job1(spark, sf_dir):
     return read_loans(spark, target).select(*REGISTER_COLUMNS)
 
 
-def written_staging(spark: SparkSession, sf_dir: str) -> str:
+def written_staging(spark: SparkSession, sf_dir: str, all_states: bool = False) -> str:
     """The enriched folder of one run over the whole register."""
     lake = fresh_path(spark, "lake")
-    publish_year(fixtures.originated(spark, sf_dir), f"{lake}/raw", RUN_YEAR)
+    publish_year(fixtures.originated(spark, sf_dir, all_states), f"{lake}/raw", RUN_YEAR)
     write_rates(fixtures.rates(spark, sf_dir), f"{lake}/rates")
     enrich_year(spark, f"{lake}/raw", f"{lake}/rates", f"{lake}/staging", RUN_YEAR)
     return f"{lake}/staging/{RUN_YEAR}"
@@ -282,7 +398,7 @@ LOADED = """
 def job3(spark, sf_dir):
     table, location = fresh_table(spark, "year_table")
     staging = read_staging(spark, written_staging(spark, sf_dir))
-    load_year(staging, table, RUN_YEAR, location=location)
+    load_year(staging, table, RUN_YEAR, location=location, require_state=False)
     return spark.table(table).select(*LOADED, "data_year")
 
 
@@ -315,18 +431,16 @@ ONE_RUN_SUMMARY = (
     "round(sum(interest_rate), 6) AS sum_interest_rate, "
     "round(avg(interest_rate_spread), 6) AS avg_rate_spread, "
     "CASE WHEN risk_segment = 'High' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS high_risk_ratio "
-    "FROM fact WHERE state_code IS NOT NULL GROUP BY 1, 2, 3, 4, 5"
+    "FROM fact GROUP BY 1, 2, 3, 4, 5"
 )
 
 
-@registered("job4_build_marts", after(ONE_RUN_SUMMARY))
+@registered("job4_build_marts", after(ONE_RUN_SUMMARY, all_states=True))
 def job4(spark, sf_dir):
-    """Marts over a loaded table; loans without a state would fail its tests."""
+    """Marts over a loaded table of loans that all have a state."""
     table, location = fresh_table(spark, "mart_source")
-    staging = read_staging(spark, written_staging(spark, sf_dir))
-    load_year(
-        staging.where(F.col("state_code").isNotNull()), table, RUN_YEAR, location=location
-    )
+    staging = read_staging(spark, written_staging(spark, sf_dir, all_states=True))
+    load_year(staging, table, RUN_YEAR, location=location)
     names = build_marts(spark, table, base=table, root=f"{location}_marts")
     return rounded_summary(spark.table(names["prd_risk_summary"]))
 
@@ -383,7 +497,7 @@ def job6(spark, sf_dir):
     return frames["spread"].withColumn("k", F.col("k").cast("int"))
 
 
-@registered("job7_run_year", after(ONE_RUN_SUMMARY))
+@registered("job7_run_year", after(ONE_RUN_SUMMARY, all_states=True))
 def job7(spark, sf_dir):
     """From register text to the summary table, in one call."""
     table, location = fresh_table(spark, "run")
@@ -392,7 +506,7 @@ def job7(spark, sf_dir):
     names = run_year(
         spark,
         RUN_YEAR,
-        write_register(spark, sf_dir, only_known_states=True),
+        write_register(spark, sf_dir, all_states=True),
         rates,
         f"{location}_lake",
         table,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from lienspark.schemas import FACT_COLUMNS, LOAD_COLUMNS, REGISTER_TYPES
 from lienspark.sources.seeds import SEED_ROWS, SEED_SCHEMAS
-from lienspark_checks.fixtures import RATES_SQL
+from lienspark_checks.fixtures import RATES_SQL, STATE_FOR_MISSING
 
 # The loan-shaped register; ``fixtures`` has the same with array lookups.
 REGISTER_SQL = """
 SELECT o_orderkey AS k,
- CAST(year(o_orderdate) AS STRING) AS activity_year,
+ CASE WHEN o_orderkey % 29 = 0 THEN '2005' ELSE CAST(year(o_orderdate) AS STRING)
+  END AS activity_year,
  concat('LEI', lpad(CAST(o_custkey % 100 AS STRING), 17, '0')) AS lei,
  CASE c_nationkey WHEN 0 THEN 'CA' WHEN 1 THEN 'TX' WHEN 2 THEN 'FL' WHEN 3 THEN 'NY'
   WHEN 4 THEN 'WA' WHEN 5 THEN 'IL' WHEN 6 THEN 'OH' WHEN 7 THEN 'GA' WHEN 8 THEN 'NC'
@@ -149,7 +150,10 @@ _STEPS = {
 }
 
 
-def after(select: str) -> str:
+def after(select: str, all_states: bool = False) -> str:
     """``select`` with every step in front of it; unused ones cost nothing."""
-    steps = ", ".join(f"{name} AS ({text})" for name, text in _STEPS.items())
+    texts = dict(_STEPS)
+    if all_states:
+        texts["register"] = REGISTER_SQL.replace("THEN NULL ELSE 'CO'", f"THEN '{STATE_FOR_MISSING}' ELSE 'CO'")
+    steps = ", ".join(f"{name} AS ({text})" for name, text in texts.items())
     return f"WITH {steps} {select}"

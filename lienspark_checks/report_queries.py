@@ -17,16 +17,22 @@ from lienspark.operators.summary import (
     kpis,
     purpose_breakdown,
     risk_hierarchy,
-    risk_summary,
     state_names,
     years,
 )
 from lienspark.plans import documented
 from lienspark.plans.dashboard import selected
-from lienspark.plans.explore import high_rate_high_dti, largest_first, newest_rates, top_states
-from lienspark.plans.explore import unmatched
-from lienspark.plans.marts import loan_sample
+from lienspark.plans.explore import (
+    high_rate_high_dti,
+    largest_first,
+    newest_benchmarks,
+    newest_rates,
+    top_states,
+    unmatched,
+)
+from lienspark.plans.marts import loan_sample, sample_of, segmented, summarise
 from lienspark.schemas import FACT_COLUMNS, SAMPLE_COLUMNS
+from lienspark.sources.seeds import builtin_seeds
 from lienspark_checks import fixtures
 from lienspark_checks.oracle import after, segment
 from lienspark_checks.registry import registered
@@ -58,7 +64,8 @@ def rounded_summary(summary: DataFrame) -> DataFrame:
 
 
 def summary_of(spark, sf_dir) -> DataFrame:
-    return risk_summary(fixtures.summary_fact(spark, sf_dir))
+    loans = segmented(fixtures.staged(spark, sf_dir))
+    return summarise(loans, builtin_seeds(spark))
 
 
 # Fact and aggregates
@@ -220,9 +227,18 @@ def srt3(spark, sf_dir):
     return newest_rates(with_date(fixtures.rates(spark, sf_dir)))
 
 
+@registered(
+    "srt3_newest_benchmarks",
+    after("SELECT activity_year, avg_fed_rate FROM yearly2 ORDER BY activity_year DESC"),
+)
+def srt3_benchmarks(spark, sf_dir):
+    return newest_benchmarks(fixtures.rates(spark, sf_dir))
+
+
 @registered("srt4_loan_sample", after(f"SELECT {rounded_sql(SAMPLE_COLUMNS)} FROM sample"))
 def srt4(spark, sf_dir):
-    return rounded(loan_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True))
+    loans = segmented(fixtures.staged(spark, sf_dir))
+    return rounded(sample_of(loans, builtin_seeds(spark), reproducible=True))
 
 
 @registered(
@@ -444,3 +460,13 @@ def doc10(spark, sf_dir):
     return staging_view(fixtures.staged(spark, sf_dir), YEAR).select(
         "id", "data_year", "lei", "loan_amount"
     )
+
+
+@registered(
+    "doc11_loans_of_named_states",
+    after(f"SELECT id, state_code FROM fact WHERE data_year = {YEAR} AND state_name IN ({STATE_LIST})"),
+)
+def doc11(spark, sf_dir):
+    states = builtin_seeds(spark)["state_mapping"]
+    fact = fixtures.summary_fact(spark, sf_dir)
+    return documented.in_states(fact, states, YEAR, STATES).select("id", "state_code")

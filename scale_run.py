@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from bench import session
 from lienspark.operators.quality import unique_failures
-from lienspark.operators.summary import risk_summary
 from lienspark.plans.enrich import enrich_year
 from lienspark.plans.ingest import ingest_loans
 from lienspark.plans.load import load_year
-from lienspark.plans.marts import build_marts, loan_fact, loan_sample
+from lienspark.plans.marts import build_marts, loan_fact, sample_of, segmented, summarise
 from lienspark.settings import fresh_path
 from lienspark.sinks.lake import count_files, write_rates
 from lienspark.sources.lake import read_staging
@@ -37,7 +36,7 @@ def main() -> None:
     place = fresh_path(spark, "scale")
     table = f"scale_{place.split('/')[-2]}"
 
-    loans = fixtures.register(spark, sf_dir).where("state_code IS NOT NULL")
+    loans = fixtures.register(spark, sf_dir, all_states=True)
     copied = loans.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     hot = copied.withColumn("state_code", F.expr("if(copy % 3 = 0, 'CA', state_code)"))
     hot.repartition(16).drop("copy").write.option("sep", "|").option("header", True).csv(
@@ -72,8 +71,10 @@ def main() -> None:
         frame.write.format("noop").mode("overwrite").save()
 
     timed("fact", lambda: discard(fact))
-    timed("summary", lambda: discard(risk_summary(fact)))
-    timed("sample", lambda: discard(loan_sample(fact, seed=1)))
+    loans = segmented(spark.table(table))
+    seeds = builtin_seeds(spark)
+    timed("summary", lambda: discard(summarise(loans, seeds)))
+    timed("sample", lambda: discard(sample_of(loans, seeds, seed=1)))
     timed("unique_id", lambda: discard(unique_failures(fact, "id")))
     timed("marts", lambda: build_marts(spark, table, base=table, root=f"{place}/marts", seed=1))
     print(

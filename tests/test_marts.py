@@ -20,7 +20,14 @@ from lienspark.operators.summary import (
 from lienspark.plans.dashboard import dashboard_frames, filter_choices, kept, selected
 from lienspark.plans.documented import in_states
 from lienspark.plans.enrich import enrich
-from lienspark.plans.marts import build_marts, loan_fact, loan_sample
+from lienspark.plans.marts import (
+    build_marts,
+    loan_fact,
+    loan_sample,
+    sample_of,
+    segmented,
+    summarise,
+)
 from lienspark.schemas import FACT_COLUMNS
 from lienspark.settings import fresh_path
 from lienspark.sinks.warehouse import create_loan_table, replace_year
@@ -262,10 +269,52 @@ def test_build(spark):
     assert spark.table(names["fct_loan_risk"]).count() == 200
     assert spark.table(names["state_mapping"]).count() == 56
     assert "mart_updated_at" in spark.table(names["fct_loan_risk"]).columns
-    views = {row.viewName for row in spark.sql("SHOW VIEWS").collect()}
-    assert {names["stg_loans"], names["fct_loan_risk"]} <= views
-    again = build_marts(spark, table, base=table, root=f"{location}_marts", n_sample=20, seed=1)
+    other = spark.newSession()
+    frame = loan_fact(spark.table(table), builtin_seeds(spark)).drop("mart_updated_at")
+    lasting = other.table(names["fct_loan_risk"]).drop("mart_updated_at")
+    assert lasting.dtypes == frame.dtypes
+    assert sorted(lasting.collect()) == sorted(frame.collect())
+    assert other.table(names["stg_loans"]).count() == 200
+    again = build_marts(
+        spark, table, base=table, root=f"{location}_marts", n_sample=20, seed=1, dti_scale=100
+    )
     assert again == names
+    scaled = loan_fact(spark.table(table), builtin_seeds(spark), 100).drop("mart_updated_at")
+    assert sorted(other.table(names["fct_loan_risk"]).drop("mart_updated_at").collect()) == sorted(
+        scaled.collect()
+    )
+
+
+def test_failed_build_keeps_the_old_tables(spark, monkeypatch):
+    table, location = loan_table(spark, fact_rows(spark, 40))
+    names = build_marts(spark, table, base=table, root=f"{location}_marts")
+    replace_year(fact_rows(spark, 60), table, 2023)
+    monkeypatch.setattr("lienspark.plans.marts.SEGMENT_VALUES", {"risk_segment": ["Nothing"]})
+    with pytest.raises(DataTestFailure, match="summary accepted values"):
+        build_marts(spark, table, base=table, root=f"{location}_marts")
+    spark.catalog.refreshTable(names["prd_risk_summary"])
+    assert spark.table(names["prd_risk_summary"]).agg(F.sum("loan_count")).first()[0] == 40
+
+
+def test_summary_by_code_equals_summary_of_the_fact(spark):
+    rows, seeds = fact_rows(spark, 300), builtin_seeds(spark)
+    by_code = summarise(segmented(rows), seeds)
+    whole = risk_summary(loan_fact(rows, seeds))
+    assert by_code.dtypes == whole.dtypes
+    key = lambda r: tuple(map(str, r[:5]))
+    for a, b in zip(sorted(by_code.collect(), key=key), sorted(whole.collect(), key=key), strict=True):
+        assert a[:7] == b[:7] and a.high_risk_ratio == b.high_risk_ratio
+        assert (a.sum_interest_rate, a.avg_rate_spread) == pytest.approx(
+            (b.sum_interest_rate, b.avg_rate_spread)
+        )
+
+
+def test_sample_and_summary_meet_the_lookups_after_they_shrink(spark, plan_of):
+    loans, seeds = segmented(fact_rows(spark, 100)), builtin_seeds(spark)
+    summary = plan_of(summarise(loans, seeds)).split("Optimized Logical Plan")[1].split("== Physical")[0]
+    assert summary.index("Join") < summary.rindex("Aggregate")
+    sample = plan_of(sample_of(loans, seeds, 10)).split("Optimized Logical Plan")[1].split("== Physical")[0]
+    assert sample.index("Join") < sample.index("GlobalLimit")
 
 
 def test_filters_reach_the_summary_files(spark, plan_of):
@@ -281,10 +330,21 @@ def test_state_names_prune_the_warehouse(spark, plan_of):
     table, _ = loan_table(spark, fact_rows(spark, 50))
     seeds = builtin_seeds(spark)
     fact = loan_fact(spark.table(table), seeds)
-    chosen = in_states(fact, seeds["state_mapping"], 2023, ["California"])
+    path = fresh_path(spark, "states")
+    seeds["state_mapping"].write.parquet(path)
+    chosen = in_states(fact, spark.read.parquet(path), 2023, ["California"])
     assert chosen.count() == 25
-    pruned = plan_of(chosen).split("PartitionFilters: [")[1].split("]")[0]
-    assert "data_year" in pruned and "(state_code#" in pruned
+    plan = plan_of(chosen).split("Physical Plan")[1]
+    assert "LeftSemi" in plan
+    pruned = plan.split("PartitionFilters: [")[1]
+    assert "data_year" in pruned and "dynamicpruning" in pruned
+
+
+def test_a_state_name_with_several_codes(spark):
+    states = spark.createDataFrame([("CA", "West"), ("OR", "West"), ("TX", "South")], "state_code string, state_name string")
+    loans = spark.createDataFrame([(i, 2023, s) for i, s in enumerate(["CA", "OR", "TX", "OR", None])], "id int, data_year int, state_code string")
+    assert sorted(r.id for r in in_states(loans, states, 2023, ["West"]).collect()) == [0, 1, 3]
+    assert sorted(r.id for r in in_states(loans, states, 2023, ["West", "South", "None"]).collect()) == [0, 1, 2, 3]
 
 
 @pytest.mark.parametrize(

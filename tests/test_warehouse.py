@@ -1,9 +1,11 @@
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from lienspark.operators.layout import GATHER_SETTINGS, gather_by
+from lienspark.operators.quality import DataTestFailure
 from lienspark.operators.surrogate import YEAR_SHIFT, add_surrogate_id, year_start
 from lienspark.plans.load import load_year, shape_for_load
 from lienspark.schemas import LOAD_COLUMNS, WAREHOUSE_TYPES
@@ -83,7 +85,8 @@ def test_batches_become_files(spark, table):
 
 
 def test_odd_states_keep_their_place(spark, table):
-    load_year(staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0)), table, 2023)
+    odd = staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0))
+    load_year(odd, table, 2023, require_state=False)
     assert contents(spark, table) == {(2023, "NA"): 1.0, (2023, None): 2.0, (2023, "A/'"): 3.0}
     keys = {row.state_code for row in partition_keys(spark.table(table)).collect()}
     assert keys == {"NA", "A/'"}
@@ -157,7 +160,7 @@ def test_year_and_states_prune_partitions(spark, table, plan_of):
 def test_lender_bloom_filter_and_statistics(spark, table):
     import pyarrow.parquet as pq
 
-    rows = [loan("CA", lei=f"L{i:05d}") for i in range(200)]
+    rows = [loan("CA", lei=f"L{i % 50:05d}") for i in range(2000)]
     load_year(staging(spark, *rows), table, 2023)
     (location,) = {f.removeprefix("file:") for f in spark.table(table).inputFiles()[:1]}
     group = pq.ParquetFile(location).metadata.row_group(0)
@@ -165,6 +168,97 @@ def test_lender_bloom_filter_and_statistics(spark, table):
     assert columns["loan_amount"].statistics.has_min_max
     described = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
     assert any("parquet.bloom.filter.enabled#lei" in row.data_type for row in described)
+    lender = columns["lei"]
+    assert "RLE_DICTIONARY" not in lender.encodings and "PLAIN_DICTIONARY" not in lender.encodings
+    # The filter lies between the column's pages and the footer.
+    behind = max(c.data_page_offset + c.total_compressed_size for c in columns.values())
+    assert os.path.getsize(location) - behind > 1_000_000 // 8
+
+
+def test_failed_load_changes_nothing(spark, table):
+    load_year(staging(spark, loan("CA"), loan("TX", 5.0)), table, 2023)
+    first = spark.table(table).orderBy("id").collect()
+    rows = staging(spark, *(loan("CA", float(i)) for i in range(50)), loan("NY")).repartition(4)
+    broken = rows.withColumn(
+        "loan_amount", F.expr("IF(loan_amount = 49, raise_error('broken row'), loan_amount)")
+    )
+    with pytest.raises(Exception, match="broken row"):
+        load_year(broken, table, 2023)
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).orderBy("id").collect() == first
+
+
+def test_states_that_vanish_go_with_their_files(spark, table):
+    odd = staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0), loan("B\\", 4.0))
+    load_year(odd, table, 2023, require_state=False)
+    report = load_year(staging(spark, loan("NA", 9.0)), table, 2023).first()
+    assert (report.rows_removed, report.rows_loaded) == (4, 1)
+    assert contents(spark, table) == {(2023, "NA"): 9.0}
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    assert contents(spark, table) == {(2023, "NA"): 9.0}
+    report = load_year(staging(spark, loan("CA")).limit(0), table, 2023).first()
+    assert (report.rows_removed, report.rows_loaded) == (1, 0)
+
+
+def test_new_entry_over_existing_years(spark, table):
+    load_year(staging(spark, loan("CA")), table, 2022)
+    load_year(staging(spark, loan("TX", 5.0)), table, 2023)
+    (location,) = (
+        row.data_type
+        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        if row.col_name == "Location"
+    )
+    create_loan_table(spark, f"{table}_again", location)
+    assert contents(spark, f"{table}_again") == {(2022, "CA"): 100.0, (2023, "TX"): 5.0}
+
+
+@pytest.mark.parametrize("missing", ["value", "column"])
+def test_local_load_needs_a_state(spark, table, missing):
+    load_year(staging(spark, loan("CA")), table, 2023)
+    rows = staging(spark, loan("TX"), loan(None))
+    rows = rows.drop("state_code") if missing == "column" else rows
+    with pytest.raises(DataTestFailure, match="state"):
+        load_year(rows, table, 2023)
+    assert contents(spark, table) == {(2023, "CA"): 100.0}
+    load_year(rows, table, 2023, income_to_zero=False)
+
+
+def test_failed_publishing_keeps_the_old_year(spark):
+    root = fresh_path(spark, "root")
+    publish_year(staging(spark, loan("CA"), loan("TX")), root, 2023)
+    broken = staging(spark, loan("NY")).withColumn(
+        "loan_amount", F.expr("raise_error('broken row')").cast("double")
+    )
+    with pytest.raises(Exception, match="broken row"):
+        publish_year(broken, root, 2023)
+    assert {r.state_code for r in read_loans(spark, f"{root}/2023").collect()} == {"CA", "TX"}
+    assert os.listdir(root) == ["2023"]
+
+
+def test_clustered_files_leave_out_most_for_a_year_and_state(spark):
+    import pyarrow.parquet as pq
+
+    path = fresh_path(spark, "pruned")
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.xxhash64("id").alias("id"),
+        (2016 + F.col("id") % 8).cast("int").alias("data_year"),
+        F.when(F.col("id") % 3 == 0, "CA")
+        .otherwise(F.concat(F.lit("S"), F.lpad((F.xxhash64("id") % 50 + 50).cast("string"), 3, "0")))
+        .alias("state_code"),
+    )
+    write_clustered(rows, path, files=40)
+    ranges = []
+    for file in glob.glob(f"{path}/*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        stats = {group.column(i).path_in_schema: group.column(i).statistics for i in range(3)}
+        ranges.append([(stats[c].min, stats[c].max) for c in ("data_year", "state_code")])
+    assert len(ranges) >= 30
+
+    def opened(year, state):
+        return sum(a <= year <= b and c <= state <= d for (a, b), (c, d) in ranges)
+
+    assert opened(2019, "S050") <= 3
+    assert opened(2019, "CA") <= 6
 
 
 def test_publishing_replaces_the_year_folder_only(spark):
@@ -221,7 +315,7 @@ def test_clustered_files_are_narrow_and_cut_a_hot_state(spark, monkeypatch):
         F.lit(2023).alias("data_year"),
         F.when(F.col("id") % 3 > 0, "CA").otherwise("TX").alias("state_code"),
     )
-    write_clustered(rows, path)
+    write_clustered(rows, path, files=6)
     per_file = (
         spark.read.parquet(path)
         .groupBy(F.input_file_name().alias("file"))
