@@ -29,12 +29,28 @@ REGISTER_TYPES = {
 REGISTER_COLUMNS = list(REGISTER_TYPES)
 
 # The other 20 columns, used by the exploration queries.
-EXPLORE_COLUMNS = """
-    activity_year lei state_code loan_type loan_purpose loan_amount interest_rate
-    property_value income debt_to_income_ratio combined_loan_to_value_ratio
-    loan_term intro_rate_period interest_only_payment balloon_payment
-    negative_amortization action_taken denial_reason_1 derived_race derived_sex
-""".split()
+EXPLORE_COLUMNS = [
+    "activity_year",
+    "lei",
+    "state_code",
+    "loan_type",
+    "loan_purpose",
+    "loan_amount",
+    "interest_rate",
+    "property_value",
+    "income",
+    "debt_to_income_ratio",
+    "combined_loan_to_value_ratio",
+    "loan_term",
+    "intro_rate_period",
+    "interest_only_payment",
+    "balloon_payment",
+    "negative_amortization",
+    "action_taken",
+    "denial_reason_1",
+    "derived_race",
+    "derived_sex",
+]
 
 # The warehouse table. `id` and `loaded_at` are made on load, the
 # last two columns are its partition keys.
@@ -64,40 +80,97 @@ WAREHOUSE_TYPES = {
 PARTITION_KEYS = ["data_year", "state_code"]
 
 # What a load takes from staging, in the order it is inserted.
-LOAD_COLUMNS = """
-    activity_year lei state_code county_code census_tract loan_type loan_purpose
-    loan_amount interest_rate property_value occupancy_type lien_status income
-    applicant_age loan_to_value_ratio debt_to_income_numeric mkt_benchmark
-    interest_rate_spread data_year
-""".split()
+LOAD_COLUMNS = [
+    "activity_year",
+    "lei",
+    "state_code",
+    "county_code",
+    "census_tract",
+    "loan_type",
+    "loan_purpose",
+    "loan_amount",
+    "interest_rate",
+    "property_value",
+    "occupancy_type",
+    "lien_status",
+    "income",
+    "applicant_age",
+    "loan_to_value_ratio",
+    "debt_to_income_numeric",
+    "mkt_benchmark",
+    "interest_rate_spread",
+    "data_year",
+]
 
 # Whole-number columns whose NULL becomes 0 on load.
-CODE_COLUMNS = """
-    loan_type loan_purpose occupancy_type lien_status data_year activity_year
-""".split()
+CODE_COLUMNS = [
+    "loan_type",
+    "loan_purpose",
+    "occupancy_type",
+    "lien_status",
+    "data_year",
+    "activity_year",
+]
 
 # The staging view, without its timestamp.
-STAGING_COLUMNS = """
-    id lei state_code county_code census_tract data_year activity_year loan_type
-    loan_purpose loan_amount interest_rate property_value income occupancy_type
-    lien_status loan_to_value_ratio debt_to_income_numeric mkt_benchmark
-    interest_rate_spread
-""".split()
+STAGING_COLUMNS = [
+    "id",
+    "lei",
+    "state_code",
+    "county_code",
+    "census_tract",
+    "data_year",
+    "activity_year",
+    "loan_type",
+    "loan_purpose",
+    "loan_amount",
+    "interest_rate",
+    "property_value",
+    "income",
+    "occupancy_type",
+    "lien_status",
+    "loan_to_value_ratio",
+    "debt_to_income_numeric",
+    "mkt_benchmark",
+    "interest_rate_spread",
+]
 
 # The fact, without its timestamp.
-FACT_COLUMNS = """
-    id lei state_code state_name county_code census_tract data_year loan_amount
-    property_value income interest_rate loan_type_name loan_purpose_name
-    occupancy_type_name lien_status_name loan_to_value_ratio
-    debt_to_income_numeric mkt_benchmark interest_rate_spread risk_segment
-    cost_category
-""".split()
+FACT_COLUMNS = [
+    "id",
+    "lei",
+    "state_code",
+    "state_name",
+    "county_code",
+    "census_tract",
+    "data_year",
+    "loan_amount",
+    "property_value",
+    "income",
+    "interest_rate",
+    "loan_type_name",
+    "loan_purpose_name",
+    "occupancy_type_name",
+    "lien_status_name",
+    "loan_to_value_ratio",
+    "debt_to_income_numeric",
+    "mkt_benchmark",
+    "interest_rate_spread",
+    "risk_segment",
+    "cost_category",
+]
 
 # The columns of the dashboard sample.
-SAMPLE_COLUMNS = """
-    data_year state_code state_name income interest_rate_spread risk_segment
-    loan_amount loan_purpose_name
-""".split()
+SAMPLE_COLUMNS = [
+    "data_year",
+    "state_code",
+    "state_name",
+    "income",
+    "interest_rate_spread",
+    "risk_segment",
+    "loan_amount",
+    "loan_purpose_name",
+]
 
 RISK_SEGMENTS = ["Low", "Medium", "High"]
 COST_CATEGORIES = ["High Cost", "Market/Subsidized"]

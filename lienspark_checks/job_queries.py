@@ -44,10 +44,11 @@ def fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def write_register(spark: SparkSession, sf_dir: str, all_states: bool = False) -> str:
     """The register as the delimited text the pipeline starts from."""
-    path = fresh_path(spark, "register")
     loans = fixtures.register(spark, sf_dir, all_states)
-    loans.write.option("sep", "|").option("header", True).csv(path)
-    return path
+    name = "register_text_all_states" if all_states else "register_text"
+    return fixtures.folder(
+        spark, sf_dir, name, loans.write.option("sep", "|").option("header", True).csv
+    )
 
 
 # Text and Parquet sources
@@ -75,9 +76,8 @@ def src2(spark, sf_dir):
 
 
 def written_loans(spark: SparkSession, sf_dir: str) -> str:
-    path = fresh_path(spark, "loans")
-    write_by_state(fixtures.originated(spark, sf_dir), path)
-    return path
+    loans = fixtures.originated(spark, sf_dir)
+    return fixtures.folder(spark, sf_dir, "loans", lambda path: write_by_state(loans, path))
 
 
 @registered("src3_read_loans", after(f"SELECT k, {', '.join(REGISTER_COLUMNS)} FROM loans"))
@@ -349,10 +349,15 @@ def job1(spark, sf_dir):
 
 def written_staging(spark: SparkSession, sf_dir: str, all_states: bool = False) -> str:
     """The enriched folder of one run over the whole register."""
+    loans = fixtures.originated(spark, sf_dir, all_states)
+
+    def write(lake: str) -> None:
+        publish_year(loans, f"{lake}/raw", RUN_YEAR)
+        write_rates(fixtures.rates(spark, sf_dir), f"{lake}/rates")
+
+    given = fixtures.folder(spark, sf_dir, f"lake{'_all_states' * all_states}", write)
     lake = fresh_path(spark, "lake")
-    publish_year(fixtures.originated(spark, sf_dir, all_states), f"{lake}/raw", RUN_YEAR)
-    write_rates(fixtures.rates(spark, sf_dir), f"{lake}/rates")
-    enrich_year(spark, f"{lake}/raw", f"{lake}/rates", f"{lake}/staging", RUN_YEAR)
+    enrich_year(spark, f"{given}/raw", f"{given}/rates", f"{lake}/staging", RUN_YEAR)
     return f"{lake}/staging/{RUN_YEAR}"
 
 
