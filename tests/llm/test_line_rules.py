@@ -48,7 +48,7 @@ def test_depleted_documents_agree_with_sql(spark, monkeypatch):
     sql = line_rules.ORACLE.replace("> 100 AND", "> 3 AND")
     assert sql != line_rules.ORACLE
     found = line_rules.judged(docs, documents=3)
-    assert found.where("NOT base_failed AND NOT kept").count() > 5
+    assert found.where("n_boilerplate > 0").count() > 20
     assert differences(found.drop("source", "n_boilerplate"), con, sql) is None
 
 

@@ -78,6 +78,17 @@ def test_probability_jaccard():
         assert found == pytest.approx(similarity(a, b))
 
 
+def test_block_similarities():
+    rng = random.Random(7)
+    bags = [Counter(rng.choices(range(30), k=rng.randint(1, 40))) for _ in range(25)]
+    rows = np.array([i for i, bag in enumerate(bags) for _ in bag])
+    grams, counts = (np.array([x[k] for bag in bags for x in sorted(bag.items())]) for k in (0, 1))
+    small = np.array([0, 3, 11, 24])
+    found = near_dup.block_similarities(small, rows, grams.astype(np.uint64), counts, 25)
+    for a, i in enumerate(small):
+        assert found[a] == pytest.approx([similarity(bags[i], bag) for bag in bags])
+
+
 def test_registers_agree_as_often_as_similar():
     rng = np.random.default_rng(6)
     grams = rng.integers(1, 2**63, 200).astype(np.uint64)
