@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.operators.lookups import describe
+from lienspark.operators.quality import DataTestFailure, not_null_failures, require_none
+from lienspark.operators.summary import kpis
 from lienspark.operators.surrogate import add_surrogate_id, year_start
-from lienspark.plans.dashboard import dashboard_frames
+from lienspark.plans.dashboard import dashboard_frames, kept, selected
 from lienspark.plans.enrich import enrich_year
 from lienspark.plans.explore import explore
 from lienspark.plans.ingest import ingest_loans
@@ -26,6 +30,9 @@ from lienspark_checks.oracle import after
 from lienspark_checks.registry import registered
 from lienspark_checks.report_queries import SUMMARY_SQL, rounded_summary, summary_of
 from lienspark_checks.step_queries import (
+    EXPLORE_JOINED_SQL,
+    EXPLORE_SQL,
+    HIGH_DTI_SQL,
     STATE_LIST,
     STATES,
     YEAR,
@@ -520,3 +527,93 @@ def job7(spark, sf_dir):
         marts_root=f"{location}_marts",
     )
     return rounded_summary(spark.table(names["prd_risk_summary"]))
+
+
+@registered(
+    "job6_explore_frames",
+    after(
+        f"SELECT 'loans' AS frame, count(*) AS n_rows FROM ({EXPLORE_SQL}) UNION ALL "
+        f"SELECT 'n_loans', count(*) FROM ({EXPLORE_SQL}) UNION ALL "
+        f"SELECT 'top_states', least(10, count(*)) FROM (SELECT DISTINCT state_code FROM ({EXPLORE_SQL})) UNION ALL "
+        f"SELECT 'high_rate_high_dti', count(*) FROM ({EXPLORE_SQL}) WHERE {HIGH_DTI_SQL} UNION ALL "
+        "SELECT 'newest_rates', count(*) FROM rates UNION ALL "
+        "SELECT 'newest_benchmarks', count(*) FROM yearly2 UNION ALL "
+        f"SELECT 'unmatched', count(*) FROM ({EXPLORE_JOINED_SQL}) WHERE avg_fed_rate IS NULL UNION ALL "
+        f"SELECT 'n_unmatched', count(*) FROM ({EXPLORE_JOINED_SQL}) WHERE avg_fed_rate IS NULL UNION ALL "
+        f"SELECT 'spread', count(*) FROM ({EXPLORE_JOINED_SQL}) WHERE avg_fed_rate IS NOT NULL"
+    ),
+)
+def job6_frames(spark, sf_dir):
+    """Rows of every frame of the exploration; the counting ones give their count."""
+    register = read_register_inferred(spark, write_register(spark, sf_dir))
+    frames = explore(register, fixtures.rates(spark, sf_dir), keep=["k"])
+    counts = [
+        frame.agg((F.first(name) if name.startswith("n_") else F.count("*")).alias("n_rows")).select(
+            F.lit(name).alias("frame"), "n_rows"
+        )
+        for name, frame in frames.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
+@registered("srt7_session_view", after(f"SELECT count(*) AS n_loans FROM ({EXPLORE_SQL})"))
+def srt7(spark, sf_dir):
+    """SQL of one's own over the view the exploration leaves."""
+    register = read_register_inferred(spark, write_register(spark, sf_dir))
+    explore(register, fixtures.rates(spark, sf_dir), keep=["k"], view="explored_loans")
+    return spark.sql("SELECT count(*) AS n_loans FROM explored_loans")
+
+
+@registered(
+    "srt8_kept_result",
+    after(
+        "SELECT CAST(sum(loan_count) AS BIGINT) AS all_loans, "
+        f"CAST(sum(CASE WHEN data_year = {YEAR} THEN loan_count END) AS BIGINT) AS of_year FROM summary"
+    ),
+)
+def srt8(spark, sf_dir):
+    """Two selections of one summary that is kept between them."""
+    with kept(summary_of(spark, sf_dir)) as summary:
+        total = summary.agg(F.sum("loan_count")).first()[0]
+        of_year = summary.where(F.col("data_year") == YEAR).agg(F.sum("loan_count")).first()[0]
+    return spark.range(1).select(
+        F.lit(total).cast("bigint").alias("all_loans"), F.lit(of_year).cast("bigint").alias("of_year")
+    )
+
+
+@registered(
+    "flt6_empty_selection",
+    "SELECT CAST(0 AS BIGINT) AS total_loans, CAST(0 AS DOUBLE) AS portfolio_value_millions, "
+    "CAST(0 AS DOUBLE) AS avg_market_rate, CAST(0 AS DOUBLE) AS high_risk_pct",
+)
+def flt6(spark, sf_dir):
+    """No states chosen: zeros, not all loans."""
+    return kpis(selected(summary_of(spark, sf_dir), YEAR, []))
+
+
+@registered("dq5_gate", after("SELECT count(*) > 0 AS stopped FROM fact WHERE state_code IS NULL"))
+def dq5(spark, sf_dir):
+    """The gate stops at loans without a state."""
+    fact = fixtures.summary_fact(spark, sf_dir)
+    try:
+        require_none(not_null_failures(fact, ["state_code"]), "state")
+        stopped = False
+    except DataTestFailure:
+        stopped = True
+    return spark.range(1).select(F.lit(stopped).alias("stopped"))
+
+
+@registered(
+    "prj12_microseconds",
+    after("SELECT count(*) AS n_rates, count(*) AS n_with_microsecond FROM rates"),
+)
+def prj12(spark, sf_dir):
+    """A microsecond outlives the written rates."""
+    rates = fixtures.rates(spark, sf_dir)
+    path = fresh_path(spark, "rates")
+    write_rates(
+        rates.withColumn("observation_date", F.expr("observation_date + INTERVAL 1 MICROSECOND")), path
+    )
+    written = read_rates(spark, path)
+    micro = F.expr("CAST(date_format(observation_date, 'SSSSSS') AS INT) = 1")
+    return written.agg(F.count("*").alias("n_rates"), F.count_if(micro).alias("n_with_microsecond"))
