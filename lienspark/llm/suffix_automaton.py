@@ -159,13 +159,15 @@ ORACLE = r"""
 WITH t AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 spread AS (
-  SELECT doc_id, len(words) AS n, words, unnest(range(1, len(words) + 1)) AS i FROM t),
+  SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM t),
+sequences AS (
+  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS words FROM spread),
 windows AS (
-  SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY hash(list_slice(words, i, i + 19))) AS first FROM spread WHERE i + 19 <= n),
+  SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY hash(words)) AS first FROM sequences WHERE len(words) = 20),
 covered AS (
   SELECT DISTINCT doc_id, i + k AS i FROM windows, range(20) o(k) WHERE (doc_id, i) > first),
 kept AS (
-  SELECT doc_id, count(*) AS m, string_agg(words[i], ' ' ORDER BY i) AS rest FROM spread ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+  SELECT doc_id, count(*) AS m, string_agg(word, ' ' ORDER BY i) AS rest FROM spread ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(m, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(rest, '')) AS kept_sha256
 FROM t LEFT JOIN kept USING (doc_id)"""
