@@ -17,8 +17,8 @@ follow on the largest of the parent before, so the level is one ascending
 sequence, and the parents' first children are another; both are Elias-Fano coded.
 Log chances and back-off weights are codes of two bytes. To find a word after a
 context, its sequence is searched for the successor of the word plus the context's
-base. The levels are sent to the executors as bytes, and each task maps them from an
-unnamed temporary file.
+base. The levels are sent to the executors as bytes, and each task lays them out in
+a memory map of its own: a file to map would have to lie on every executor's disk.
 
 Nulls and corner cases: a null text is empty, and an empty one is the end alone; a
 null ``doc_id`` is not learned from and not held out; with nothing learned every
@@ -29,7 +29,6 @@ read.
 from __future__ import annotations
 
 import mmap
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -166,11 +165,9 @@ class Trie:
 
     @classmethod
     def mapped(cls, data: bytes) -> Trie:
-        """The trie on top of a memory map of an unnamed file with ``data``."""
-        with tempfile.TemporaryFile() as file:
-            file.write(data)
-            file.flush()
-            view = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        """The trie on top of a memory map that holds ``data``."""
+        view = mmap.mmap(-1, len(data))
+        view.write(data)
         n = int(np.frombuffer(view, np.int64, 1)[0])
         lengths = np.frombuffer(view, np.int64, n, 8)
         kinds = {np.dtype(k).num: np.dtype(k) for k in (np.uint64, np.int64, np.int16)}
