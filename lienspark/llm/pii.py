@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.llm.boosting import Boosted, boost
+from lienspark.llm.io import written
 from lienspark.llm.registry import read, registered
 from lienspark.llm.text import runs, utf8
 
@@ -251,13 +252,14 @@ def _variations(rows: list[tuple[str, str, str, str, bool]]) -> list[tuple[str,
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Trees and threshold, from at most ``rows`` candidates chosen by a hash."""
-    found = (
-        docs.select("text")
-        .where("text IS NOT NULL")
-        .mapInArrow(_samples, "generator string, before string, span string, after string, label boolean")
-    )
+    schema = "generator string, before string, span string, after string, label boolean"
+    found = written(docs.select("text").where("text IS NOT NULL").mapInArrow(_samples, schema), "candidates")
     columns = ["generator", "before", "span", "after", "label"]
-    chosen = found.orderBy(F.xxhash64(*columns), *columns).limit(rows).collect()
+    draw = F.xxhash64(*columns)
+    # The hash leaves about twice the rows asked for, so that no task sorts more.
+    share = min(1.0, 2 * rows / max(found.count(), 1))
+    unit = F.shiftrightunsigned(draw, 11).cast("double") / 2.0**53
+    chosen = found.where(unit <= share).orderBy(draw, *columns).limit(rows).collect()
     own = [tuple(r) for r in chosen]
     own = sorted(set(own)) + _variations(sorted(set(own)))
     if not own:
