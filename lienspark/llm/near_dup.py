@@ -45,10 +45,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-# Documents of a block, and shingles of a matrix of it.
-BLOCK_ROWS, BLOCK_GRAMS = 512, 4096
+# Documents of a block, shingles of a matrix of it, and the largest count of a
+# shingle in a document that goes into one.
+BLOCK_ROWS, BLOCK_GRAMS, BLOCK_COUNT = 512, 4096, 6
 # Rows of blocks in one task.
-SHARD_ROWS = 4096
+SHARD_ROWS = 1024
 RUN_BYTES = 4 << 20
 # Points drawn at once for each shingle when few shingles are left.
 DRAW, FEW = 32, 4096
@@ -191,39 +192,117 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
 
+def _common(rows: np.ndarray, grams: np.ndarray, small: np.ndarray, n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many grams each small row shares with each row, of the entries marked
+    ``left`` in the one and ``right`` in the other."""
+    total = np.zeros((len(small), n), np.float32)
+    place = np.full(n, -1)
+    place[small] = np.arange(len(small))
+    left = left & (place[rows] >= 0)
+    names = np.intersect1d(grams[left], grams[right])
+    for low in range(0, len(names), BLOCK_GRAMS):
+        some = names[low : low + BLOCK_GRAMS]
+        sides = []
+        for marked, height in ((left, len(small)), (right, n)):
+            column = np.minimum(np.searchsorted(some, grams[marked]), len(some) - 1)
+            held = some[column] == grams[marked]
+            ones = np.zeros((height, len(some)), np.float32)
+            row = rows[marked][held]
+            ones[place[row] if marked is left else row, column[held]] = 1
+            sides.append(ones)
+        total += sides[0] @ sides[1].T
+    return total
+
+
+def block_similarities(small: np.ndarray, rows: np.ndarray, grams: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """Probability Jaccard of the small rows with all ``n`` rows of a block.
+
+    Common shingles fall into few kinds by their two counts c and d. With N of them
+    of a kind, sum_j max(x_j / c, y_j / d) is the same for all of a kind, and the
+    similarity is the sum of N over it. Shingles that no row has twice are all of
+    the kind (1, 1), so only the others need a matrix for each kind.
+    """
+    order = np.argsort(grams, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = grams[order][1:] != grams[order][:-1]
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    shared = (np.bincount(group) > 1)[group]
+    weight = np.bincount(rows, counts, n)
+    rows, group, counts = rows[shared], group[shared], counts[shared]
+    every = np.ones(len(rows), bool)
+    kinds = {(1, 1): _common(rows, group, small, n, every, every).astype(np.float64)}
+    if len(group):
+        often = np.zeros(group.max() + 1, bool)
+        often[group[counts > 1]] = True
+        rows, group, counts = (x[often[group]] for x in (rows, group, counts))
+        values = np.unique(counts).tolist()
+        marks = {c: counts == c for c in values}
+        for c in values:
+            for d in values:
+                if (c, d) != (1, 1):
+                    kinds[c, d] = _common(rows, group, small, n, marks[c], marks[d]).astype(np.float64)
+                    kinds[1, 1] -= kinds[c, d]
+    similarity = np.zeros((len(small), n))
+    own, others = weight[small][:, None], weight[None, :]
+    for (c, d), number in kinds.items():
+        if number.any():
+            least = sum(m * min(e / c, f / d) for (e, f), m in kinds.items())
+            similarity += number / np.maximum(own / c + others / d - least, 1e-9)
+    return similarity
+
+
+def _at_most(small: np.ndarray, rows: np.ndarray, grams: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """What the similarity of the small rows with all rows is at most.
+
+    With P and Q the shares of the common shingles in the two rows, it is at most
+    1 / (1 / P + 1 / Q - 1): the part of a shingle with the shares p and q is at most
+    1 / (1 / p + (1 - Q) / q), which is concave and homogeneous, so the sum over the
+    common shingles is at most its value at their sums. It is also at most the sum of
+    the geometric means of the shares.
+    """
+    shares = counts / np.bincount(rows, counts, n)[rows]
+    names, column = np.unique(grams, return_inverse=True)
+    shared = np.bincount(column) > 1
+    place = np.cumsum(shared) - 1
+    column = np.where(shared[column], place[column], -1)
+    own, others, roots = (np.zeros((len(small), n), np.float32) for _ in range(3))
+    for low in range(0, int(shared.sum()), BLOCK_GRAMS):
+        part = (column >= low) & (column < low + BLOCK_GRAMS)
+        share = np.zeros((n, min(BLOCK_GRAMS, int(shared.sum()) - low)), np.float32)
+        share[rows[part], column[part] - low] = shares[part]
+        held = (share > 0).astype(np.float32)
+        own += share[small] @ held.T
+        others += held[small] @ share.T
+        root = np.sqrt(share)
+        roots += root[small] @ root.T
+    with np.errstate(divide="ignore"):
+        return np.minimum(1 / (1 / np.minimum(own, 1) + 1 / np.minimum(others, 1) - 1), roots)
+
+
 def block_links(small: np.ndarray, labels: np.ndarray, rows: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
     """Links of a block between different labels: a document of the smaller classes
     and any other, the first found for each such document and label.
 
     ``rows``, ``grams`` and ``counts`` are the block's shingles in order of row and
-    gram; ``small`` are the rows of the documents outside the largest class.
+    gram; ``small`` are the rows of the documents outside the largest class. Rows
+    with a count above ``BLOCK_COUNT`` are compared one by one, so that the kinds of
+    the others stay few.
     """
     n = len(labels)
-    size = np.bincount(rows, minlength=n)
-    plain = np.bincount(rows, counts > 1, n) == 0
-    order = np.argsort(grams, kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = grams[order][1:] != grams[order][:-1]
-    held = np.bincount(np.cumsum(new) - 1) > 1
-    name = np.cumsum(held) - 1
-    shared = held[np.cumsum(new) - 1]
-    row, gram = rows[order][shared], name[(np.cumsum(new) - 1)[shared]]
-    common = np.zeros((len(small), n), np.float32)
-    for low in range(0, int(held.sum()), BLOCK_GRAMS):
-        part = slice(np.searchsorted(gram, low), np.searchsorted(gram, low + BLOCK_GRAMS))
-        matrix = np.zeros((n, BLOCK_GRAMS), np.float32)
-        matrix[row[part], gram[part] - low] = 1
-        common += matrix[small] @ matrix.T
-    jaccard = common / np.maximum(size[small][:, None] + size[None, :] - common, 1)
+    few = np.bincount(rows, counts > BLOCK_COUNT, n) == 0
     apart = labels[small][:, None] != labels[None, :]
-    sure = plain[small][:, None] & plain[None, :]
-    cuts = np.searchsorted(rows, np.arange(n + 1))
+    plain = few[rows]
+    similarity = block_similarities(small, rows[plain], grams[plain], counts[plain], n)
+    sure = few[small][:, None] & few[None, :]
     found: dict[tuple[int, int], tuple[int, int]] = {}
-    # Without repeated shingles both similarities are the same; otherwise the
-    # probability Jaccard is at most the shared part of the larger weight.
-    for a, b in zip(*np.nonzero(apart & sure & (jaccard >= SIMILARITY - 1e-6)), strict=True):
+    for a, b in zip(*np.nonzero(apart & sure & (similarity >= SIMILARITY - 1e-9)), strict=True):
         found.setdefault((int(small[a]), int(labels[b])), (int(small[a]), int(b)))
-    for a, b in zip(*np.nonzero(apart & ~sure & (common > 0)), strict=True):
+    cuts = np.searchsorted(rows, np.arange(n + 1))
+    unsure = apart & ~sure
+    if unsure.any():
+        unsure &= _at_most(small, rows, grams, counts, n) >= SIMILARITY - 1e-4
+    for a, b in zip(*np.nonzero(unsure), strict=True):
         one = int(small[a])
         if (one, int(labels[b])) not in found:
             x, y = slice(cuts[one], cuts[one + 1]), slice(cuts[b], cuts[b + 1])

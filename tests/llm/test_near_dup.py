@@ -87,6 +87,12 @@ def test_block_similarities():
     found = near_dup.block_similarities(small, rows, grams.astype(np.uint64), counts, 25)
     for a, i in enumerate(small):
         assert found[a] == pytest.approx([similarity(bags[i], bag) for bag in bags])
+    heavy = np.where(np.arange(len(counts)) % 5 == 0, counts * 40, counts)
+    bags = [Counter(dict(zip(grams[rows == i].tolist(), heavy[rows == i].tolist()))) for i in range(25)]
+    most = near_dup._at_most(small, rows, grams.astype(np.uint64), heavy, 25)
+    for a, i in enumerate(small):
+        assert all(m >= similarity(bags[i], bag) - 1e-5 for m, bag in zip(most[a], bags))
+        assert most[a][i] == pytest.approx(1, abs=1e-5)
 
 
 def test_registers_agree_as_often_as_similar():
