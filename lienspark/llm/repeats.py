@@ -48,12 +48,14 @@ KEY_BITS = 40
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bytes of text per chunk, bucket and shard, and occurrences per shard of an anchor."""
+    """Bytes of text per chunk, bucket, shard and bucket of open windows, and
+    occurrences per shard of an anchor."""
 
     chunk: int = 1 << 20
-    bucket: int = 14 << 20
-    shard: int = 4 << 20
-    occurrences: int = 512
+    bucket: int = 4 << 20
+    shard: int = 2 << 20
+    open: int = 16 << 20
+    occurrences: int = 256
 
 
 @dataclass(frozen=True)
@@ -183,8 +185,8 @@ def _numbers(data: bytes, n: int) -> np.ndarray:
 ASKED = "bucket int, chunk int, low binary, high binary, ids binary, doc binary, segment binary, times binary"
 ANSWERED = "chunk int, bucket int, low binary, high binary, ids binary, doc binary, segment binary, dealt binary"
 STRETCHED = "shard long, chunk int, doc_id long, start long, first boolean, dealt boolean, items binary"
-MATCHED = "place long, chunk int, doc_id long, starts binary, ends binary, digests binary"
-COVERED = "chunk int, doc_id long, starts binary, ends binary"
+MATCHED = "place long, ids binary, chunks binary, starts binary, ends binary, digests binary"
+COVERED = "chunk int, ids binary, starts binary, ends binary"
 
 
 def _schema(text: str) -> pa.Schema:
@@ -411,21 +413,25 @@ def _matches(kind: Kind, item_type: type, chunks: int, buckets: int):
         # ``length - 1`` positions without a window.
         at = starts[where] + begin - bounds[where]
         until = at + (end - begin) - 1 + kind.length
-        for low, high in _equal_runs(ids[where]):
-            rows.append((int(owner[where[low]]), int(owner[where[low]]), int(ids[where[low]]), at[low:high].tobytes(), until[low:high].tobytes(), None))
+        order = np.argsort(owner[where], kind="stable")
+        where, at, until = where[order], at[order], until[order]
+        for low, high in _equal_runs(owner[where]):
+            mine = slice(low, high)
+            rows.append((int(owner[where[low]]), ids[where[mine]].tobytes(), None, at[mine].tobytes(), until[mine].tobytes(), None))
         mask = found.open.copy()
         mask[~np.repeat(dealt & ~first, np.diff(bounds))] = False
         if mask.any():
             spot = np.flatnonzero(mask)
             one, two = digests(items, kind.length)
             place = (one[spot] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            spot, place = spot[order], place[order]
             where = np.searchsorted(bounds[1:], spot, "right")
-            order = np.lexsort((ids[where], place))
-            spot, place, where = spot[order], place[order], where[order]
-            for low, high in _equal_runs(place, ids[where]):
-                at = starts[where[low:high]] + spot[low:high] - bounds[where[low:high]]
-                both = np.concatenate((one[spot[low:high]], two[spot[low:high]]))
-                rows.append((chunks + int(place[low]), int(owner[where[low]]), int(ids[where[low]]), at.tobytes(), None, both.tobytes()))
+            at = starts[where] + spot - bounds[where]
+            for low, high in _equal_runs(place):
+                mine = slice(low, high)
+                both = np.concatenate((one[spot[mine]], two[spot[mine]]))
+                rows.append((chunks + int(place[low]), ids[where[mine]].tobytes(), owner[where[mine]].tobytes(), at[mine].tobytes(), None, both.tobytes()))
         return _table(rows, MATCHED)
 
     return matches
@@ -436,16 +442,15 @@ def _resolved(kind: Kind, chunks: int):
 
     def resolved(key, table):
         if key[0].as_py() < chunks:
-            return table.select(["chunk", "doc_id", "starts", "ends"])
-        starts, one, two, row = [], [], [], []
-        for number, (s, d) in enumerate(zip(table.column("starts").to_pylist(), table.column("digests").to_pylist(), strict=True)):
-            starts.append(np.frombuffer(s, np.int64))
-            both = np.frombuffer(d, np.uint64)
-            one.append(both[: len(both) // 2])
-            two.append(both[len(both) // 2 :])
-            row.append(np.full(len(starts[-1]), number))
-        starts, one, two, row = map(np.concatenate, (starts, one, two, row))
-        ids, owner = table.column("doc_id").to_numpy()[row], table.column("chunk").to_numpy()[row]
+            return pa.table({"chunk": table.column("place").cast(pa.int32()), **{n: table.column(n) for n in ("ids", "starts", "ends")}})
+
+        def joined(name: str, item: type) -> list[np.ndarray]:
+            return [np.frombuffer(x, item) for x in table.column(name).to_pylist()]
+
+        ids, starts = np.concatenate(joined("ids", np.int64)), np.concatenate(joined("starts", np.int64))
+        owner, both = np.concatenate(joined("chunks", np.int32)), joined("digests", np.uint64)
+        one = np.concatenate([x[: len(x) // 2] for x in both])
+        two = np.concatenate([x[len(x) // 2 :] for x in both])
         order = np.lexsort((starts, ids, two, one))
         starts, one, two, ids, owner = starts[order], one[order], two[order], ids[order], owner[order]
         new = np.ones(len(one), bool)
@@ -455,11 +460,11 @@ def _resolved(kind: Kind, chunks: int):
         if kind.within:
             late |= (ids == ids[head]) & (starts > starts[head])
         order = np.flatnonzero(late)
-        order = order[np.lexsort((starts[order], ids[order]))]
+        order = order[np.argsort(owner[order], kind="stable")]
         ids, owner, starts = ids[order], owner[order], starts[order]
         rows = [
-            (int(owner[low]), int(ids[low]), starts[low:high].tobytes(), (starts[low:high] + kind.length).tobytes())
-            for low, high in _equal_runs(ids)
+            (int(owner[low]), ids[low:high].tobytes(), starts[low:high].tobytes(), (starts[low:high] + kind.length).tobytes())
+            for low, high in _equal_runs(owner)
         ]
         return _table(rows, COVERED)
 
@@ -469,10 +474,8 @@ def _resolved(kind: Kind, chunks: int):
 def covered_items(chunk: Chunk, intervals: pa.Table) -> np.ndarray:
     """Step 5: which of a chunk's items lie in an interval."""
     change = np.zeros(len(chunk.items) + 1, np.int32)
-    for doc, starts, ends in zip(
-        intervals.column("doc_id").to_pylist(), intervals.column("starts").to_pylist(), intervals.column("ends").to_pylist(), strict=True
-    ):
-        base = chunk.doc_bounds[np.searchsorted(chunk.ids, doc)]
+    for ids, starts, ends in zip(*(intervals.column(n).to_pylist() for n in ("ids", "starts", "ends")), strict=True):
+        base = chunk.doc_bounds[np.searchsorted(chunk.ids, np.frombuffer(ids, np.int64))]
         np.add.at(change, np.frombuffer(starts, np.int64) + base, 1)
         np.add.at(change, np.frombuffer(ends, np.int64) + base, -1)
     return np.cumsum(change)[:-1] > 0
@@ -491,7 +494,8 @@ def repeats(
     asked = by_chunk.applyInArrow(_asks(kind, bits), ASKED)
     answered = asked.groupBy("bucket").applyInArrow(_answers(sizes.occurrences), ANSWERED)
     stretched = by_chunk.cogroup(answered.groupBy("chunk")).applyInArrow(_stretches(kind, bits, shards), STRETCHED)
-    matched = stretched.groupBy("shard").applyInArrow(_matches(kind, item_type, chunks, shards), MATCHED)
+    left = max(1, -(-total // sizes.open))
+    matched = stretched.groupBy("shard").applyInArrow(_matches(kind, item_type, chunks, left), MATCHED)
     covered = matched.groupBy("place").applyInArrow(_resolved(kind, chunks), COVERED)
 
     def reported(key, texts, intervals):

@@ -29,15 +29,27 @@ from lienspark.llm.registry import read, registered
 from lienspark.llm.repeats import Chunk, Found, Kind, Sizes, Stretches, byte_items, repeats
 
 LENGTH = 50
-Q = 8
+Q = 5
+# Up to so many suffixes a key of PACKED_KEY bits and a place go into one number.
+PACKED_PLACE, PACKED_KEY = 21, 42
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Dense numbers of the keys in their order."""
-    order = np.argsort(keys)
+    """Dense numbers of the keys in their order.
+
+    Where a key and its place fit in one number those are sorted, which is several
+    times faster than sorting places by key.
+    """
+    if len(keys) <= 1 << PACKED_PLACE and (not len(keys) or int(keys.max()) < 1 << PACKED_KEY):
+        packed = np.sort(keys << np.uint64(PACKED_PLACE) | np.arange(len(keys), dtype=np.uint64))
+        order = (packed & np.uint64((1 << PACKED_PLACE) - 1)).astype(np.int64)
+        ordered = packed >> np.uint64(PACKED_PLACE)
+    else:
+        order = np.argsort(keys)
+        ordered = keys[order]
     new = np.zeros(len(keys), np.int64)
-    new[1:] = keys[order][1:] != keys[order][:-1]
+    new[1:] = ordered[1:] != ordered[:-1]
     ranks = np.empty(len(keys), np.int64)
     ranks[order] = np.cumsum(new)
     return ranks
@@ -61,7 +73,8 @@ def buckets(items: np.ndarray, bounds: np.ndarray, length: int, q: int = Q) -> t
         held = np.flatnonzero(room >= depth + step)
         shared = np.bincount(pointer[held], minlength=1)[pointer[held]] > 1
         more, alone = held[shared], held[~shared]
-        refined = _ranks(pointer[more].astype(np.uint64) << np.uint64(32) | pointer[more + step].astype(np.uint64))
+        bits = np.uint64(int(n).bit_length())
+        refined = _ranks(pointer[more].astype(np.uint64) << bits | pointer[more + step].astype(np.uint64))
         count = int(refined.max()) + 1 if len(refined) else 0
         turned = np.zeros(n, np.int64)
         turned[more] = refined

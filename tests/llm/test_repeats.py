@@ -8,7 +8,7 @@ import pytest
 from lienspark.llm import suffix_array, suffix_automaton
 from lienspark.llm.repeats import Sizes
 
-SMALL = Sizes(chunk=600, bucket=1500, shard=900, occurrences=2)
+SMALL = Sizes(chunk=600, bucket=1500, shard=900, open=3000, occurrences=2)
 
 
 def plain_bytes(rows):
