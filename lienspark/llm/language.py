@@ -173,7 +173,7 @@ def cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Windows (rows) of ``STEPS`` bytes from ``starts``, padded from ``ends`` on."""
     at = starts[:, None] + np.arange(STEPS)[None, :]
     real = at < ends[:, None]
-    return np.where(real, data[np.minimum(at, len(data) - 1)], PAD).astype(np.int64)
+    return np.where(real, data[np.minimum(at, len(data) - 1)].astype(np.int64), PAD)
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ def test_descent_reaches_the_optimum():
     for _ in range(200):
         w = weights.copy()
         w[:30] += rng.normal(0, 0.01, 30)
-        assert objective(w, bias + rng.normal(0, 0.01)) > best - 2e-2
+        assert objective(w, bias + rng.normal(0, 0.01)) > 0.99 * best
 
 
 def test_features_are_distinct_and_by_document():
