@@ -5,20 +5,26 @@ counts are exact over all learned documents: chunks of documents send their dist
 tokens, as 64-bit hashes packed by hash bucket, and get the counts back in the same
 order. They give the base score (add 0.1) and the lowest order of the model.
 
-The trie holds the words that occur at least once in a million learned bytes and,
-among those words, the pairs and triples at least ``NGRAM_SHARE`` times a byte. As
-their counts sum to less than the bytes, at most 1 / share of each can exist, which
-bounds the trie at any size of the corpus. Higher orders are discounted by a
-constant, what they leave goes to the lower order, so that the chances of all
-tokens in a context sum to 1 up to the rounding of the codes.
-
-A level keeps its n-grams in order of parent and word. The words of one parent
-follow on the largest of the parent before, so the level is one ascending
-sequence, and the parents' first children are another; both are Elias-Fano coded.
-Log chances and back-off weights are codes of two bytes. To find a word after a
-context, its sequence is searched for the successor of the word plus the context's
-base. The levels are sent to the executors as bytes, and each task lays them out in
-a memory map of its own: a file to map would have to lie on every executor's disk.
+Of the higher orders the model holds the pairs and triples that learned documents
+have ``NGRAM_COUNT`` times, whatever the size of the corpus, so it grows with the
+input. They are discounted by a constant, what that leaves goes to the lower order,
+so that the chances of all tokens in a context sum to 1.
+
+Held words are numbered by bucket and hash, held n-grams by bucket and key; an
+n-gram's key is the number of its context and that of its word. A chunk sends its
+distinct n-grams to the buckets of their keys' hashes. A bucket is a shard of the
+trie and never leaves its task: words follow on the largest of the context before,
+so a shard is one ascending sequence, and the contexts' first children are another;
+both are Elias-Fano coded and lie in a memory map. The chunk gets back counts and
+numbers, with which it asks for the next order. As a shard takes n-grams by their
+own hash, the words after a frequent context are spread over all shards; each sends
+the context's bucket one sum, and back-off weights are answered from there. The
+driver holds one count for each bucket.
+
+A chunk is a run of the rows as they are read. It is packed once as the places of its
+tokens among its distinct ones, and shuffled in that form; texts are not shuffled. An
+n-gram is asked for when what it begins and ends with occurs often enough. Log weights
+and chances in the lower order are sent as codes of two bytes.
 
 Nulls and corner cases: a null text is empty, and an empty one is the end alone; a
 null ``doc_id`` is not learned from and not held out; with nothing learned every
@@ -29,28 +35,34 @@ read.
 from __future__ import annotations
 
 import mmap
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.llm.elias_fano import EliasFano
 from lienspark.llm.io import written
 from lienspark.llm.registry import read, registered
-from lienspark.llm.text import Words, runs, utf8
+from lienspark.llm.text import Words, mix, runs, utf8
+from lienspark.settings import session_conf
 
 ORDER = 3
 ADDED = 0.1
 DISCOUNT = 0.5
-WORD_SHARE, NGRAM_SHARE = 1e-6, 2e-7
-# Codes are thousandths of a power of ten.
-CODE = 1000.0
-WORD_BITS = 21
+# Words and longer n-grams are held from so many occurrences on.
+WORD_COUNT, NGRAM_COUNT = 1, 2
+# Log chances and weights are sent as codes, so many to a power of ten.
+CODE = 3000.0
 CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 16 << 20
-MERGE_ROWS = 1 << 21
+# Shuffle files of a step are deleted once its rows are written.
+SHORT_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 END = np.uint64(0xE4D0_0F7E_9A11_D0C5)
 
 
@@ -117,7 +129,7 @@ class Level:
 
 @dataclass
 class Trie:
-    """Words by hash (level 1), and the levels of longer n-grams."""
+    """Contexts in their order (level 1), and the levels below them."""
 
     words: np.ndarray
     weights: np.ndarray
@@ -125,29 +137,12 @@ class Trie:
     counts: list[np.ndarray]  # kept only while the trie is built
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each word, -1 if it is not held."""
+        """The place of each context, -1 if it is not held."""
         if not len(self.words):
             return np.full(len(hashes), -1, np.int64)
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return np.where(self.words[at] == hashes, at, -1)
 
-    def places(self, tokens: Tokens) -> list[np.ndarray]:
-        """By order, the n-gram that ends at each token, -1 where it is not held.
-
-        Each distinct pair of a context and a word is searched for once.
-        """
-        found = [self.ids(tokens.hashes)]
-        for order, level in enumerate(self.levels, 2):
-            parent = np.full(len(tokens.hashes), -1, np.int64)
-            parent[1:] = found[-1][:-1]
-            parent[tokens.depth < order - 1] = -1
-            asked = np.flatnonzero((parent >= 0) & (found[0] >= 0))
-            pairs, back = np.unique(parent[asked] << WORD_BITS | found[0][asked], return_inverse=True)
-            place = np.full(len(tokens.hashes), -1, np.int64)
-            place[asked] = level.find(pairs >> WORD_BITS, pairs & ((1 << WORD_BITS) - 1))[back]
-            found.append(place)
-        return found
-
     def arrays(self) -> list[np.ndarray]:
         out = [self.words, self.weights]
         for level in self.levels:
@@ -194,263 +189,376 @@ class Unigrams:
         return np.log10((count + ADDED) / (self.total + ADDED * (self.distinct + 1)))
 
 
-def _codes(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(values * CODE), -32768, 32767).astype(np.int16)
+# --- Counting --------------------------------------------------------------------
 
+# Rows of all steps. By kind, ``a``, ``b`` and ``c`` are: of a chunk, its state; of
+# answers, counts and the numbers of held n-grams; of weights, their codes; of asks,
+# keys, counts and codes of the chances in the lower order; of contexts, ranks in the
+# bucket and counts; of sums, ranks, twice the discounted counts and the chances in the
+# lower order; of totals, the numbers of tokens, of distinct and of held n-grams.
+PARTS = "chunk long, kind int, bucket int, a binary, b binary, c binary"
+STATE, ANSWERS, WEIGHTS, ASKS, CONTEXTS, SUMS, TOTALS = 0, 10, 20, 30, 40, 50, 60
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
-def smooth(trie: Trie, unigrams: Unigrams) -> None:
-    """Fill in chances and back-off weights of all levels from the counts.
 
-    With c the count of a context and k of its n-grams held, those have the chance
-    (count - discount) / c. The weight of a context is what is left of 1 over what
-    the lower order leaves to the tokens that are not among its n-grams.
-    """
-    lower = 10 ** unigrams.log(trie.counts[0])  # of each held word by itself
-    parents = np.arange(len(trie.words))
-    chains: list[np.ndarray] = []
-    for order, level in enumerate(trie.levels, 2):
-        first = level.children.access(np.arange(len(parents) + 1)).astype(np.int64)
-        parent = np.repeat(np.arange(len(parents)), np.diff(first))
-        base = np.where(first[:-1] > 0, level.words.access(np.maximum(first[:-1] - 1, 0)).astype(np.int64) + 1, 0) if level.words.size else first[:-1]
-        word = level.words.access(np.arange(level.words.size)).astype(np.int64) - base[parent] if level.words.size else np.empty(0, np.int64)
-        held = (trie.counts[order - 1] - DISCOUNT) / trie.counts[order - 2][parent]
-        if order == 2:
-            below = lower[word]
-        else:
-            # The chance of the word after the context without its first word.
-            shorter = chains[-1][parent]
-            at = trie.levels[order - 3].find(shorter, word)
-            below = np.where(at >= 0, exact[np.maximum(at, 0)] if len(exact) else 0, spare[shorter] * lower[word])
-        left = 1 - np.bincount(parent, held, len(parents))
-        rest = 1 - np.bincount(parent, below, len(parents))
-        weight = np.maximum(left, 1e-9) / np.maximum(rest, 1e-9)
-        level.chances = _codes(np.log10(held))
-        codes = _codes(np.log10(weight))
-        if order == 2:
-            trie.weights, spare = codes, weight
-        else:
-            trie.levels[order - 3].weights = codes
-        exact = held
-        chains.append(word)
-        parents = np.arange(level.words.size)
-
-
-def token_logs(trie: Trie, tokens: Tokens, alone: np.ndarray) -> np.ndarray:
-    """Log chance of each token, given those of the lowest order."""
-    places = trie.places(tokens)
-    total, done = np.zeros(len(alone)), np.zeros(len(alone), bool)
-    for order in range(len(places), 1, -1):
-        place = places[order - 1]
-        here = ~done & (place >= 0)
-        total[here] += trie.levels[order - 2].chances[place[here]] / CODE
-        done |= here
-        context = np.full(len(alone), -1, np.int64)
-        context[1:] = places[order - 2][:-1]
-        context[tokens.depth < order - 1] = -1
-        weights = trie.weights if order == 2 else trie.levels[order - 3].weights
-        back = ~done & (context >= 0)
-        total[back] += weights[context[back]] / CODE
-    total[~done] += alone[~done]
-    return total
+def _small(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 up, as planes of the bytes they need."""
+    values = np.ascontiguousarray(values, np.uint64)
+    width = -(-int(values.max()).bit_length() // 8) if len(values) else 0
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    head = np.array([len(values) << 5 | width << 1 | (len(planes) > 512)], np.uint64).tobytes()
+    return head + (pa.compress(planes, codec="zstd", asbytes=True) if len(planes) > 512 else planes)
 
 
-# --- Counting --------------------------------------------------------------------
+def _numbers(data: bytes) -> np.ndarray:
+    head = int(np.frombuffer(data, np.uint64, 1)[0])
+    n, width = head >> 5, head >> 1 & 15
+    planes = pa.decompress(data[8:], n * width, codec="zstd", asbytes=True) if head & 1 else data[8:]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.view(np.int64).ravel()
 
-ASKED = "bucket int, chunk int, keys binary, counts binary"
-ANSWERED = "chunk int, bucket int, counts binary, keys binary, distinct long, total long"
-COUNTED = "bucket int, keys binary, counts binary"
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
+def _steps(values: np.ndarray) -> bytes:
+    """Ascending numbers."""
+    return _small(np.diff(values.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def _ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(data).view(np.uint64))
+
+
+def _step(frame: DataFrame, name: str) -> DataFrame:
+    with session_conf(frame.sparkSession, SHORT_SHUFFLES):
+        return written(frame, name)
 
-def _small(values: np.ndarray) -> bytes:
-    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0)).tobytes()
 
+def _parts(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * 6
+    kinds = [pa.int64()] + [pa.int32()] * 2 + [pa.binary()] * 3
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["chunk", "kind", "bucket", "a", "b", "c"])
 
-def _numbers(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"u{len(data) // n}" if n else np.uint8).astype(np.int64)
 
+def _by_bucket(keys: np.ndarray, order: int, bits: int) -> list[tuple[int, np.ndarray]]:
+    """Buckets of sorted keys, each with its keys' places in their order."""
+    if not bits or not len(keys):
+        return [(0, np.arange(len(keys)))] if len(keys) else []
+    bucket = ((keys if order == 1 else mix(keys)) >> np.uint64(64 - bits)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[by], np.arange((1 << bits) + 1))
+    return [(b, by[cuts[b] : cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts)).tolist()]
 
-def _by_bucket(keys: np.ndarray, bits: int) -> list[tuple[int, slice]]:
-    cuts = np.searchsorted(keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64), np.arange((1 << bits) + 1))
+
+def _by_base(numbers: np.ndarray, base: np.ndarray) -> list[tuple[int, slice]]:
+    """Buckets of ascending numbers, when bucket b has those from ``base[b]`` on."""
+    cuts = np.searchsorted(numbers, base)
     return [(b, slice(cuts[b], cuts[b + 1])) for b in np.flatnonzero(np.diff(cuts)).tolist()]
 
 
-def _asks(bits: int):
-    """A chunk's distinct tokens and how often its learned documents have them."""
+@dataclass(frozen=True)
+class Model:
+    """What every task knows: limits, and by order the first number of each bucket."""
+
+    bits: int
+    least: tuple[float, ...]
+    unigrams: Unigrams
+    bases: tuple[np.ndarray, ...] = ()
+
+    @property
+    def word_bits(self) -> int:
+        return max(1, int(self.bases[0][-1]).bit_length())
+
+    def keys(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return contexts.astype(np.uint64) << np.uint64(self.word_bits) | words.astype(np.uint64)
+
+    def with_order(self, totals: list) -> Model:
+        """With the numbers that follow from the held n-grams of each bucket."""
+        held = np.zeros(1 << self.bits, np.int64)
+        for r in totals:
+            held[r["bucket"]] = np.frombuffer(r["a"], np.int64)[2]
+        more = replace(self, bases=(*self.bases, np.concatenate(([0], np.cumsum(held)))))
+        if len(more.bases) < ORDER and int(more.bases[-1][-1]).bit_length() + more.word_bits > 64:
+            raise OverflowError("contexts and words do not fit in keys of 64 bits")
+        return more
+
+
+class Chunk:
+    """A packed chunk with what has been answered so far."""
+
+    def __init__(self, table: pa.Table, model: Model):
+        self.model, self.rows = model, {}
+        names = ("kind", "bucket", "a", "b")
+        for kind, bucket, a, b in zip(*(table.column(n).to_pylist() for n in names), strict=True):
+            if kind == STATE:
+                self.ids, self.null, self.held_out, self.learned, self.bounds, back = _state(a)
+            else:
+                self.rows[kind, bucket] = a, b
+        n = len(self.bounds) - 1
+        self.texts = np.repeat(np.arange(n), np.diff(self.bounds))
+        self.depth = np.arange(len(back)) - self.bounds[:-1][self.texts]
+        counts, numbers = self._words()
+        # By order, the count and the number (-1: not held) of the n-gram that ends at each token.
+        self.counts, self.numbers = [counts[back]], [numbers[back]]
+        # By order of the n-grams below it, the context of each token and its log weight.
+        self.contexts, self.weights = [], []
+
+    def _words(self) -> tuple[np.ndarray, np.ndarray]:
+        """As buckets are ranges of hashes, their answers are those of all words in order."""
+        counts, numbers = [], []
+        for b in sorted(b for kind, b in self.rows if kind == ANSWERS + 1):
+            packed, steps = self.rows[ANSWERS + 1, b]
+            counts.append(_numbers(packed))
+            numbers.append(np.full(len(counts[-1]), -1, np.int64))
+            numbers[-1][counts[-1] >= self.model.least[0]] = self.model.bases[0][b] + _ascending(steps).astype(np.int64)
+        return np.concatenate(counts), np.concatenate(numbers)
+
+    def _answered(self, keys: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        counts, numbers = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
+        least, base = self.model.least[order - 1], self.model.bases[order - 1]
+        for b, part in _by_bucket(keys, order, self.model.bits):
+            packed, steps = self.rows[ANSWERS + order, b]
+            counts[part] = _numbers(packed)
+            numbers[part[counts[part] >= least]] = base[b] + _ascending(steps).astype(np.int64)
+        return counts, numbers
+
+    def before(self, order: int, values: np.ndarray, none) -> np.ndarray:
+        """Of each token, the value of the token before it in its text."""
+        out = np.full(len(values), none, values.dtype)
+        out[1:] = values[:-1]
+        out[self.depth < order - 1] = none
+        return out
+
+    def asked(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens at the end of n-grams of held parts, their distinct keys, where each
+        key is first among those tokens, and the key of each of those tokens."""
+        context, word = self.before(order, self.numbers[order - 2], -1), self.numbers[0]
+        # What an n-gram ends and begins with occurs as often as it does at least, so
+        # no n-gram that is held is left out here.
+        least = self.model.least[order - 1]
+        often = (self.before(order, self.counts[order - 2], 0) >= least) & (self.counts[order - 2] >= least)
+        tokens = np.flatnonzero((context >= 0) & (word >= 0) & often)
+        return tokens, *np.unique(self.model.keys(context[tokens], word[tokens]), return_index=True, return_inverse=True)
+
+    def add_counts(self, order: int) -> None:
+        tokens, keys, _, back = self.asked(order)
+        counts, numbers = self._answered(keys, order)
+        for kept, found, none in ((self.counts, counts, 0), (self.numbers, numbers, -1)):
+            kept.append(np.full(len(self.depth), none, np.int64))
+            kept[-1][tokens] = found[back]
+
+    def add_weights(self, order: int) -> None:
+        context = self.before(order, self.numbers[order - 2], -1)
+        distinct, back = np.unique(context, return_inverse=True)
+        found = np.zeros(len(distinct))
+        for b, part in _by_base(distinct, self.model.bases[order - 2]):
+            found[part] = (_numbers(self.rows[WEIGHTS + order, b][0]) - 32768) / CODE
+        self.contexts.append(context)
+        self.weights.append(found[back])
+
+    def logs(self, order: int) -> np.ndarray:
+        """Log chance of each token after up to ``order`` - 1 tokens."""
+        logs = self.model.unigrams.log(self.counts[0])
+        for longer in range(2, order + 1):
+            of = np.maximum(self.before(longer, self.counts[longer - 2], 0), 1)
+            held = self.numbers[longer - 1] >= 0
+            exact = np.log10(np.where(held, self.counts[longer - 1] - DISCOUNT, 1) / of)
+            logs = np.where(held, exact, logs + self.weights[longer - 2])
+        return logs
+
+
+def _packed(ids, null, held_out, learned, bounds, back) -> bytes:
+    return pickle.dumps((ids, null, held_out, learned, bounds, _small(back)), 5)
+
+
+def _state(data: bytes) -> tuple[np.ndarray, ...]:
+    *rest, back = pickle.loads(data)
+    return *rest, _numbers(back)
+
+
+def _packs(bits: int, chunk_bytes: int):
+    """Chunks' states, and their distinct tokens with how often the learned texts have them."""
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for run in runs(batch, limit=chunk_bytes):
+                tokens = Tokens(run.column("text"))
+                learned = run.column("learned").to_numpy(zero_copy_only=False)
+                held_out = run.column("held_out").to_numpy(zero_copy_only=False)
+                keys, back = np.unique(tokens.hashes, return_inverse=True)
+                counts = np.bincount(back[learned[tokens.texts]], minlength=len(keys))
+                ids = run.column("doc_id")
+                null = ids.is_null().to_numpy(zero_copy_only=False)
+                state = _packed(ids.fill_null(0).to_numpy(), null, held_out, learned, tokens.bounds, back)
+                rows = [(chunk, ASKS + 1, b, _steps(keys[part]), _small(counts[part]), None) for b, part in _by_bucket(keys, 1, bits)]
+                yield from _parts([(chunk, STATE, None, state, None, None), *rows]).to_batches()
+                chunk += 1
+
+    return packs
+
+
+def _codes(logs: np.ndarray) -> bytes:
+    return _small(np.clip(np.rint(logs * CODE) + 32768, 0, 65535))
+
+
+def _asks(model: Model, order: int):
+    """A chunk's distinct n-grams and, for their back-off weights, its contexts."""
 
     def asks(key, table):
-        tokens = Tokens(table.column("text"))
-        learned = table.column("learned").to_numpy(zero_copy_only=False)
-        keys, back = np.unique(tokens.hashes, return_inverse=True)
-        counts = np.bincount(back[learned[tokens.texts]], minlength=len(keys))
-        rows = [(b, key[0].as_py(), keys[part].tobytes(), _small(counts[part])) for b, part in _by_bucket(keys, bits)]
-        bucket, chunk, packed, times = zip(*rows, strict=True)
-        return pa.table({"bucket": pa.array(bucket, pa.int32()), "chunk": pa.array(chunk, pa.int32()), "keys": packed, "counts": times})
+        name, chunk = key[0].as_py(), Chunk(table, model)
+        for shorter in range(2, order):
+            chunk.add_counts(shorter)
+            chunk.add_weights(shorter)
+        tokens, keys, first, back = chunk.asked(order)
+        counts = np.bincount(back[chunk.learned[chunk.texts[tokens]]], minlength=len(keys))
+        # The chance of the word after the context without its first word.
+        lower = -chunk.logs(order - 1)[tokens[first]]
+        rows = [
+            (name, ASKS + order, b, _steps(keys[part]), _small(counts[part]), _codes(lower[part]))
+            for b, part in _by_bucket(keys, order, model.bits)
+        ]
+        context, first = np.unique(chunk.before(order, chunk.numbers[order - 2], -1), return_index=True)
+        times = chunk.before(order, chunk.counts[order - 2], 0)[first]
+        base = model.bases[order - 2]
+        rows += [
+            (name, CONTEXTS + order, b, _steps(context[part] - base[b]), _small(times[part]), None)
+            for b, part in _by_base(context, base)
+        ]
+        return _parts(rows)
 
     return asks
 
 
-def _answers(least: float):
-    """All learned counts, for each chunk in the order it asked; and in one row of
-    chunk -1 the bucket's totals with the words that occur ``least`` times."""
+def _answers(model: Model, order: int):
+    """Counts and numbers for each chunk in the order it asked, the bucket's totals, and
+    for each bucket of contexts what this one's n-grams take from their chances.
+    Rows of contexts are passed on."""
 
     def answers(key, table):
-        parts = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-        counts = [_numbers(c, len(k)) for c, k in zip(table.column("counts").to_pylist(), parts, strict=True)]
-        keys, back = np.unique(np.concatenate(parts), return_inverse=True)
+        asked = pc.equal(table.column("kind"), ASKS + order)
+        passed, table = table.filter(pc.invert(asked)), table.filter(asked)
+        if not table.num_rows:
+            return passed
+        bucket, chunks = key[0].as_py(), table.column("chunk").to_pylist()
+        parts = [_ascending(k) for k in table.column("a").to_pylist()]
+        counts = [_numbers(c) for c in table.column("b").to_pylist()]
+        keys, first, back = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
         total = np.bincount(back, np.concatenate(counts)).astype(np.int64)
+        often = total >= model.least[order - 1]
+        sums = []
+        if order == 1:
+            place = np.where(often, np.cumsum(often) - 1, -1)
+        else:
+            bits = np.uint64(model.word_bits)
+            above, word = keys >> bits, (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+            contexts, parent = np.unique(above[often], return_inverse=True)
+            shard = Trie(contexts, np.zeros(len(contexts), np.int16), [Level.of(len(contexts), parent, word[often])], [])
+            shard = Trie.mapped(shard.serialised())
+            place = shard.levels[0].find(shard.ids(above), word)
+            total[~often] = 0
+            lower = np.concatenate([_numbers(c) for c in table.column("c").to_pylist()])[first[often]]
+            taken = np.bincount(parent, 2 * (total[often] - DISCOUNT), len(contexts))
+            below = np.bincount(parent, 10 ** ((32768 - lower) / CODE), len(contexts)).astype(np.float32)
+            contexts, base = contexts.astype(np.int64), model.bases[order - 2]
+            sums = [
+                (bucket, SUMS + order, b, _steps(contexts[part] - base[b]), _small(taken[part]), below[part].tobytes())
+                for b, part in _by_base(contexts, base)
+            ]
         cuts = np.cumsum([0, *map(len, parts)])
-        often = (total >= least) & (total > 0)
-        replies = [_small(total[back[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        n = len(parts)
-        return pa.table(
-            {
-                "chunk": pa.array([*table.column("chunk").to_pylist(), -1], pa.int32()),
-                "bucket": pa.array([key[0].as_py()] * (n + 1), pa.int32()),
-                "counts": pa.array([*replies, total[often].tobytes()], pa.binary()),
-                "keys": pa.array([None] * n + [keys[often].tobytes()], pa.binary()),
-                "distinct": pa.array([None] * n + [int((total > 0).sum())], pa.int64()),
-                "total": pa.array([None] * n + [int(total.sum())], pa.int64()),
-            }
-        )
+        rows = []
+        for chunk, low, high in zip(chunks, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            mine = back[low:high]
+            held = place[mine][often[mine]]
+            rows.append((chunk, ANSWERS + order, bucket, _small(total[mine]), _steps(held), None))
+        totals = np.array([total.sum(), (total > 0).sum(), often.sum()], np.int64)
+        return pa.concat_tables([passed, _parts([*rows, *sums, (None, TOTALS + order, bucket, totals.tobytes(), None, None)])])
 
     return answers
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(back, np.concatenate(counts)).astype(np.int64)
-
-
-def _ngrams(data, buckets: int):
-    """Counts of a context the trie holds with a word it holds, by task."""
-
-    def ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie.mapped(data.value)
-        keys, counts, size = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+def _weights(order: int):
+    """Log weights of the contexts each chunk has, in their order.
 
-        def given():
-            all_keys, all_counts = _merged(keys, counts)
-            bucket = all_keys % buckets
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = [(b, order[cuts[b] : cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts)).tolist()]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b for b, _ in rows], pa.int32()),
-                    pa.array([all_keys[o].tobytes() for _, o in rows], pa.binary()),
-                    pa.array([_small(all_counts[o]) for _, o in rows], pa.binary()),
-                ],
-                ["bucket", "keys", "counts"],
-            )
+    With c the count of a context, its held n-grams have the chances (count -
+    discount) / c. The weight is what they leave of 1 over what the lower order
+    leaves to the tokens that are not among them.
+    """
 
-        for batch in batches:
-            for run in runs(batch):
-                tokens = Tokens(run.column("text"))
-                places = trie.places(tokens)
-                parent = np.full(len(tokens.hashes), -1, np.int64)
-                parent[1:] = places[-1][:-1]
-                parent[tokens.depth < len(places)] = -1
-                both = (parent >= 0) & (places[0] >= 0)
-                mine, times = np.unique(parent[both] << WORD_BITS | places[0][both], return_counts=True)
-                keys.append(mine)
-                counts.append(times)
-                size += len(mine)
-                if size > MERGE_ROWS:
-                    merged = _merged(keys, counts)
-                    if len(merged[0]) > MERGE_ROWS // 2:
-                        yield given()
-                        merged = (np.empty(0, np.int64), np.empty(0, np.int64))
-                    keys, counts = [merged[0]], [merged[1]]
-                    size = len(merged[0])
-        yield given()
-
-    return ngrams
-
-
-def _frequent(least: float):
-    def frequent(key, table):
-        parts = [np.frombuffer(k, np.int64) for k in table.column("keys").to_pylist()]
-        counts = [_numbers(c, len(k)) for c, k in zip(table.column("counts").to_pylist(), parts, strict=True)]
-        keys, total = _merged(parts, counts)
-        often = total >= least
-        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "keys": [keys[often].tobytes()], "counts": [total[often].tobytes()]})
-
-    return frequent
-
-
-def _collected(rows, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.empty(0, kind), *(np.frombuffer(r["keys"], kind) for r in rows)])
-    counts = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in rows)])
-    order = np.argsort(keys)
-    return keys[order], counts[order]
-
-
-def _scores(data, unigrams: Unigrams, bits: int):
-    def scores(key, table, answers):
-        trie = Trie.mapped(data.value)
-        tokens = Tokens(table.column("text"))
-        keys, back = np.unique(tokens.hashes, return_inverse=True)
-        # Answers are in the order of the buckets, which is that of the keys.
-        order = np.argsort(answers.column("bucket").to_numpy())
-        packed = answers.column("counts").to_pylist()
-        places = answers.column("bucket").to_numpy()
-        counts = np.zeros(len(keys), np.int64)
-        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-        cuts = np.searchsorted(bucket, places[order]), np.searchsorted(bucket, places[order], "right")
-        for number, low, high in zip(order.tolist(), *map(np.ndarray.tolist, cuts), strict=True):
-            counts[low:high] = _numbers(packed[number], high - low)
-        count = counts[back]
-        alone = unigrams.log(count)
-        n = table.num_rows
+    def weights(key, asked, sums):
+        sums = sums.sort_by("chunk")
+        ranks = [_ascending(a).astype(np.int64) for a in sums.column("a").to_pylist()]
+        taken = [_numbers(b) / 2 for b in sums.column("b").to_pylist()]
+        below = [np.frombuffer(c, np.float32) for c in sums.column("c").to_pylist()]
+        mine = [_ascending(a).astype(np.int64) for a in asked.column("a").to_pylist()]
+        size = max([0, *(int(m[-1]) + 1 for m in mine)])
+        at = np.concatenate([np.empty(0, np.int64), *ranks])
+        taken, below = (np.bincount(at, np.concatenate([np.empty(0), *v]), size) for v in (taken, below))
+        rows = []
+        for chunk, rank, counts in zip(asked.column("chunk").to_pylist(), mine, asked.column("b").to_pylist(), strict=True):
+            left = np.maximum(1 - taken[rank] / _numbers(counts), 1e-9)
+            rest = np.maximum(1 - below[rank], 1e-9)
+            rows.append((chunk, WEIGHTS + order, key[0].as_py(), _codes(np.log10(left / rest)), None, None))
+        return _parts(rows)
+
+    return weights
+
+
+def _scores(model: Model):
+    def scores(key, table):
+        chunk = Chunk(table, model)
+        for order in range(2, ORDER + 1):
+            chunk.add_counts(order)
+            chunk.add_weights(order)
+        n = len(chunk.ids)
         return pa.table(
             {
-                "doc_id": table.column("doc_id"),
-                "held_out": table.column("held_out"),
-                "n_tokens": pa.array(np.diff(tokens.bounds)),
-                "n_known": pa.array(np.bincount(tokens.texts, count > 0, n).astype(np.int64)),
-                "base_score": pa.array(np.bincount(tokens.texts, alone, n)),
-                "score": pa.array(np.bincount(tokens.texts, token_logs(trie, tokens, alone), n)),
+                "doc_id": pa.array(chunk.ids, pa.int64(), mask=chunk.null),
+                "held_out": pa.array(chunk.held_out),
+                "n_tokens": pa.array(np.diff(chunk.bounds)),
+                "n_known": pa.array(np.bincount(chunk.texts, chunk.counts[0] > 0, n).astype(np.int64)),
+                "base_score": pa.array(np.bincount(chunk.texts, chunk.logs(1), n)),
+                "score": pa.array(np.bincount(chunk.texts, chunk.logs(ORDER), n)),
             }
         )
 
     return scores
 
 
-def language_scores(docs: DataFrame, word_share: float = WORD_SHARE, ngram_share: float = NGRAM_SHARE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Per row of ``docs`` its tokens, known ones, all learned tokens and both scores."""
-    spark = docs.sparkSession
+def language_scores(docs: DataFrame, word_share: float = 0.0, ngram_share: float = 0.0, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Per row of ``docs`` its tokens, known ones, all learned tokens and both scores.
+
+    The shares are for a model smaller than the whole one: they leave out words and
+    longer n-grams that occur less often in a learned byte.
+    """
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10))
     held_out, learned = F.coalesce(remainder == 0, F.lit(False)), F.coalesce(remainder != 0, F.lit(False))
-    texts = docs.select("doc_id", "text", held_out.alias("held_out"), learned.alias("learned"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"), learned.alias("learned"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     sums = texts.agg(F.sum(size).alias("all"), F.sum(F.when(F.col("learned"), size)).alias("learned")).first()
     total, learned_bytes = sums["all"] or 0, sums["learned"] or 0
-    chunks = max(1, -(-total // chunk_bytes))
     bits = max(0, (-(-total // BUCKET_BYTES) - 1).bit_length())
-    by_chunk = texts.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int")).groupBy("chunk")
-    asked = by_chunk.applyInArrow(_asks(bits), ASKED)
-    answered = written(asked.groupBy("bucket").applyInArrow(_answers(word_share * learned_bytes), ANSWERED), "counts")
-
-    # At most 1 / word_share words, as their counts sum to less than the bytes.
-    found = answered.where("chunk = -1").collect()
-    unigrams = Unigrams(sum(r["total"] for r in found), sum(r["distinct"] for r in found))
-    words, counts = _collected(found, np.uint64)
-    trie = Trie(words, np.zeros(len(words), np.int16), [], [counts])
-    for _ in range(2, ORDER + 1):
-        data = spark.sparkContext.broadcast(trie.serialised())
-        counted = texts.where("learned").select("text").mapInArrow(_ngrams(data, 1 << bits), COUNTED)
-        kept = counted.groupBy("bucket").applyInArrow(_frequent(max(2.0, ngram_share * learned_bytes)), COUNTED)
-        keys, counts = _collected(kept.collect(), np.int64)
-        data.unpersist()
-        parents = len(trie.counts[-1])
-        trie.levels.append(Level.of(parents, keys >> WORD_BITS, keys & ((1 << WORD_BITS) - 1)))
-        trie.counts.append(counts)
-    smooth(trie, unigrams)
-    data = spark.sparkContext.broadcast(trie.serialised())
-    replies = answered.where("chunk >= 0").select("chunk", "bucket", "counts")
-    scored = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_scores(data, unigrams, bits), SCORED)
-    return scored.withColumn("train_tokens", F.lit(unigrams.total).cast("long"))
+    least = max(float(NGRAM_COUNT), ngram_share * learned_bytes)
+    model = Model(bits, (max(float(WORD_COUNT), word_share * learned_bytes), *[least] * (ORDER - 1)), Unigrams(0, 0))
+
+    asked = _step(texts.mapInArrow(_packs(bits, chunk_bytes), PARTS), "chunks")
+    known = [asked.where(F.col("kind") == STATE)]
+    for order in range(1, ORDER + 1):
+        if order > 1:
+            asked = reduce(DataFrame.union, known).groupBy("chunk").applyInArrow(_asks(model, order), PARTS)
+        asks = asked.where(F.col("kind") != STATE).groupBy("bucket")
+        answered = _step(asks.applyInArrow(_answers(model, order), PARTS), "answered")
+        known.append(answered.where(F.col("kind") == ANSWERS + order))
+        if order > 1:
+            contexts = answered.where(F.col("kind") == CONTEXTS + order).groupBy("bucket")
+            taken = answered.where(F.col("kind") == SUMS + order).groupBy("bucket")
+            known.append(_step(contexts.cogroup(taken).applyInArrow(_weights(order), PARTS), "weights"))
+        totals = answered.where(F.col("kind") == TOTALS + order).select("bucket", "a").collect()
+        if order == 1:
+            counts = [np.frombuffer(r["a"], np.int64).tolist() for r in totals]
+            model = replace(model, unigrams=Unigrams(sum(c[0] for c in counts), sum(c[1] for c in counts)))
+        model = model.with_order(totals)
+    scored = reduce(DataFrame.union, known).groupBy("chunk").applyInArrow(_scores(model), SCORED)
+    return scored.withColumn("train_tokens", F.lit(model.unigrams.total).cast("long"))
 
 
 @registered("op8_lm_scoring")

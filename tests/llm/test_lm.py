@@ -87,6 +87,26 @@ def test_scores_are_those_of_the_plain_model(table, rows):
         assert found[i].score == pytest.approx(score, abs=1e-3 * found[i].n_tokens + 1e-9)
 
 
+def test_what_occurs_twice_is_held_at_any_size(table):
+    mine = [(3, "seen rarely indeed by anyone"), (4, "seen rarely indeed by some"), (10, "seen rarely indeed by anyone")]
+    filler = [(20 + i, "the same words in every line of it " * 6000) for i in range(20)]
+    assert sum(len(t) for _, t in filler) > 4_000_000
+    found = {r.doc_id: r for r in lm.language_scores(table(mine + filler)).collect()}
+    for i, text in mine:
+        score, _ = plain_score(mine + filler, text, 0, 0)
+        assert found[i].score == pytest.approx(score, abs=1e-2)
+
+
+def test_shards_hold_the_whole_model(table, rows, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 3000)
+    found = {r.doc_id: r for r in lm.language_scores(table(rows), chunk_bytes=2000).collect()}
+    assert len(found) == len(rows)
+    for i in (0, 3, 8, 21, 55, 89, 144, 500):
+        score, everything = plain_score(rows, dict(rows)[i], 0, 0)
+        assert everything == pytest.approx(1)
+        assert found[i].score == pytest.approx(score, abs=1e-3 * found[i].n_tokens)
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(spark):
     found = [r for r in lm.lm_scoring(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert len(found) > 50
