@@ -4,7 +4,8 @@ Base rules count a document's words, symbols, repeated lines and repeated 3-word
 windows. The method hashes normalised lines (lower case, one blank between words),
 counts the documents of a host that hold each, and takes a line for boilerplate
 when more documents than both limits allow have it. A document is rejected when
-boilerplate lines hold more than half of its words. The host is ``source``.
+boilerplate lines hold more than half of its words. The host is ``source``. What is
+left of each text without those lines, in their order, is a column of ``cleaned``.
 
 Every row counts as a document, a line once a document. A third of all lines may
 be of one host or be one line: counts are summed before they are shuffled, and the
@@ -12,7 +13,7 @@ lines above the limits are joined back in a plain join that adaptive execution
 cuts. 3-word windows are compared by 64-bit hashes within a document.
 
 Nulls and corner cases: a null text has no words and fails the base rules, as does
-an empty one; a null source is a host; a null ``doc_id`` is carried along; rows
+an empty one, and stays null; a null source is a host; a null ``doc_id`` is carried along; rows
 that repeat an id each get a result; only ``doc_id``, ``source`` and ``text`` are
 read. All work is done by DataFrame functions.
 """
@@ -32,16 +33,18 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 # A line is boilerplate above so many documents of a host and this share of them.
 LINE_DOCUMENTS, LINE_SHARE = 100, 0.01
 MAX_BOILERPLATE_PERCENT = 50
+HAS_WORD = f"line RLIKE r'{WORD}'"
+NORMALISED = f"trim(regexp_replace(lower(line), r'{SPACES}', ' '))"
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """Base measures of each row, and ``lines``: hash and words of each line."""
+    """Base measures of each row, its text, and ``lines``: hash and words of each line."""
     text = F.coalesce("text", F.lit(""))
     split = (
-        docs.select("doc_id", "source", text.alias("text"))
+        docs.select("doc_id", "source", F.col("text").alias("given"), text.alias("text"))
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("words", F.regexp_extract_all("text", F.lit(WORD), 0))
-        .withColumn("with_word", F.expr(f"filter(split(text, '\\n'), line -> line RLIKE r'{WORD}')"))
+        .withColumn("with_word", F.expr(f"filter(split(text, '\\n'), line -> {HAS_WORD})"))
     )
     windows = split.withColumn(
         "windows",
@@ -64,13 +67,14 @@ def measures(docs: DataFrame) -> DataFrame:
     without_space = F.length(F.translate("text", " \t\n\x0b\x0c\r", ""))
     without_symbol = F.length(F.translate("text", SYMBOLS, ""))
     lines = F.expr(
-        f"transform(transform(with_word, line -> trim(regexp_replace(lower(line), r'{SPACES}', ' '))),"
+        f"transform(transform(with_word, line -> {NORMALISED}),"
         " line -> struct(xxhash64(line) AS hash, length(line) - length(replace(line, ' ', '')) + 1 AS n))"
     )
     return repeated.select(
         "row",
         "doc_id",
         "source",
+        F.col("given").alias("text"),
         F.size("words").cast("long").alias("n_words"),
         without_space.cast("long").alias("word_chars"),
         (F.length("text") - without_symbol).cast("long").alias("n_symbols"),
@@ -92,28 +96,36 @@ def boilerplate(measured: DataFrame, documents: int = LINE_DOCUMENTS, share: flo
     )
 
 
-def judged(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """The measures of each row, ``n_boilerplate`` (words), ``base_failed`` and ``kept``."""
+def cleaned(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
+    """The measures of each row, ``n_boilerplate`` (words), ``base_failed`` and ``kept``,
+    with ``text`` as it is left without its boilerplate lines."""
     measured = written(measures(docs), "measures")
     common = written(boilerplate(measured, documents, share), "boilerplate")
-    lines = measured.select("row", "source", F.inline("lines"))
+    lines = measured.select("row", "source", F.explode(F.array_distinct(F.col("lines.hash"))).alias("hash"))
     removed = (
         lines.join(common.withColumnRenamed("hash", "common"), F.col("source").eqNullSafe(F.col("host")) & (F.col("hash") == F.col("common")))
         .groupBy(F.col("row").alias("of_row"))
-        .agg(F.sum("n").alias("n_boilerplate"))
+        .agg(F.collect_list("hash").alias("gone"))
     )
+    n_boilerplate = F.expr("aggregate(filter(lines, x -> array_contains(gone, x.hash)), 0L, (sum, x) -> sum + x.n)")
+    left = F.expr(f"array_join(filter(split(text, '\\n'), line -> NOT ({HAS_WORD} AND array_contains(gone, xxhash64({NORMALISED})))), '\\n')")
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words")
     depleted = F.expr(f"100 * n_boilerplate > {MAX_BOILERPLATE_PERCENT} * n_words")
     return (
-        measured.drop("lines")
-        .join(removed, F.col("row") == F.col("of_row"), "left")
-        .withColumn("n_boilerplate", F.coalesce("n_boilerplate", F.lit(0).cast("long")))
+        measured.join(removed, F.col("row") == F.col("of_row"), "left")
+        .withColumn("n_boilerplate", F.coalesce(n_boilerplate, F.lit(0).cast("long")))
+        .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("row", "of_row")
+        .drop("row", "of_row", "lines", "gone")
     )
 
 
+def judged(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
+    """``cleaned`` without the text."""
+    return cleaned(docs, documents, share).drop("text")
+
+
 ORACLE = rf"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),

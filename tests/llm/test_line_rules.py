@@ -52,6 +52,15 @@ def test_depleted_documents_agree_with_sql(spark, monkeypatch):
     assert differences(found.drop("source", "n_boilerplate"), con, sql) is None
 
 
+def test_texts_lose_the_lines_above_the_limits(table):
+    common = "Shared  Line of the HOST here"
+    texts = {i: f"first {i}\n{common}\n\n \nlast {i}\nshared line of the host here\n" for i in range(4)}
+    texts |= {10: f"{common}", 11: "nothing shared\n", 12: None, 13: ""}
+    found = line_rules.cleaned(table([(i, t, "h") for i, t in texts.items()], "doc_id long, text string, source string"), documents=2, share=0.1)
+    left = {r.doc_id: r.text for r in found.collect()}
+    assert left == {i: f"first {i}\n\n \nlast {i}\n" for i in range(4)} | {10: "", 11: "nothing shared\n", 12: None, 13: ""}
+
+
 def test_awkward_rows(awkward, nothing):
     found = line_rules.judged(awkward).collect()
     assert len(found) == awkward.count()
