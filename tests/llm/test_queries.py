@@ -18,20 +18,24 @@ COLUMNS = {
     8: "doc_id held_out n_tokens n_known train_tokens base_score score",
     9: "doc_id n_words n_removed kept_sha256",
     10: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
 }
 
 
+def number(name):
+    return int(name[2:].split("_")[0])
+
+
 def test_all_are_registered():
-    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert sorted(map(number, queries.QUERIES)) == sorted(COLUMNS)
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(queries.ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(name for name in queries.QUERIES if number(name) <= 10))
 def test_one_row_for_every_document(spark, name):
     found = queries.QUERIES[name](spark, SF_DIR)
-    assert found.columns == COLUMNS[int(name[2:].split("_")[0])].split()
+    assert found.columns == COLUMNS[number(name)].split()
     ids = sorted(r.doc_id for r in found.select("doc_id").collect())
     documents = sorted(r.doc_id for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").collect())
     assert set(ids) <= set(documents) if name.startswith("op3_") else ids == documents
@@ -40,3 +44,12 @@ def test_one_row_for_every_document(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_agrees(spark, name):
     assert differences(queries.QUERIES[name](spark, SF_DIR), connect(SF_DIR), queries.ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(name for name in queries.QUERIES if number(name) in (11, 13)))
+def test_one_row_for_every_conversation(spark, name):
+    found = queries.QUERIES[name](spark, SF_DIR)
+    assert found.columns == COLUMNS[number(name)].split()
+    ids = sorted(r.conv_id for r in found.select("conv_id").collect())
+    known = {r.conv_id for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").collect()}
+    assert ids == sorted(known | {-1} if number(name) == 13 else known)
