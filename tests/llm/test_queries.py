@@ -18,6 +18,7 @@ COLUMNS = {
     8: "doc_id held_out n_tokens n_known train_tokens base_score score",
     9: "doc_id n_words n_removed kept_sha256",
     10: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    12: "anchor_id positive_id rank negative_id positive_score negative_score",
     13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
 }
 
@@ -53,3 +54,9 @@ def test_one_row_for_every_conversation(spark, name):
     ids = sorted(r.conv_id for r in found.select("conv_id").collect())
     known = {r.conv_id for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").collect()}
     assert ids == sorted(known | {-1} if number(name) == 13 else known)
+
+
+def test_hard_negatives_columns(spark):
+    (name,) = (name for name in queries.QUERIES if number(name) == 12)
+    found = queries.QUERIES[name](spark, SF_DIR)
+    assert found.columns == COLUMNS[12].split() and found.schema["rank"].dataType.simpleString() == "int"
