@@ -18,6 +18,7 @@ COLUMNS = {
     8: "doc_id held_out n_tokens n_known train_tokens base_score score",
     9: "doc_id n_words n_removed kept_sha256",
     10: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    11: "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     12: "anchor_id positive_id rank negative_id positive_score negative_score",
     13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
 }
