@@ -1,15 +1,21 @@
-"""Row ids that are unique over the whole table without looking at it."""
+"""Row ids that are unique over the whole table, from where a row is written."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# An id is year | task | row within the task. 2M tasks of 134M rows each.
-ROW_BITS = 27
-TASK_BITS = 21
-YEAR_SHIFT = ROW_BITS + TASK_BITS
-_SPARK_ROW_BITS = 33
+from lienspark.settings import fresh_path
+
+# An id is year | number of the row in its year, from 1.
+YEAR_SHIFT = 48
+# Above so many files the offsets are joined like any other table.
+BROADCAST_FILES = 100_000
+
+_FILE, _ROW = "_id_file", "_id_row"
 
 
 def year_start(year: int) -> int:
@@ -17,23 +23,64 @@ def year_start(year: int) -> int:
     return year << YEAR_SHIFT
 
 
-def add_surrogate_id(rows: DataFrame, start: int, name: str = "id") -> DataFrame:
-    """A unique, non-null bigint above ``start`` for every row, not gap-free.
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW)
+    )
 
-    Nothing is counted, shuffled or kept: the id is made of Spark's task number
-    and the row's place in the task. It must be added last before the write, with
-    no shuffle in between; then every row of the table comes from one committed
-    task, and a task that runs again gives ids of its own range again.
-    """
-    return rows.withColumn(name, F.lit(start).cast("bigint") + _task_and_row() + 1)
 
+def _whole_files(placed: DataFrame) -> Mapping[str, int] | None:
+    """Rows of each file; None unless every row of every file is there once.
 
-def _task_and_row() -> Column:
-    # Spark's own number is task << 33 | row, which leaves no room for the year.
-    number = F.monotonically_increasing_id()
-    task = F.shiftright(number, _SPARK_ROW_BITS)
-    row = number.bitwiseAND(F.lit((1 << _SPARK_ROW_BITS) - 1).cast("bigint"))
-    fits = (task < (1 << TASK_BITS)) & (row < (1 << ROW_BITS) - 1)
-    return F.when(fits, F.shiftleft(task, ROW_BITS) + row).otherwise(
-        F.raise_error(F.lit("too many tasks, or rows in one task, for the id range"))
+    Reads no column. Sum and parity of the places tell apart files that are whole
+    from rows that were filtered or multiplied after they were read.
+    """
+    files = placed.groupBy(_FILE).agg(
+        F.count("*").alias("n"),
+        F.max(_ROW).alias("last"),
+        F.sum(_ROW).alias("places"),
+        F.bit_xor(_ROW).alias("parity"),
     )
+    counts = {}
+    for file in files.collect():
+        last = file.n - 1
+        parity = (last, 1, file.n, 0)[last % 4]
+        if (file["last"], file.places, file.parity) != (last, last * file.n // 2, parity):
+            return None
+        counts[file[_FILE]] = file.n
+    return counts
+
+
+def add_surrogate_id(rows: DataFrame, start: int, name: str = "id") -> DataFrame:
+    """Ids ``start + 1``, ``start + 2`` and so on, without a gap, as a bigint.
+
+    The rows of each Parquet file are counted, the counts summed in order of the
+    files' paths, and a row's id is its file's sum and its place in the file. Where
+    a row is read, by which task and how often, does not matter, so a task that runs
+    again gives the same ids, and no number of rows or tasks is too large. What the
+    driver holds is a number for each file, of which it holds the listing anyway.
+
+    Rows that are not those of whole Parquet files, as they come from a join, a
+    filter or memory, are written to the shared folder first.
+    """
+    spark = rows.sparkSession
+    try:
+        placed = _placed(rows)
+        counts = _whole_files(placed)
+    except AnalysisException:
+        counts = None
+    if counts is None:
+        path = fresh_path(spark, "numbered")
+        rows.write.parquet(path)
+        placed = _placed(spark.read.schema(rows.schema).parquet(path))
+        counts = _whole_files(placed)
+    offsets, total = [], start
+    for file in sorted(counts):
+        offsets.append((file, total))
+        total += counts[file]
+    known = spark.createDataFrame(offsets, f"{_FILE} string, _id_before bigint")
+    if len(offsets) <= BROADCAST_FILES:
+        known = F.broadcast(known)
+    number = F.col("_id_before") + F.col(_ROW) + 1
+    joined = placed.join(known, _FILE).withColumn(name, number.cast("bigint"))
+    return joined.drop(_FILE, _ROW, "_id_before")

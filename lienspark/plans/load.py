@@ -50,8 +50,8 @@ def load_year(
 
     ``staging`` should be read from a written folder, so that a load that fails
     can be run again. Such a folder is partitioned by state and needs no shuffle;
-    ``gather=True`` is for rows in any other order. Ids and load time are added
-    in the writing tasks.
+    ``gather=True`` is for rows in any other order. Ids are numbered by the places
+    of the rows in the folder's files, so a load of the same folder gives the same.
     """
     if require_state is None:
         require_state = income_to_zero
@@ -61,9 +61,9 @@ def load_year(
         require_none(not_null_failures(staging, ["state_code"]), "state not null")
     create_loan_table(staging.sparkSession, table, location)
     loans = shape_for_load(staging, year, income_to_zero)
-    if gather:
-        loans = gather_by(loans, "state_code")
     loans = add_surrogate_id(loans, year_start(year)).withColumn(
         "loaded_at", F.current_timestamp()
     )
+    if gather:
+        loans = gather_by(loans, "state_code")
     return replace_year(loans, table, year, batch_rows)

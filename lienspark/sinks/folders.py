@@ -19,6 +19,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(place(path))
 
 
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file that was not there before."""
+    files, place = _file_system(spark, path)
+    files.create(place(path), False).close()
+
+
 def folders_like(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern of the file system."""
     files, place = _file_system(spark, pattern)

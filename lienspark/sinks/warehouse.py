@@ -2,45 +2,35 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.operators.layout import GATHER_SETTINGS
 from lienspark.schemas import PARTITION_KEYS, WAREHOUSE_TYPES
-from lienspark.settings import WIDE_ROW_SETTINGS, session_conf
-from lienspark.sinks.folders import make_folder
+from lienspark.settings import WIDE_ROW_SETTINGS
+from lienspark.sinks import generations
 
 TABLE_BLOOM_COLUMN = "lei"
 
 
 def create_loan_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """Create the loan table if it is not there; years already at ``location`` show.
+    """Create the loan table if it is not there; years loaded to ``location`` show.
 
     Instead of indexes, Parquet keeps minimum and maximum of every column per
     row group, and a bloom filter for the lender id. The filter is left out of a
     file whose column is written as a dictionary, so the lender's is not.
     """
-    if spark.catalog.tableExists(table):
-        return
-    columns = ", ".join(f"{name} {kind}" for name, kind in WAREHOUSE_TYPES.items())
-    where = f"LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"OPTIONS ('parquet.bloom.filter.enabled#{TABLE_BLOOM_COLUMN}' 'true', "
-        f"'parquet.enable.dictionary#{TABLE_BLOOM_COLUMN}' 'false') "
-        f"PARTITIONED BY ({', '.join(PARTITION_KEYS)}) {where}"
-    )
-    if location:
-        make_folder(spark, location)
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    options = {
+        f"parquet.bloom.filter.enabled#{TABLE_BLOOM_COLUMN}": "true",
+        f"parquet.enable.dictionary#{TABLE_BLOOM_COLUMN}": "false",
+    }
+    inner = [key for key in PARTITION_KEYS if key != generations.YEAR]
+    generations.create(spark, table, WAREHOUSE_TYPES, inner, options, location)
 
 
-def _rows_by_state(spark: SparkSession, table: str, year: int) -> dict[str | None, int]:
-    """Rows of each state of a year: only file footers are read."""
-    of_year = spark.table(table).where(F.col("data_year") == year)
-    return {row.state_code: row["count"] for row in of_year.groupBy("state_code").count().collect()}
+def _rows_of(spark: SparkSession, table: str, year: int) -> int:
+    """Rows of a year: only file footers are read."""
+    return spark.table(table).where(F.col("data_year") == year).count()
 
 
 def replace_year(
@@ -48,58 +38,29 @@ def replace_year(
 ) -> DataFrame:
     """Make ``loans`` the only rows of ``year``; other years stay.
 
-    The new rows are written beside the old ones and take the place of their
-    states when all tasks are done, so a write that fails changes nothing. Then
-    states the new rows do not have are emptied and dropped. Each task writes its
-    rows as they come; ``batch_rows`` starts a new file after as many. Returns one
-    row: ``rows_removed`` and ``rows_loaded``.
+    The new rows are written beside the old ones and take their place in one step
+    when all tasks are done, states that vanish and states that come alike. Each
+    task writes its rows as they come; ``batch_rows`` starts a new file after as
+    many. Returns one row: ``rows_removed`` and ``rows_loaded``.
     """
     spark = loans.sparkSession
     year = int(year)
-    names = [name for name in spark.table(table).columns if name != "data_year"]
-    missing = [name for name in names if name not in loans.columns]
     values = loans.select(
         *(
-            F.lit(None).cast(WAREHOUSE_TYPES[name]).alias(name)
-            if name in missing
-            else F.col(name).cast(WAREHOUSE_TYPES[name])
-            for name in names
+            F.col(name).cast(kind) if name in loans.columns else F.lit(None).cast(kind).alias(name)
+            for name, kind in WAREHOUSE_TYPES.items()
+            if name != generations.YEAR
         )
     )
-    before = _rows_by_state(spark, table, year)
-    states = {row.state_code for row in values.select("state_code").distinct().collect()}
-    settings = {
-        "spark.sql.sources.partitionOverwriteMode": "DYNAMIC",
-        "spark.sql.files.maxRecordsPerFile": str(batch_rows or 0),
-    }
-    with session_conf(spark, settings | GATHER_SETTINGS | WIDE_ROW_SETTINGS):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} "
-            f"PARTITION (data_year = {year}, state_code) SELECT * FROM {{loans}}",
-            loans=values,
-        )
-    for state in before.keys() - states:
-        _drop_state(spark, table, year, state)
-    after = _rows_by_state(spark, table, year)
+    removed = _rows_of(spark, table, year)
+    batches = {"spark.sql.files.maxRecordsPerFile": str(batch_rows or 0)}
+    generations.replace(values, table, year, batches | GATHER_SETTINGS | WIDE_ROW_SETTINGS)
     return spark.range(1).select(
-        F.lit(sum(before.values())).cast("bigint").alias("rows_removed"),
-        F.lit(sum(after.values())).cast("bigint").alias("rows_loaded"),
+        F.lit(removed).cast("bigint").alias("rows_removed"),
+        F.lit(_rows_of(spark, table, year)).cast("bigint").alias("rows_loaded"),
     )
 
 
-def _drop_state(spark: SparkSession, table: str, year: int, state: str | None) -> None:
-    """Remove a state's files and its entry in the catalog."""
-    quoted = "NULL" if state is None else "'" + re.sub(r"(['\\])", r"\\\1", state) + "'"
-    place = f"(data_year = {year}, state_code = {quoted})"
-    schema = ", ".join(f"{k} {v}" for k, v in WAREHOUSE_TYPES.items() if k not in PARTITION_KEYS)
-    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "STATIC"}):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION {place} SELECT * FROM {{none}}",
-            none=spark.createDataFrame([], schema),
-        )
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {place}")
-
-
 def partition_keys(loans: DataFrame) -> DataFrame:
     """State codes that get a partition of their own."""
     return loans.where(F.col("state_code").isNotNull()).select("state_code").distinct()

@@ -19,7 +19,7 @@ from lienspark.plans.load import load_year
 from lienspark.plans.marts import build_marts, loan_sample
 from lienspark.plans.yearly import run_year
 from lienspark.schemas import REGISTER_COLUMNS, REGISTER_TYPES
-from lienspark.settings import fresh_path
+from lienspark.settings import fresh_path, session_conf
 from lienspark.sinks.lake import publish_year, write_by_state, write_clustered, write_rates
 from lienspark.sinks.warehouse import create_loan_table, partition_keys
 from lienspark.sources.lake import input_present, read_loans, read_rates, read_staging
@@ -152,12 +152,33 @@ def snk2(spark, sf_dir):
     ),
 )
 def snk4(spark, sf_dir):
-    """Two years loaded, one of them again without a state; a failed load between."""
+    """Two years loaded, one of them again without a state."""
     table, location = fresh_table(spark, "replaced")
     staging = read_staging(spark, written_loans(spark, sf_dir))
     load_year(staging, table, 1997, location=location, require_state=False)
     load_year(staging, table, 1998, require_state=False)
-    broken = staging.withColumn(
+    load_year(staging.where(NOT_COLORADO), table, 1997, require_state=False)
+    return state_totals(spark.table(table), "data_year", "state_code")
+
+
+@registered(
+    "snk4_failed_load",
+    after(
+        f"SELECT reader, CAST(1998 AS INTEGER) AS data_year, state_code, {STATE_TOTALS} FROM loans, "
+        "(VALUES ('after failure'), ('before'), ('new entry')) AS readers(reader) GROUP BY 1, 3"
+    ),
+)
+def snk4_failed(spark, sf_dir):
+    """A load that fails in its tasks changes nothing, for whoever reads.
+
+    The table is read by a frame made before the load, by another session after it,
+    and by a new catalog entry on its folder.
+    """
+    table, location = fresh_table(spark, "kept_year")
+    staging = read_staging(spark, written_loans(spark, sf_dir))
+    load_year(staging, table, 1998, location=location, require_state=False)
+    before = spark.table(table)
+    broken = staging.where(NOT_COLORADO).withColumn(
         "loan_amount", F.expr("IF(k % 100 = 0, raise_error('broken row'), loan_amount)")
     )
     try:
@@ -167,8 +188,17 @@ def snk4(spark, sf_dir):
             raise
     else:
         raise AssertionError("the broken load did not fail")
-    load_year(staging.where(NOT_COLORADO), table, 1997, require_state=False)
-    return state_totals(spark.table(table), "data_year", "state_code")
+    create_loan_table(spark, f"{table}_again", location)
+    readers = {
+        "before": before,
+        "after failure": spark.newSession().table(table),
+        "new entry": spark.table(f"{table}_again"),
+    }
+    totals = [
+        state_totals(rows, "data_year", "state_code").withColumn("reader", F.lit(reader))
+        for reader, rows in readers.items()
+    ]
+    return reduce(DataFrame.unionByName, totals)
 
 
 @registered(
@@ -298,23 +328,38 @@ def snk7(spark, sf_dir):
 @registered(
     "snk9_surrogate_id",
     after(
-        "SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_null, "
-        "true AS in_range FROM loans"
+        "SELECT reading, count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_null, "
+        "CAST(1 AS BIGINT) AS first_number, count(*) AS last_number, count(*) AS n_alike "
+        "FROM loans, (VALUES ('as it is'), ('in small tasks')) AS readings(reading) GROUP BY 1"
     ),
 )
 def snk9(spark, sf_dir):
-    """Ids after a write: distinct, not null and within the year's range."""
-    path = fresh_path(spark, "ids")
-    loans = add_surrogate_id(fixtures.originated(spark, sf_dir), year_start(RUN_YEAR))
-    loans.select("k", "id").write.parquet(path)
-    return spark.read.parquet(path).agg(
-        F.count("*").alias("n_rows"),
-        F.count_distinct("id").alias("n_ids"),
-        F.count_if(F.col("id").isNull()).alias("n_null"),
-        (
-            (F.min("id") > year_start(RUN_YEAR)) & (F.max("id") <= year_start(RUN_YEAR + 1))
-        ).alias("in_range"),
-    )
+    """Ids of a folder: distinct, without a gap, and the same however it is read."""
+    path = written_loans(spark, sf_dir)
+    start = year_start(RUN_YEAR)
+
+    def numbered(name: str) -> DataFrame:
+        out = fresh_path(spark, name)
+        add_surrogate_id(read_staging(spark, path), start).select("k", "id").write.parquet(out)
+        return spark.read.parquet(out)
+
+    ids = {"as it is": numbered("ids")}
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}):
+        ids["in small tasks"] = numbered("ids_again")
+    others = ids["as it is"].select("k", F.col("id").alias("other"))
+    results = [
+        rows.join(others, "k", "left").agg(
+            F.lit(reading).alias("reading"),
+            F.count("*").alias("n_rows"),
+            F.count_distinct("id").alias("n_ids"),
+            F.count_if(F.col("id").isNull()).alias("n_null"),
+            (F.min("id") - start).alias("first_number"),
+            (F.max("id") - start).alias("last_number"),
+            F.count_if(F.col("id") == F.col("other")).alias("n_alike"),
+        )
+        for reading, rows in ids.items()
+    ]
+    return results[0].unionAll(results[1])
 
 
 @registered(

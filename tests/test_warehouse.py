@@ -10,6 +10,8 @@ from lienspark.operators.surrogate import YEAR_SHIFT, add_surrogate_id, year_sta
 from lienspark.plans.load import load_year, shape_for_load
 from lienspark.schemas import LOAD_COLUMNS, WAREHOUSE_TYPES
 from lienspark.settings import fresh_path, session_conf
+from lienspark.sinks import generations
+from lienspark.sinks.generations import committed, place_of, rows_table, show_current
 from lienspark.sinks.lake import count_files, publish_year, write_by_state, write_clustered
 from lienspark.sinks.warehouse import create_loan_table, partition_keys
 from lienspark.sources.lake import read_loans
@@ -51,8 +53,8 @@ def test_year_is_replaced_whole(spark, table):
     load_year(staging(spark, loan("CA"), loan("NY", 7.0)), table, 2024)
     load_year(staging(spark, loan("CA", 1.0), loan("CA", 2.0)), table, 2023)
     assert contents(spark, table) == {(2023, "CA"): 3.0, (2024, "CA"): 100.0, (2024, "NY"): 7.0}
-    partitions = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    assert partitions == {
+    folders = {"/".join(file.split("/")[-3:-1]) for file in spark.table(table).inputFiles()}
+    assert folders == {
         "data_year=2023/state_code=CA",
         "data_year=2024/state_code=CA",
         "data_year=2024/state_code=NY",
@@ -133,27 +135,63 @@ def test_ids_of_the_largest_year_fit(spark):
     assert frame.dtypes[0] == ("id", "bigint")
 
 
-def test_id_range_is_checked(spark, monkeypatch):
-    monkeypatch.setattr("lienspark.operators.surrogate.ROW_BITS", 2)
-    add_surrogate_id(spark.range(0, 3, 1, 1), 0).collect()
-    with pytest.raises(Exception, match="id range"):
-        add_surrogate_id(spark.range(0, 4, 1, 1), 0).collect()
+def test_ids_do_not_depend_on_tasks(spark, monkeypatch):
+    path = fresh_path(spark, "staged")
+    rows = spark.range(0, 5_000, 1, 7).select(F.concat(F.lit("S"), F.col("id") % 3).alias("state_code"), F.col("id").alias("k"))
+    rows.repartition(5).write.option("parquet.block.size", 4096).partitionBy("state_code").parquet(path)
+
+    def numbered(frame, start=10):
+        return {row.k: row.id for row in add_surrogate_id(frame, start).select("k", "id").collect()}
+
+    first = numbered(read_loans(spark, path))
+    assert sorted(first.values()) == list(range(11, 5_011))
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "0"}):
+        many = read_loans(spark, path)
+        assert many.rdd.getNumPartitions() > 15
+        assert numbered(many) == first
+    monkeypatch.setattr("lienspark.operators.surrogate.BROADCAST_FILES", 0)
+    assert numbered(read_loans(spark, path)) == first
+
+
+@pytest.mark.parametrize("change", ["where k % 3 > 0", "twice", "joined", "half of them twice"])
+def test_ids_of_rows_that_are_no_whole_files(spark, change):
+    path = fresh_path(spark, "staged")
+    spark.range(0, 1_000, 1, 4).withColumnRenamed("id", "k").write.parquet(path)
+    rows = spark.read.parquet(path)
+    if change == "twice":
+        rows = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    elif change == "joined":
+        rows = rows.join(spark.range(900), F.col("k") == F.col("id")).drop("id")
+    elif change == "half of them twice":
+        rows = rows.where("k % 2 = 0").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    else:
+        rows = rows.where(change.removeprefix("where "))
+    ids = sorted(row.id for row in add_surrogate_id(rows, 0).collect())
+    assert ids == list(range(1, rows.count() + 1))
+
+
+def test_no_rows_no_ids(spark):
+    frame = add_surrogate_id(spark.range(0).withColumnRenamed("id", "k"), 5)
+    assert frame.collect() == [] and frame.dtypes[-1] == ("id", "bigint")
 
 
 def test_load_from_a_state_folder_does_not_shuffle(spark, plan_of):
     path = fresh_path(spark, "staged")
     write_by_state(staging(spark, loan("CA"), loan("TX")), path)
     shaped = add_surrogate_id(shape_for_load(read_loans(spark, path), 2023), 0)
-    assert "Exchange" not in plan_of(shaped)
+    plan = plan_of(shaped)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert "raise_error" not in plan
 
 
 def test_year_and_states_prune_partitions(spark, table, plan_of):
     load_year(staging(spark, loan("CA"), loan("TX"), loan("NY")), table, 2023)
     load_year(staging(spark, loan("CA")), table, 2024)
     few = spark.table(table).where("data_year = 2023 AND state_code IN ('CA', 'TX')")
-    plan = plan_of(few.select("loan_amount"))
-    assert "PartitionFilters: [isnotnull(data_year" in plan
-    assert "state_code#" in plan.split("PartitionFilters")[1].split("]")[0]
+    with session_conf(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        plan = plan_of(few.select("loan_amount"))
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(f"{name}#" in filters for name in ("data_year", "state_code", "generation"))
     assert len(few.inputFiles()) == 2
 
 
@@ -166,7 +204,7 @@ def test_lender_bloom_filter_and_statistics(spark, table):
     group = pq.ParquetFile(location).metadata.row_group(0)
     columns = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
     assert columns["loan_amount"].statistics.has_min_max
-    described = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    described = spark.sql(f"DESCRIBE EXTENDED {rows_table(table)}").collect()
     assert any("parquet.bloom.filter.enabled#lei" in row.data_type for row in described)
     lender = columns["lei"]
     assert "RLE_DICTIONARY" not in lender.encodings and "PLAIN_DICTIONARY" not in lender.encodings
@@ -188,13 +226,121 @@ def test_failed_load_changes_nothing(spark, table):
     assert spark.table(table).orderBy("id").collect() == first
 
 
+@pytest.fixture
+def cut_off(monkeypatch):
+    """Ends a load at the named step, as if the driver had died there."""
+
+    class Died(BaseException):
+        pass
+
+    def load(step, *arguments, **options):
+        with monkeypatch.context() as patched:
+            patched.setattr(generations, step, lambda *_: (_ for _ in ()).throw(Died()))
+            with pytest.raises(Died):
+                load_year(*arguments, **options)
+
+    return load
+
+
+OLD = {(2023, "CA"): 100.0, (2023, "TX"): 5.0, (2024, "CA"): 1.0}
+NEW = {(2023, "CA"): 2.0, (2023, "NY"): 7.0, (2024, "CA"): 1.0}
+
+
+def two_years(spark, table):
+    load_year(staging(spark, loan("CA"), loan("TX", 5.0)), table, 2023)
+    load_year(staging(spark, loan("CA", 1.0)), table, 2024)
+    return staging(spark, loan("CA", 2.0), loan("NY", 7.0))
+
+
+@pytest.mark.parametrize("step", ["create_file", "show_current"])
+def test_a_load_cut_off_leaves_one_whole_year(spark, table, cut_off, step):
+    rows = two_years(spark, table)
+    cut_off(step, rows, table, 2023)
+    for session in (spark, spark.newSession()):
+        assert contents(session, table) == OLD
+    # Another catalog goes by the marks; so does the view once it is asked to.
+    create_loan_table(spark, f"{table}_other", place_of(spark, table))
+    expected = NEW if step == "show_current" else OLD
+    assert contents(spark, f"{table}_other") == expected
+    show_current(spark, table)
+    assert contents(spark, table) == expected
+    load_year(rows, table, 2023)
+    assert contents(spark, table) == NEW
+    load_year(rows, table, 2023)
+    assert contents(spark, table) == NEW
+
+
+def test_a_reader_sees_the_old_year_or_the_new_one(spark, table, monkeypatch):
+    rows = two_years(spark, table)
+    other = spark.newSession()
+    early = other.table(table).groupBy("data_year", "state_code").agg(F.sum("loan_amount"))
+    early.explain()
+    seen = {}
+
+    def watched(step):
+        function = getattr(generations, step)
+
+        def run(*arguments):
+            seen[f"before {step}"] = contents(other, table)
+            out = function(*arguments)
+            seen[f"after {step}"] = contents(other, table)
+            return out
+
+        monkeypatch.setattr(generations, step, run)
+
+    watched("create_file")
+    watched("show_current")
+    load_year(rows, table, 2023)
+    assert [seen[k] for k in ("before create_file", "after create_file", "before show_current")] == [OLD] * 3
+    assert seen["after show_current"] == contents(other, table) == NEW
+    # What was asked before the load still has its files.
+    assert {(r[0], r[1]): r[2] for r in early.collect()} == OLD
+
+
+def test_old_generations_go_with_their_files(spark, table):
+    rows = two_years(spark, table)
+    for _ in range(4):
+        load_year(rows, table, 2023)
+    place = place_of(spark, table)
+    left = committed(spark, place)
+    assert [name.split("-")[1] for name in left] == ["2024", "2023", "2023"]
+    folders = {name for name in os.listdir(place) if name.startswith("generation=")}
+    assert folders == {f"generation={name}" for name in left}
+    shown = {row.partition.split("/")[0] for row in spark.sql(f"SHOW PARTITIONS {rows_table(table)}").collect()}
+    assert shown == folders
+
+
+def test_all_years_at_once_and_one_after_it(spark):
+    name = f"yearly_{fresh_path(spark, 'x').split('/')[-2]}"
+    generations.create(spark, name, {"v": "int", "data_year": "int"})
+
+    def shown():
+        return sorted(map(tuple, spark.table(name).collect()))
+
+    assert shown() == []
+    both = spark.createDataFrame([(2023, 1), (2024, 2)], "data_year int, v int")
+    generations.replace(both, name)
+    assert shown() == [(1, 2023), (2, 2024)]
+    generations.replace(spark.createDataFrame([(3,)], "v int"), name, 2023)
+    assert shown() == [(2, 2024), (3, 2023)]
+    plan = spark.table(name).where("data_year = 2023")
+    assert len(plan.inputFiles()) == 1
+    with pytest.raises(ValueError, match="no"):
+        generations.replace(both, name, test=lambda _: (_ for _ in ()).throw(ValueError("no")))
+    assert shown() == [(2, 2024), (3, 2023)]
+    generations.replace(both.where("v = 2"), name)
+    assert shown() == [(2, 2024)]
+    generations.replace(both.where("v = 5").drop("data_year"), name, 2024)
+    assert shown() == []
+
+
 def test_states_that_vanish_go_with_their_files(spark, table):
     odd = staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0), loan("B\\", 4.0))
     load_year(odd, table, 2023, require_state=False)
     report = load_year(staging(spark, loan("NA", 9.0)), table, 2023).first()
     assert (report.rows_removed, report.rows_loaded) == (4, 1)
     assert contents(spark, table) == {(2023, "NA"): 9.0}
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE {rows_table(table)} RECOVER PARTITIONS")
     assert contents(spark, table) == {(2023, "NA"): 9.0}
     report = load_year(staging(spark, loan("CA")).limit(0), table, 2023).first()
     assert (report.rows_removed, report.rows_loaded) == (1, 0)
@@ -203,12 +349,7 @@ def test_states_that_vanish_go_with_their_files(spark, table):
 def test_new_entry_over_existing_years(spark, table):
     load_year(staging(spark, loan("CA")), table, 2022)
     load_year(staging(spark, loan("TX", 5.0)), table, 2023)
-    (location,) = (
-        row.data_type
-        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-        if row.col_name == "Location"
-    )
-    create_loan_table(spark, f"{table}_again", location)
+    create_loan_table(spark, f"{table}_again", place_of(spark, table))
     assert contents(spark, f"{table}_again") == {(2022, "CA"): 100.0, (2023, "TX"): 5.0}
 
 
