@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import secrets
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 10_000
 # 16 to this power times the sample size is more rows than any table has.
 MAX_ZEROS = 12
 HASH_DIGITS = 32
+BROADCAST_GROUPS = 10_000
 
 
 def sample_quality(fact: DataFrame) -> DataFrame:
@@ -19,6 +20,33 @@ def sample_quality(fact: DataFrame) -> DataFrame:
     return fact.where((income > 0) & (income < 1000) & spread.isNotNull() & (spread != 0))
 
 
+def _hashed(id_column: str, seed: int | None, reproducible: bool) -> Column:
+    key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
+    if not reproducible:
+        salt = str(secrets.randbits(63) if seed is None else seed)
+        key = F.concat(F.lit(salt + ":"), key)
+    return F.md5(key)
+
+
+def _zeros(hashed: Column) -> Column:
+    """Zeros a hash starts with."""
+    return HASH_DIGITS - F.length(F.ltrim(hashed, F.lit("0")))
+
+
+def _cut(n: int) -> Column:
+    """Most zeros that at least ``n`` of the rows counted by zeros have."""
+    at_least = (
+        F.when(F.sum(F.when(F.col("zeros") >= k, F.col("n_rows"))) >= n, k)
+        for k in range(1, MAX_ZEROS + 1)
+    )
+    return F.greatest(F.lit(0), *at_least)
+
+
+def _counted(rows: DataFrame, zeros: Column, *keys: str) -> DataFrame:
+    known = F.least(zeros, F.lit(MAX_ZEROS)).alias("zeros")
+    return rows.groupBy(*keys, known).agg(F.count("*").alias("n_rows"))
+
+
 def random_rows(
     rows: DataFrame,
     n: int = SAMPLE_ROWS,
@@ -40,19 +68,38 @@ def random_rows(
     same result as without. Both passes must see the same ids, so ids made on the
     fly have to be written first.
     """
-    key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
-    if not reproducible:
-        salt = str(secrets.randbits(63) if seed is None else seed)
-        key = F.concat(F.lit(salt + ":"), key)
-    hashed = F.md5(key)
-    zeros = HASH_DIGITS - F.length(F.ltrim(hashed, F.lit("0")))
-
-    counts = rows.groupBy(F.least(zeros, F.lit(MAX_ZEROS)).alias("zeros")).agg(
-        F.count("*").alias("n_rows")
-    )
-    at_least = (
-        F.when(F.sum(F.when(F.col("zeros") >= k, F.col("n_rows"))) >= n, k)
-        for k in range(1, MAX_ZEROS + 1)
-    )
-    cut = counts.agg(F.greatest(F.lit(0), *at_least).alias("cut"))
+    hashed = _hashed(id_column, seed, reproducible)
+    zeros = _zeros(hashed)
+    cut = _counted(rows, zeros).agg(_cut(n).alias("cut"))
     return rows.where(zeros >= cut.scalar()).orderBy(hashed, id_column).limit(n)
+
+
+def random_rows_by(
+    rows: DataFrame,
+    group: str,
+    n: int = SAMPLE_ROWS,
+    id_column: str = "id",
+    seed: int | None = None,
+    reproducible: bool = False,
+) -> DataFrame:
+    """The ``n`` rows of each group first in the order of their hash, with ``draw``, the hash.
+
+    Of samples of all groups ``merged_rows`` makes one of all rows. A group has
+    about 16 n rows to sort at most, as in ``random_rows``. The first pass runs at
+    once; its result, a row for each group, is broadcast up to ``BROADCAST_GROUPS``.
+    """
+    spark = rows.sparkSession
+    hashed = _hashed(id_column, seed, reproducible)
+    cuts = _counted(rows, _zeros(hashed), group).groupBy(F.col(group).alias("_of")).agg(_cut(n).alias("_cut"))
+    few = cuts.limit(BROADCAST_GROUPS + 1).collect()
+    if len(few) <= BROADCAST_GROUPS:
+        cuts = F.broadcast(spark.createDataFrame(few, cuts.schema))
+    drawn = rows.withColumn("draw", hashed)
+    near = drawn.join(cuts, F.col(group).eqNullSafe(F.col("_of"))).where(_zeros(F.col("draw")) >= F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("draw", id_column))
+    return near.withColumn("_place", place).where(F.col("_place") <= n).drop("_of", "_cut", "_place")
+
+
+def merged_rows(samples: DataFrame, n: int = SAMPLE_ROWS, id_column: str = "id") -> DataFrame:
+    """The ``n`` rows of all groups that ``random_rows`` draws, from a sample of each group."""
+    return samples.orderBy("draw", id_column).limit(n).drop("draw")

@@ -17,9 +17,16 @@ from lienspark.operators.quality import (
     require_none,
     unique_failures,
 )
-from lienspark.operators.sampling import SAMPLE_ROWS, random_rows, sample_quality
+from lienspark.operators.sampling import (
+    SAMPLE_ROWS,
+    merged_rows,
+    random_rows,
+    random_rows_by,
+    sample_quality,
+)
 from lienspark.operators.shaping import select_sample_columns, staging_view
 from lienspark.operators.summary import merged_summary, summary_by_code
+from lienspark.operators.surrogate import year_start
 from lienspark.schemas import (
     COST_CATEGORIES,
     FACT_COLUMNS,
@@ -27,6 +34,8 @@ from lienspark.schemas import (
     STAGING_COLUMNS,
     layer_name,
 )
+from lienspark.settings import WIDE_ROW_SETTINGS
+from lienspark.sinks import generations
 from lienspark.sinks.tables import publish_table
 from lienspark.sources.seeds import builtin_seeds
 
@@ -36,6 +45,8 @@ SUMMARY_LOOKUPS = ("loan_purpose", "state_mapping")
 SEGMENT_VALUES = {"risk_segment": RISK_SEGMENTS}
 FACT_VALUES = {"risk_segment": RISK_SEGMENTS, "cost_category": COST_CATEGORIES}
 SOURCE_KEYS = ["data_year", "state_code"]
+# Stored parts are small: groups by code, and as many loans as a sample has.
+PART_FILES = 8
 
 
 def segmented(staging: DataFrame, dti_scale: float = 1) -> DataFrame:
@@ -151,10 +162,11 @@ def _require_unique_keys(seeds: dict[str, DataFrame]) -> None:
             require_none(unique_failures(rows, rows.columns[0]), f"unique {name}")
 
 
-def _require_sound(source: DataFrame, loans: DataFrame) -> None:
+def _require_sound(source: DataFrame, loans: DataFrame, year: int | None) -> bool:
     """Null and value tests of source and fact, counted in one pass.
 
-    Only a failing test reads the loans again, to say what fails.
+    Only a failing test reads the loans again, to say what fails. Returns whether
+    all ids are of the range of ``year``, so that no other year can have them.
     """
     tests: list[tuple[str, F.Column, Callable[[], DataFrame]]] = [
         (
@@ -175,10 +187,53 @@ def _require_sound(source: DataFrame, loans: DataFrame) -> None:
             lambda: accepted_values_failures(loans, FACT_VALUES),
         ),
     ]
-    counts = loans.agg(*(count for _, count, _ in tests)).first()
+    start, end = (year_start(year), year_start(year + 1)) if year is not None else (0, 0)
+    inside = F.count_if(~F.col("id").between(start + 1, end)) == 0
+    *counts, own_ids = loans.agg(*(count for _, count, _ in tests), inside).first()
     for (test, _, failures), count in zip(tests, counts, strict=True):
         if count:
             require_none(failures(), test)
+    return own_ids
+
+
+# What summary and sample are made of, by year; a year's rows are replaced alone.
+SUMMARY_PARTS = {
+    "state_code": "string",
+    "loan_purpose": "int",
+    "risk_segment": "string",
+    "loan_count": "bigint",
+    "total_loan_amount": "double",
+    "sum_interest_rate": "double",
+    "sum_spread": "double",
+    "n_spreads": "bigint",
+    "data_year": "int",
+}
+SAMPLE_PARTS = {
+    "id": "bigint",
+    "draw": "string",
+    "state_code": "string",
+    "income": "bigint",
+    "interest_rate_spread": "double",
+    "risk_segment": "string",
+    "loan_amount": "double",
+    "loan_purpose": "int",
+    "data_year": "int",
+}
+
+
+def _refresh(
+    rows: DataFrame,
+    table: str,
+    types: dict[str, str],
+    year: int | None,
+    test: Callable[[DataFrame], None],
+) -> DataFrame:
+    """Replace a year of stored parts, or all, once tested; returns those of every year."""
+    spark = rows.sparkSession
+    generations.create(spark, table, types)
+    typed = rows.select(*(F.col(name).cast(kind) for name, kind in types.items()))
+    generations.replace(typed.coalesce(PART_FILES), table, year, WIDE_ROW_SETTINGS, test)
+    return spark.table(table)
 
 
 def build_marts(
@@ -202,6 +257,11 @@ def build_marts(
     ask them. A table is written anew and tested before it takes the place of the
     old one. ``root`` places the databases in a folder of their own instead of the
     session's warehouse. Returns the name of each model.
+
+    With a ``year`` only its loans are read and tested; the other years stay as
+    their last build left them. For that, sums and counts by code, and the first
+    ``n_sample`` loans of the sample's order, are stored by year, and summary and
+    sample are merged from those of all years. The tables are named in the result.
     """
     seeds = seeds or builtin_seeds(spark)
     stg, lookup, prod = (layer_name(base, layer, style) for layer in ("stg", "lookup", "prod"))
@@ -213,6 +273,8 @@ def build_marts(
         "fct_loan_risk": f"{prod}.fct_loan_risk",
         "prd_risk_summary": f"{prod}.prd_risk_summary",
         "prd_loan_sample": f"{prod}.prd_loan_sample",
+        "summary_parts": f"{prod}.risk_summary_by_code",
+        "sample_parts": f"{prod}.loan_sample_by_year",
     }
 
     _require_unique_keys(seeds)
@@ -221,11 +283,14 @@ def build_marts(
         publish_table(rows, names[name])
 
     source = spark.table(table)
-    staging = staging_view(source, year)
-    loans = segmented(staging, dti_scale)
-    _require_sound(source, loans)
-    require_none(unique_failures(loans, "id"), "fact unique id")
-    spark.sql(f"CREATE OR REPLACE VIEW {names['stg_loans']} AS {staging_sql(table, year)}")
+    if year is not None:
+        source = source.where(F.col("data_year") == year)
+    loans = segmented(staging_view(source), dti_scale)
+    if _require_sound(source, loans, year):
+        require_none(unique_failures(loans, "id"), "fact unique id")
+    else:
+        require_none(unique_failures(spark.table(table), "id"), "fact unique id")
+    spark.sql(f"CREATE OR REPLACE VIEW {names['stg_loans']} AS {staging_sql(table)}")
     fact = fact_sql(names["stg_loans"], {name: names[name] for name in seeds}, dti_scale)
     spark.sql(f"CREATE OR REPLACE VIEW {names['fct_loan_risk']} AS {fact}")
 
@@ -237,7 +302,11 @@ def build_marts(
         known = ["income", "interest_rate_spread"]
         require_none(not_null_failures(sample, known), "sample not null")
 
-    publish_table(summarise(loans, seeds), names["prd_risk_summary"], summary_tests)
-    drawn = sample_of(loans, seeds, n_sample, seed, reproducible)
-    publish_table(drawn, names["prd_loan_sample"], sample_tests)
+    by_code = _refresh(summary_by_code(loans), names["summary_parts"], SUMMARY_PARTS, year, summary_tests)
+    summary = merged_summary(describe(by_code, seeds, SUMMARY_LOOKUPS))
+    publish_table(summary, names["prd_risk_summary"], summary_tests)
+    drawn = random_rows_by(sample_quality(loans), "data_year", n_sample, "id", seed, reproducible)
+    by_year = _refresh(drawn, names["sample_parts"], SAMPLE_PARTS, year, sample_tests)
+    sample = describe(merged_rows(by_year, n_sample), seeds, SUMMARY_LOOKUPS)
+    publish_table(select_sample_columns(sample), names["prd_loan_sample"], sample_tests)
     return names

@@ -34,11 +34,12 @@ def run_year(
     style: str = "prefixed",
     dti_scale: float = 1,
     reproducible: bool = False,
+    only_year: bool = False,
 ) -> dict[str, str] | None:
     """Ingest, enrich, load and build the marts; a step that fails ends the run.
 
     ``income_to_zero`` and ``batch_rows`` are those of the load, the others those
-    of the marts. Returns the models' names, or None where a step finds no input.
+    of the marts, which with ``only_year`` read no other year's loans. Returns the models' names, or None where a step finds no input.
     Every step reads what the one before it has written, so a run can be repeated.
     """
     raw, staging = f"{lake}/raw", f"{lake}/staging"
@@ -67,6 +68,7 @@ def run_year(
         seeds,
         base,
         style=style,
+        year=year if only_year else None,
         n_sample=n_sample,
         seed=seed,
         dti_scale=dti_scale,

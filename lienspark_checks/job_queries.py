@@ -18,7 +18,7 @@ from lienspark.plans.ingest import ingest_loans
 from lienspark.plans.load import load_year
 from lienspark.plans.marts import build_marts, loan_sample
 from lienspark.plans.yearly import run_year
-from lienspark.schemas import REGISTER_COLUMNS, REGISTER_TYPES
+from lienspark.schemas import FACT_COLUMNS, REGISTER_COLUMNS, REGISTER_TYPES
 from lienspark.settings import fresh_path, session_conf
 from lienspark.sinks.lake import publish_year, write_by_state, write_clustered, write_rates
 from lienspark.sinks.warehouse import create_loan_table, partition_keys
@@ -37,6 +37,7 @@ from lienspark_checks.step_queries import (
     STATES,
     YEAR,
     rounded,
+    rounded_sql,
     with_date,
 )
 
@@ -502,6 +503,69 @@ def job4(spark, sf_dir):
     return rounded_summary(spark.table(names["prd_risk_summary"]))
 
 
+def built_marts(spark: SparkSession, sf_dir: str, **options) -> dict[str, str]:
+    """Marts over one loaded year of loans that all have a state."""
+    table, location = fresh_table(spark, "mart_source")
+    staging = read_staging(spark, written_staging(spark, sf_dir, all_states=True))
+    load_year(staging, table, RUN_YEAR, location=location)
+    return build_marts(spark, table, base=table, root=f"{location}_marts", **options)
+
+
+FACT_SHOWN = [name for name in FACT_COLUMNS if name not in ("id", "data_year")]
+
+
+@registered(
+    "job4_build_marts_fact",
+    after(
+        f"SELECT {rounded_sql(FACT_SHOWN)}, CAST({RUN_YEAR} AS INTEGER) AS data_year FROM fact",
+        all_states=True,
+    ),
+)
+def job4_fact(spark, sf_dir):
+    """Every loan of the built fact, without its id."""
+    fact = spark.table(built_marts(spark, sf_dir)["fct_loan_risk"])
+    return rounded(fact).select(*FACT_SHOWN, "data_year")
+
+
+@registered(
+    "job4_build_marts_sample",
+    after(
+        f"SELECT CAST({RUN_YEAR} AS INTEGER) AS data_year, state_code, state_name, income, "
+        "round(interest_rate_spread, 6) AS interest_rate_spread, risk_segment, loan_amount, loan_purpose_name "
+        "FROM quality",
+        all_states=True,
+    ),
+)
+def job4_sample(spark, sf_dir):
+    """The built sample when it is as large as the table: every loan fit for it."""
+    names = built_marts(spark, sf_dir, n_sample=2**31 - 1)
+    return rounded(spark.table(names["prd_loan_sample"]))
+
+
+@registered(
+    "doc10_refresh_one_year",
+    after(
+        ONE_RUN_SUMMARY.replace(f"CAST({RUN_YEAR} AS INTEGER) AS data_year", "run_year AS data_year").replace(
+            "FROM fact",
+            f"FROM fact, (VALUES (CAST({RUN_YEAR - 1} AS INTEGER)), (CAST({RUN_YEAR} AS INTEGER))) AS runs(run_year) "
+            f"WHERE run_year < {RUN_YEAR} OR state_code <> 'CO'",
+        ),
+        all_states=True,
+    ),
+)
+def doc10_refresh(spark, sf_dir):
+    """Two years built; one of them loaded again without a state and refreshed alone."""
+    table, location = fresh_table(spark, "refreshed")
+    options = {"base": table, "root": f"{location}_marts"}
+    staging = read_staging(spark, written_staging(spark, sf_dir, all_states=True))
+    load_year(staging, table, RUN_YEAR - 1, location=location)
+    load_year(staging, table, RUN_YEAR)
+    build_marts(spark, table, **options)
+    load_year(staging.where(NOT_COLORADO), table, RUN_YEAR)
+    names = build_marts(spark, table, year=RUN_YEAR, **options)
+    return rounded_summary(spark.table(names["prd_risk_summary"]))
+
+
 @registered(
     "job5_dashboard_kpis_and_map",
     after(

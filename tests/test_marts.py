@@ -9,7 +9,8 @@ from lienspark.operators.quality import (
     require_none,
     unique_failures,
 )
-from lienspark.operators.sampling import random_rows
+from lienspark.operators import sampling
+from lienspark.operators.sampling import merged_rows, random_rows, random_rows_by
 from lienspark.operators.summary import (
     heatmap,
     kpis,
@@ -17,6 +18,8 @@ from lienspark.operators.summary import (
     risk_hierarchy,
     risk_summary,
 )
+from lienspark.operators.surrogate import year_start
+from lienspark.plans import marts
 from lienspark.plans.dashboard import dashboard_frames, filter_choices, kept, selected
 from lienspark.plans.documented import in_states
 from lienspark.plans.enrich import enrich
@@ -285,6 +288,96 @@ def test_build(spark):
     )
 
 
+def two_year_table(spark, n=120):
+    table, location = loan_table(spark, fact_rows(spark, n))
+    replace_year(year_rows(spark, n + 30, 2024), table, 2024)
+    return table, f"{location}_marts"
+
+
+def year_rows(spark, n, year, shift=0):
+    """Loans of a year, with ids of its range."""
+    ids = F.col("id") + year_start(year) + 1
+    return fact_rows(spark, n).withColumns(
+        {"id": ids, "data_year": F.lit(year), "loan_amount": F.col("loan_amount") + shift}
+    )
+
+
+def as_rows(frame):
+    return sorted((tuple(str(v) for v in row) for row in frame.collect()))
+
+
+def test_one_year_is_refreshed_and_the_others_stay(spark):
+    table, root = two_year_table(spark)
+    options = {"n_sample": 70, "reproducible": True}
+    names = build_marts(spark, table, base=table, root=root, **options)
+    replace_year(year_rows(spark, 90, 2024, 7), table, 2024)
+    again = build_marts(spark, table, base=table, root=root, year=2024, **options)
+    assert again == names
+    whole = build_marts(spark, table, base=f"{table}_whole", root=f"{root}_whole", **options)
+    for model in ("prd_risk_summary", "prd_loan_sample", "summary_parts", "sample_parts"):
+        assert as_rows(spark.table(names[model])) == as_rows(spark.table(whole[model])), model
+    assert spark.table(names["fct_loan_risk"]).count() == 210
+    seeds = builtin_seeds(spark)
+    fact = loan_fact(spark.table(table), seeds)
+    assert as_rows(spark.table(names["prd_loan_sample"])) == as_rows(loan_sample(fact, 70, reproducible=True))
+    replace_year(year_rows(spark, 0, 2024), table, 2024)
+    build_marts(spark, table, base=table, root=root, year=2024, **options)
+    years = {row.data_year for row in spark.table(names["prd_risk_summary"]).collect()}
+    assert years == {2023}
+
+
+def test_a_refresh_reads_one_year(spark, monkeypatch, plan_of):
+    table, root = two_year_table(spark)
+    build_marts(spark, table, base=table, root=root)
+    plans = []
+    keep = marts._refresh
+    monkeypatch.setattr(marts, "_refresh", lambda rows, *more: plans.append(rows) or keep(rows, *more))
+    build_marts(spark, table, base=table, root=root, year=2024)
+    assert len(plans) == 2
+    for rows in plans:
+        (files,) = {file.split("data_year=")[1][:4] for file in rows.inputFiles() if "data_year=" in file}
+        assert files == "2024"
+
+
+def test_a_failed_refresh_keeps_parts_and_tables(spark, monkeypatch):
+    table, root = two_year_table(spark)
+    names = build_marts(spark, table, base=table, root=root, reproducible=True)
+    models = ("prd_risk_summary", "summary_parts", "sample_parts")
+    before = [as_rows(spark.table(names[m])) for m in models]
+    replace_year(year_rows(spark, 10, 2024), table, 2024)
+    monkeypatch.setattr("lienspark.plans.marts.SEGMENT_VALUES", {"risk_segment": ["Nothing"]})
+    with pytest.raises(DataTestFailure, match="summary accepted values"):
+        build_marts(spark, table, base=table, root=root, year=2024, reproducible=True)
+    assert [as_rows(spark.table(names[m])) for m in models] == before
+
+
+@pytest.mark.parametrize(("broken", "message"), [("twice", "unique id"), ("of another year", "unique id"), ("state", "not null")])
+def test_a_refresh_tests_its_year(spark, broken, message):
+    table, root = two_year_table(spark)
+    build_marts(spark, table, base=table, root=root)
+    rows = year_rows(spark, 20, 2024)
+    if broken == "twice":
+        rows = rows.unionAll(rows.limit(1))
+    elif broken == "of another year":
+        rows = rows.withColumn("id", F.col("id") - year_start(2024) - 1)
+    else:
+        rows = rows.withColumn("state_code", F.lit(None).cast("string"))
+    replace_year(rows, table, 2024)
+    with pytest.raises(DataTestFailure, match=message):
+        build_marts(spark, table, base=table, root=root, year=2024)
+
+
+@pytest.mark.parametrize("groups", [sampling.BROADCAST_GROUPS, 0])
+def test_samples_of_groups_merge_to_the_sample_of_all(spark, monkeypatch, groups):
+    monkeypatch.setattr(sampling, "BROADCAST_GROUPS", groups)
+    rows = spark.range(0, 30_000, 1, 8).withColumn("g", F.when(F.col("id") < 20_000, 1).when(F.col("id") < 20_050, 2))
+    parts = random_rows_by(rows, "g", 300, reproducible=True)
+    sizes = {row.g: row["count"] for row in parts.groupBy("g").count().collect()}
+    assert sizes == {1: 300, 2: 50, None: 300}
+    whole = random_rows(rows, 300, reproducible=True).collect()
+    assert merged_rows(parts, 300).collect() == whole
+
+
 def test_failed_build_keeps_the_old_tables(spark, monkeypatch):
     table, location = loan_table(spark, fact_rows(spark, 40))
     names = build_marts(spark, table, base=table, root=f"{location}_marts")
