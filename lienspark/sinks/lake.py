@@ -47,7 +47,7 @@ def write_rates(rates: DataFrame, path: str) -> None:
 
 
 def write_clustered(loans: DataFrame, path: str, files: int | None = None) -> None:
-    """Files of few years and states each, so a filter on them skips most of them."""
+    """Files of one year and few states each, so a filter on them skips most of them."""
     with session_conf(loans.sparkSession, GATHER_SETTINGS | WIDE_ROW_SETTINGS):
         clustered = cluster_by(loans, *PARTITION_KEYS, files=files)
         replace_folder(loans.sparkSession, path, clustered.write.parquet)

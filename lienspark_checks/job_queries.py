@@ -20,6 +20,8 @@ from lienspark.plans.marts import build_marts, loan_sample
 from lienspark.plans.yearly import run_year
 from lienspark.schemas import FACT_COLUMNS, REGISTER_COLUMNS, REGISTER_TYPES
 from lienspark.settings import fresh_path, session_conf
+from lienspark.sinks.curved import RANGES as RANGES_FOLDER
+from lienspark.sinks.curved import read_curved, write_curved
 from lienspark.sinks.lake import publish_year, write_by_state, write_clustered, write_rates
 from lienspark.sinks.warehouse import create_loan_table, partition_keys
 from lienspark.sources.lake import input_present, read_loans, read_rates, read_staging
@@ -326,6 +328,69 @@ def snk7(spark, sf_dir):
     return state_totals(spark.read.parquet(path), "data_year", "state_code")
 
 
+RANGES = {
+    "ltv": {"loan_to_value_ratio": (0.70, 0.74)},
+    "spread": {"interest_rate_spread": (1.0, 1.4)},
+    "both": {"loan_to_value_ratio": (0.80, None), "interest_rate_spread": (None, -1.5)},
+}
+
+
+def _range_sql(bounds: dict) -> str:
+    ends = [(name, low, ">=") for name, (low, _) in bounds.items()]
+    ends += [(name, high, "<=") for name, (_, high) in bounds.items()]
+    return " AND ".join(f"{name} {sign} {value}" for name, value, sign in ends if value is not None)
+
+
+@registered(
+    "snk11_skip_by_ltv_and_spread",
+    after(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS asked, data_year, count(*) AS n_loans, CAST(sum(loan_amount) AS BIGINT) AS amount "
+            f"FROM staged WHERE {_range_sql(bounds)} GROUP BY 2"
+            for name, bounds in RANGES.items()
+        )
+    ),
+)
+def snk11_ranges(spark, sf_dir):
+    """Loans of ranges of LTV and spread, from the files that can hold them."""
+    path = fresh_path(spark, "curved")
+    write_curved(fixtures.staged(spark, sf_dir), path, files=128)
+
+    def asked(name: str, bounds: dict) -> DataFrame:
+        totals = state_totals(read_curved(spark, path, bounds), "data_year").drop("n_rates")
+        return totals.withColumn("asked", F.lit(name))
+
+    return reduce(DataFrame.unionByName, (asked(name, bounds) for name, bounds in RANGES.items()))
+
+
+@registered(
+    "snk11_file_ranges",
+    after(
+        "SELECT data_year, count(*) AS n_rows, min(loan_to_value_ratio) AS least_ltv, max(loan_to_value_ratio) AS greatest_ltv, "
+        "round(min(interest_rate_spread), 6) AS least_spread, round(max(interest_rate_spread), 6) AS greatest_spread, "
+        "true AS narrow FROM staged GROUP BY 1"
+    ),
+)
+def snk11_files(spark, sf_dir):
+    """The table of file ranges, by year; a file holds a part of its year's ranges."""
+    path = fresh_path(spark, "curved")
+    write_curved(fixtures.staged(spark, sf_dir), path, files=64)
+    files = spark.read.parquet(f"{path}/{RANGES_FOLDER}")
+    ltv, spread = (F.col(f"greatest_{n}") - F.col(f"least_{n}") for n in ("loan_to_value_ratio", "interest_rate_spread"))
+    years = files.groupBy("data_year").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("least_loan_to_value_ratio").alias("least_ltv"),
+        F.max("greatest_loan_to_value_ratio").alias("greatest_ltv"),
+        F.round(F.min("least_interest_rate_spread"), 6).alias("least_spread"),
+        F.round(F.max("greatest_interest_rate_spread"), 6).alias("greatest_spread"),
+        (F.avg(F.coalesce(ltv, F.lit(0.0))) + F.avg(F.coalesce(spread, F.lit(0.0)))).alias("mean_width"),
+        F.count("*").alias("n_files"),
+    )
+    whole = F.col("greatest_ltv") - F.col("least_ltv") + F.coalesce(F.col("greatest_spread") - F.col("least_spread"), F.lit(0.0))
+    narrow = (F.col("n_files") < 4) | (F.col("mean_width") < whole * 0.75)
+    return years.withColumn("narrow", narrow).drop("mean_width", "n_files")
+
+
 @registered(
     "snk9_surrogate_id",
     after(
