@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SHOWN_FAILURES = 5
+# More intervals of ids than this are not looked at one after the other.
+MOST_INTERVALS = 100_000
 
 
 class DataTestFailure(Exception):
@@ -26,6 +28,33 @@ def unique_failures(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
+def unique_failures_in_files(rows: DataFrame, column: str) -> DataFrame:
+    """As ``unique_failures`` of a whole number, over rows read from Parquet files.
+
+    Where a number minus its row's place in the file is the same, numbers are the
+    distinct ones of an interval. Ids that were numbered in the order of rows make
+    few such intervals, which are found without moving an id; only files whose
+    intervals touch others are grouped. Numbers in any other order would make very
+    many, and are all grouped as usual: a first pass tells how many there are.
+    """
+    spark = rows.sparkSession
+    file = F.col("_metadata.file_path").alias("_file")
+    shift = (F.col(column) - F.col("_metadata.row_index")).alias("_shift")
+    placed = rows.where(F.col(column).isNotNull()).select(F.col(column), file, shift)
+    per_file = placed.groupBy("_file").agg(F.approx_count_distinct("_shift").alias("n"))
+    if (per_file.agg(F.sum("n")).first()[0] or 0) > MOST_INTERVALS:
+        return unique_failures(rows, column)
+    intervals = placed.groupBy("_file", "_shift").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    line = Window.orderBy("low", "high", "_file")
+    before = F.max("high").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    touching = intervals.withColumns({"before": before, "after": F.lead("low").over(line)})
+    files = touching.where("low <= before OR high >= after").select("_file").distinct().collect()
+    if not files:
+        return spark.createDataFrame([], unique_failures(rows, column).schema)
+    known = F.broadcast(spark.createDataFrame(files, "_file string"))
+    return unique_failures(placed.join(known, "_file", "left_semi"), column)
+
+
 def not_null_failures(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns holding NULLs and how many, all counted in one pass."""
     counts = rows.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in columns))

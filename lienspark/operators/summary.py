@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lienspark.functions import share
@@ -65,10 +65,15 @@ def kpis(summary: DataFrame) -> DataFrame:
     The rate divides the sum of the known rates by all loans, so loans without
     a rate lower it.
     """
-    loans = F.coalesce(F.sum("loan_count"), F.lit(0))
     high = F.sum(F.when(F.col("risk_segment") == "High", F.col("loan_count")))
+    return kpis_of(summary, high)
+
+
+def kpis_of(rows: DataFrame, high: Column) -> DataFrame:
+    """The headline figures of rows with sums, given the aggregate of high-risk loans."""
+    loans = F.coalesce(F.sum("loan_count"), F.lit(0))
     rates = F.sum("sum_interest_rate")
-    return summary.agg(
+    return rows.agg(
         loans.alias("total_loans"),
         (F.coalesce(F.sum("total_loan_amount"), F.lit(0.0)) / 1e6).alias(
             "portfolio_value_millions"

@@ -16,6 +16,7 @@ from lienspark.operators.quality import (
     not_null_failures,
     require_none,
     unique_failures,
+    unique_failures_in_files,
 )
 from lienspark.operators.sampling import (
     SAMPLE_ROWS,
@@ -196,6 +197,15 @@ def _require_sound(source: DataFrame, loans: DataFrame, year: int | None) -> boo
     return own_ids
 
 
+def _repeated_ids(spark: SparkSession, table: str, year: int | None) -> DataFrame:
+    """Ids that occur more than once, in a year or in the whole table."""
+    loaded = spark.catalog.tableExists(generations.rows_table(table))
+    rows = generations.current_rows(spark, table) if loaded else spark.table(table)
+    if year is not None:
+        rows = rows.where(F.col("data_year") == year)
+    return unique_failures_in_files(rows, "id") if loaded else unique_failures(rows, "id")
+
+
 # What summary and sample are made of, by year; a year's rows are replaced alone.
 SUMMARY_PARTS = {
     "state_code": "string",
@@ -286,10 +296,8 @@ def build_marts(
     if year is not None:
         source = source.where(F.col("data_year") == year)
     loans = segmented(staging_view(source), dti_scale)
-    if _require_sound(source, loans, year):
-        require_none(unique_failures(loans, "id"), "fact unique id")
-    else:
-        require_none(unique_failures(spark.table(table), "id"), "fact unique id")
+    own_ids = _require_sound(source, loans, year)
+    require_none(_repeated_ids(spark, table, year if own_ids else None), "fact unique id")
     spark.sql(f"CREATE OR REPLACE VIEW {names['stg_loans']} AS {staging_sql(table)}")
     fact = fact_sql(names["stg_loans"], {name: names[name] for name in seeds}, dti_scale)
     spark.sql(f"CREATE OR REPLACE VIEW {names['fct_loan_risk']} AS {fact}")

@@ -100,6 +100,12 @@ def show_current(spark: SparkSession, table: str) -> None:
     spark.sql(f"ALTER VIEW {table} AS {_view_text(spark, table, generations)}")
 
 
+def current_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of the generations in force, with the files' metadata columns."""
+    condition = _condition(committed(spark, place_of(spark, table)))
+    return spark.table(rows_table(table)).where(condition).drop(GENERATION)
+
+
 def _default_place(spark: SparkSession, table: str) -> str:
     database, _, name = table.rpartition(".")
     root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lienspark.sinks.folders import delete_folder, folders_like
 
 
-def _place(spark: SparkSession, table: str) -> str:
+def place_of_table(spark: SparkSession, table: str) -> str:
+    """The folder a catalog table's files are in now."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
     return next(row.data_type for row in rows if row.col_name == "Location")
 
@@ -39,7 +40,7 @@ def publish_table(
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{place}'")
         return
-    before = _place(spark, table)
+    before = place_of_table(spark, table)
     if spark.table(table).dtypes == rows.dtypes:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
         spark.catalog.refreshTable(table)

@@ -61,6 +61,14 @@ def replace_year(
     )
 
 
+def written_files(spark: SparkSession, table: str, year: int) -> DataFrame:
+    """Rows of every file, or batch, of a year: ``state_code file n_rows``, from the footers."""
+    rows = generations.current_rows(spark, table).where(F.col("data_year") == year)
+    return rows.groupBy("state_code", F.col("_metadata.file_name").alias("file")).agg(
+        F.count("*").alias("n_rows")
+    )
+
+
 def partition_keys(loans: DataFrame) -> DataFrame:
     """State codes that get a partition of their own."""
     return loans.where(F.col("state_code").isNotNull()).select("state_code").distinct()

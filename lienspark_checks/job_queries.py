@@ -8,22 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.operators.lookups import describe
-from lienspark.operators.quality import DataTestFailure, not_null_failures, require_none
+from lienspark.operators.quality import (
+    DataTestFailure,
+    not_null_failures,
+    require_none,
+    unique_failures_in_files,
+)
 from lienspark.operators.summary import kpis
 from lienspark.operators.surrogate import add_surrogate_id, year_start
-from lienspark.plans.dashboard import dashboard_frames, kept, selected
+from lienspark.plans.dashboard import dashboard_frames, dashboard_rows, frames_from, kept, selected
 from lienspark.plans.enrich import enrich_year
 from lienspark.plans.explore import explore
 from lienspark.plans.ingest import ingest_loans
 from lienspark.plans.load import load_year
 from lienspark.plans.marts import build_marts, loan_sample
+from lienspark.plans.results import Results, kept_dashboard
 from lienspark.plans.yearly import run_year
 from lienspark.schemas import FACT_COLUMNS, REGISTER_COLUMNS, REGISTER_TYPES
 from lienspark.settings import fresh_path, session_conf
 from lienspark.sinks.curved import RANGES as RANGES_FOLDER
 from lienspark.sinks.curved import read_curved, write_curved
 from lienspark.sinks.lake import publish_year, write_by_state, write_clustered, write_rates
-from lienspark.sinks.warehouse import create_loan_table, partition_keys
+from lienspark.sinks.warehouse import create_loan_table, partition_keys, written_files
 from lienspark.sources.lake import input_present, read_loans, read_rates, read_staging
 from lienspark.sources.register import read_register, read_register_inferred
 from lienspark.sources.seeds import builtin_seeds, read_seeds
@@ -446,13 +452,13 @@ def snk10(spark, sf_dir):
 @registered(
     "snk13_ingest_report",
     after(
-        f"SELECT CAST({len(REGISTER_COLUMNS)} AS INTEGER) AS n_columns, count(*) AS rows_loaded "
-        "FROM loans"
+        f"SELECT CAST({len(REGISTER_COLUMNS)} AS INTEGER) AS n_columns, count(*) AS rows_loaded, "
+        "count(DISTINCT coalesce(state_code, 'none')) AS n_files FROM loans"
     ),
 )
 def snk13(spark, sf_dir):
     report = ingest_loans(spark, write_register(spark, sf_dir), fresh_path(spark, "reported"))
-    return report.select("n_columns", "rows_loaded")
+    return report.select("n_columns", "rows_loaded", "n_files")
 
 
 # Jobs
@@ -667,6 +673,158 @@ def job5(spark, sf_dir):
     )
 
 
+OF_YEAR = f"FROM summary WHERE data_year = {YEAR}"
+CHOSEN_SQL = f"{OF_YEAR} AND state_name IN ({STATE_LIST})"
+HIGH_SQL = "sum(CASE WHEN risk_segment = 'High' THEN loan_count END)"
+NO_TEXT = "CAST(NULL AS VARCHAR)"
+
+
+def _selection_sql(frame: str, keys: str, grouping: str = "") -> str:
+    return (
+        f"SELECT '{frame}' AS frame, {keys}, CAST(sum(loan_count) AS BIGINT) AS loan_count, "
+        "sum(total_loan_amount) AS total_loan_amount, round(sum(sum_interest_rate), 6) AS sum_interest_rate, "
+        f"CAST({HIGH_SQL} AS BIGINT) AS high_risk_count {CHOSEN_SQL} {grouping}"
+    )
+
+
+@registered(
+    "job5_dashboard_one_pass",
+    after(
+        f"SELECT 'state' AS frame, state_code, {NO_TEXT} AS risk_segment, {NO_TEXT} AS loan_purpose_name, "
+        "CAST(sum(loan_count) AS BIGINT) AS loan_count, CAST(NULL AS DOUBLE) AS total_loan_amount, "
+        f"CAST(NULL AS DOUBLE) AS sum_interest_rate, CAST(NULL AS BIGINT) AS high_risk_count {OF_YEAR} GROUP BY state_code UNION ALL "
+        + _selection_sql("purpose", f"{NO_TEXT}, risk_segment, loan_purpose_name", "GROUP BY risk_segment, loan_purpose_name")
+        + " UNION ALL "
+        + _selection_sql("segment", f"{NO_TEXT}, risk_segment, {NO_TEXT}", "GROUP BY risk_segment")
+        + " UNION ALL "
+        + _selection_sql("selection", f"{NO_TEXT}, {NO_TEXT}, {NO_TEXT}")
+    ),
+)
+def job5_one_pass(spark, sf_dir):
+    """Every group of the dashboard, of one reading of the summary."""
+    rows = dashboard_rows(summary_of(spark, sf_dir), YEAR, STATES)
+    return rows.withColumn("sum_interest_rate", F.round("sum_interest_rate", 6))
+
+
+@registered(
+    "job5_dashboard_every_frame",
+    after(
+        f"SELECT 'heatmap' AS frame, state_code AS first_key, {NO_TEXT} AS second_key, CAST(sum(loan_count) AS DOUBLE) AS value "
+        f"{OF_YEAR} GROUP BY state_code UNION ALL "
+        f"SELECT 'purpose_breakdown', loan_purpose_name, risk_segment, sum(loan_count) {CHOSEN_SQL} "
+        "AND loan_purpose_name IS NOT NULL GROUP BY 2, 3 UNION ALL "
+        f"SELECT 'risk_hierarchy', risk_segment, coalesce(loan_purpose_name, 'none'), sum(loan_count) {CHOSEN_SQL} GROUP BY 2, 3 UNION ALL "
+        f"SELECT 'risk_hierarchy', risk_segment, 'all', sum(loan_count) {CHOSEN_SQL} GROUP BY 2 UNION ALL "
+        f"SELECT 'kpis', 'total_loans', NULL, sum(loan_count) {CHOSEN_SQL} UNION ALL "
+        f"SELECT 'kpis', 'portfolio_value_millions', NULL, round(sum(total_loan_amount) / 1e6, 6) {CHOSEN_SQL} UNION ALL "
+        f"SELECT 'kpis', 'avg_market_rate', NULL, round(sum(sum_interest_rate) / sum(loan_count), 6) {CHOSEN_SQL} UNION ALL "
+        f"SELECT 'kpis', 'high_risk_pct', NULL, round({HIGH_SQL} * 100.0 / sum(loan_count), 6) {CHOSEN_SQL} UNION ALL "
+        "SELECT 'income_vs_spread', risk_segment, CAST(income AS VARCHAR), round(sum(interest_rate_spread), 4) FROM sample "
+        f"WHERE data_year = {YEAR} AND state_name IN ({STATE_LIST}) GROUP BY 2, 3"
+    ),
+)
+def job5_frames(spark, sf_dir):
+    """Every value of every frame, as text keys and a number."""
+    summary = summary_of(spark, sf_dir)
+    sample = loan_sample(fixtures.summary_fact(spark, sf_dir), reproducible=True)
+    frames = frames_from(dashboard_rows(summary, YEAR, STATES))
+    kpis_row = frames["kpis"].withColumn("total_loans", F.col("total_loans").cast("double"))
+    points = selected(sample, YEAR, STATES).groupBy("risk_segment", "income")
+
+    def keyed(frame: str, rows: DataFrame, first, second, value) -> DataFrame:
+        return rows.select(F.lit(frame).alias("frame"), first.alias("first_key"), second.alias("second_key"), value.cast("double").alias("value"))
+
+    col, none = F.col, F.lit(None).cast("string")
+    purpose = F.when(col("is_total") == 1, "all").otherwise(F.coalesce("loan_purpose_name", F.lit("none")))
+    parts = [
+        keyed("heatmap", frames["heatmap"], col("state_code"), none, col("loan_count")),
+        keyed("purpose_breakdown", frames["purpose_breakdown"], col("loan_purpose_name"), col("risk_segment"), col("loan_count")),
+        keyed("risk_hierarchy", frames["risk_hierarchy"], col("risk_segment"), purpose, col("loan_count")),
+        keyed("kpis", kpis_row.unpivot([], kpis_row.columns, "name", "v"), col("name"), none, F.round("v", 6)),
+        keyed(
+            "income_vs_spread",
+            points.agg(F.sum("interest_rate_spread").alias("v")),
+            col("risk_segment"),
+            col("income").cast("string"),
+            F.round("v", 4),
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@registered(
+    "srt8_stored_results",
+    after(
+        "SELECT asked, CAST(sum(loan_count) AS BIGINT) AS total_loans FROM fact_again, (VALUES ('first'), ('again'), ('after a load')) AS questions(asked) "
+        "WHERE asked <> 'after a load' OR state_code <> 'CO' GROUP BY 1",
+        all_states=True,
+    ).replace(" SELECT asked,", f", fact_again AS (SELECT 1 AS loan_count, * FROM fact WHERE state_name IN ({STATE_LIST})) SELECT asked,"),
+)
+def srt8_stored(spark, sf_dir):
+    """One question three times: asked, answered from what is stored, and after a load."""
+    table, location = fresh_table(spark, "kept_results")
+    options = {"base": table, "root": f"{location}_marts"}
+    staging = read_staging(spark, written_staging(spark, sf_dir, all_states=True))
+    load_year(staging, table, RUN_YEAR, location=location)
+    names = build_marts(spark, table, **options)
+    results = Results(spark, f"{location}_results")
+
+    def asked(question: str) -> DataFrame:
+        frames = kept_dashboard(results, names, RUN_YEAR, STATES)
+        return frames["kpis"].select(F.lit(question).alias("asked"), "total_loans")
+
+    answers = [asked("first"), asked("again")]
+    load_year(staging.where(NOT_COLORADO), table, RUN_YEAR)
+    build_marts(spark, table, year=RUN_YEAR, **options)
+    return reduce(DataFrame.unionByName, [*answers, asked("after a load")])
+
+
+@registered(
+    "dq1_unique_id_in_files",
+    after(
+        "SELECT planted, CASE WHEN planted THEN count(*) FILTER (WHERE k % 97 = 0) ELSE 0 END AS n_failures, "
+        "CASE WHEN planted THEN 2 * count(*) FILTER (WHERE k % 97 = 0) ELSE 0 END AS n_rows "
+        "FROM loans, (VALUES (false), (true)) AS cases(planted) GROUP BY 1"
+    ),
+)
+def dq1_in_files(spark, sf_dir):
+    """Repeated ids of a numbered table, and of one with some rows in two files."""
+    path = fresh_path(spark, "numbered")
+    loans = read_staging(spark, written_loans(spark, sf_dir))
+    add_surrogate_id(loans, year_start(RUN_YEAR)).select("k", "id").write.parquet(path)
+
+    def failing(planted: bool) -> DataFrame:
+        found = unique_failures_in_files(spark.read.parquet(path), "id")
+        return found.agg(
+            F.lit(planted).alias("planted"),
+            F.count("*").alias("n_failures"),
+            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        )
+
+    before = failing(False)
+    before = spark.createDataFrame(before.collect(), before.schema)
+    spark.read.parquet(path).where("k % 97 = 0").write.parquet(f"{path}-twice")
+    both = spark.read.parquet(f"{path}-twice")
+    both.write.mode("append").parquet(path)
+    return before.unionAll(failing(True))
+
+
+@registered(
+    "snk13_rows_per_file",
+    after(
+        "SELECT state_code, CAST(ceil(count(*) / 500.0) AS BIGINT) AS n_files, count(*) AS n_rows, "
+        "least(500, count(*)) AS largest FROM loans GROUP BY 1"
+    ),
+)
+def snk13_files(spark, sf_dir):
+    """Files of a load in batches, and the rows of each."""
+    table, location = fresh_table(spark, "files")
+    staging = read_staging(spark, written_loans(spark, sf_dir))
+    load_year(staging, table, RUN_YEAR, location=location, batch_rows=500, require_state=False)
+    files = written_files(spark, table, RUN_YEAR).groupBy("state_code")
+    return files.agg(F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows"), F.max("n_rows").alias("largest"))
+
+
 @registered(
     "job6_explore",
     after(
