@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -264,9 +265,9 @@ def build_marts(
     Each step is tested before anything that reads it is built; a failing test
     raises. Lookups, summary and sample become tables in the layers' databases;
     staging and fact are views of the catalog over tables, so other sessions can
-    ask them. A table is written anew and tested before it takes the place of the
-    old one. ``root`` places the databases in a folder of their own instead of the
-    session's warehouse. Returns the name of each model.
+    ask them. What summary and sample are made of is written anew and tested before
+    it takes the place of the old. ``root`` places the databases in a folder of their
+    own instead of the session's warehouse. Returns the name of each model.
 
     With a ``year`` only its loans are read and tested; the other years stay as
     their last build left them. For that, sums and counts by code, and the first
@@ -288,9 +289,9 @@ def build_marts(
     }
 
     _require_unique_keys(seeds)
-    for name, rows in seeds.items():
-        names[name] = f"{lookup}.{name}"
-        publish_table(rows, names[name])
+    names |= {name: f"{lookup}.{name}" for name in seeds}
+    with ThreadPoolExecutor(len(seeds)) as together:
+        list(together.map(lambda name: publish_table(seeds[name], names[name]), seeds))
 
     source = spark.table(table)
     if year is not None:
@@ -312,9 +313,9 @@ def build_marts(
 
     by_code = _refresh(summary_by_code(loans), names["summary_parts"], SUMMARY_PARTS, year, summary_tests)
     summary = merged_summary(describe(by_code, seeds, SUMMARY_LOOKUPS))
-    publish_table(summary, names["prd_risk_summary"], summary_tests)
+    publish_table(summary, names["prd_risk_summary"])
     drawn = random_rows_by(sample_quality(loans), "data_year", n_sample, "id", seed, reproducible)
     by_year = _refresh(drawn, names["sample_parts"], SAMPLE_PARTS, year, sample_tests)
     sample = describe(merged_rows(by_year, n_sample), seeds, SUMMARY_LOOKUPS)
-    publish_table(select_sample_columns(sample), names["prd_loan_sample"], sample_tests)
+    publish_table(select_sample_columns(sample), names["prd_loan_sample"])
     return names
