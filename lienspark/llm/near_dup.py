@@ -21,9 +21,9 @@ copies never becomes pairs, and no link is lost beyond what banding itself can
 miss (5e-5 at a similarity of 0.8, less above).
 
 Nulls and corner cases: a null text is in a class of its own; texts without a
-word are copies of each other; a null ``doc_id`` gets a null class; rows that
-repeat a ``doc_id`` take the smallest of their classes, one result row each; an
-empty table gives an empty result. Only ``doc_id`` and ``text`` are read, so
+word are copies of each other; a null ``doc_id`` gets a null class; the texts of a
+repeated ``doc_id`` are compared each by itself, and its rows take the smallest of
+their classes, one result row each; an empty table gives an empty result. Only ``doc_id`` and ``text`` are read, so
 further columns do not matter.
 """
 
@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lienspark.llm.components import components
 from lienspark.llm.io import written
@@ -51,6 +52,8 @@ BLOCK_ROWS, BLOCK_GRAMS, BLOCK_COUNT = 512, 4096, 6
 # Rows of blocks in one task.
 SHARD_ROWS = 1024
 RUN_BYTES = 4 << 20
+# Numbers of texts that no row's id can stand for; ids are below it.
+ODD = 1 << 62
 # Points drawn at once for each shingle when few shingles are left.
 DRAW, FEW = 32, 4096
 
@@ -142,9 +145,16 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of texts; of those with keys beside them, only where they are the text's."""
     for batch in batches:
         for run in runs(batch, limit=RUN_BYTES):
-            doc, gram, count = shingles(Words(*utf8(run.column("text"))))
+            words = Words(*utf8(run.column("text")))
+            asked = run.column("k1").is_valid().to_numpy(zero_copy_only=False)
+            if asked.any():
+                keys = np.stack([run.column(k).fill_null(0).to_numpy() for k in ("k1", "k2")])
+                run = run.filter(pa.array(~asked | (keys == np.stack(_sequence_keys(words))).all(axis=0)))
+                words = Words(*utf8(run.column("text")))
+            doc, gram, count = shingles(words)
             cuts = pa.array(np.searchsorted(doc, np.arange(run.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -337,10 +347,16 @@ def _across(key, table):
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def weighted_shingles(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The shingles of every document in a pair ``a``, ``b`` of ids."""
-    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    found = docs.join(involved, "doc_id", "left_semi").mapInArrow(_shingled, "doc_id long, grams array<long>, counts array<int>")
+def weighted_shingles(texts: DataFrame, pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The shingles of every text in a pair ``a``, ``b`` of texts' numbers.
+
+    A text's number is the id of a row that has it, but for the ``shared`` ones,
+    whose row's id has other texts too: there the text's keys tell which.
+    """
+    involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = involved.join(shared, "node", "left").select("node", F.coalesce("first", "node").alias("doc_id"), "k1", "k2")
+    rows = texts.join(wanted, "doc_id").select(F.col("node").alias("doc_id"), "text", "k1", "k2")
+    found = rows.mapInArrow(_shingled, "doc_id long, grams array<long>, counts array<int>")
     return written(found.dropDuplicates(["doc_id"]), "shingles")
 
 
@@ -381,33 +397,54 @@ def _links_across(members: DataFrame, labels: DataFrame, grams: DataFrame) -> Da
     return written(placed.join(grams, "doc_id").groupBy(shard).applyInArrow(_across, "a long, b long"), "across")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``class_id`` (smallest id of the class) and ``kept`` (it is that one)."""
+def _classes(docs: DataFrame) -> DataFrame:
+    """``doc_id k1 k2 class_id chosen`` of rows with an id and a text; ``k1 k2`` are the text's keys.
+
+    A text goes by the smallest id among its rows. Where that id has several texts,
+    only one of them does, and the others get numbers above ``ODD``. Of each class
+    the text with the smallest number is ``chosen``, in the row it goes by.
+    """
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     signed = written(
         texts.mapInArrow(_signed, "doc_id long, k1 long, k2 long, worded boolean, registers array<int>"), "signed"
     )
-    first = written(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.bool_or("worded").alias("worded")), "first")
-    copies = signed.select("doc_id", "k1", "k2").join(first.select("k1", "k2", "first"), ["k1", "k2"]).select("doc_id", "first")
-    copies = written(copies.groupBy("doc_id").agg(F.min("first").alias("first")), "copies")
-
-    single = signed.join(first.where("worded").select(F.col("first").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    single = written(single.select("doc_id", "registers"), "single")
+    key = F.struct("k1", "k2")
+    several = signed.groupBy("doc_id").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least <> most")
+    first = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.bool_or("worded").alias("worded"))
+    told = first.join(several.select(F.col("doc_id").alias("of")), F.col("first") == F.col("of"), "left")
+    odd = F.lit(ODD).bitwiseOR(F.xxhash64("k1", "k2").bitwiseAND(F.lit(ODD - 1)))
+    of_several = written(told.where("of IS NOT NULL").drop("of"), "of_several")
+    own = of_several.groupBy("first").agg(F.min(key).alias("own"))
+    shared = of_several.join(own, "first").withColumn("node", F.when(key == F.col("own"), F.col("first")).otherwise(odd))
+    shared = written(shared.select("k1", "k2", "first", "worded", "node"), "shared")
+    first = written(told.where("of IS NULL").withColumn("node", F.col("first")).select(*shared.columns).union(shared), "first")
+
+    leading = first.where("worded").select(F.col("first").alias("doc_id"), "k1", "k2", "node")
+    single = signed.join(leading, ["doc_id", "k1", "k2"]).dropDuplicates(["doc_id", "k1", "k2"])
+    single = written(single.select(F.col("node").alias("doc_id"), "registers"), "single")
     banded = single.mapInArrow(_banded, "doc_id long, bucket long")
     heads = banded.groupBy("bucket").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("other")).where("head < other")
     members = written(banded.join(heads.select("bucket", "head"), "bucket"), "members")
 
     stars = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    grams = weighted_shingles(texts, stars)
+    grams = weighted_shingles(texts, stars, shared.select("node", "first", "k1", "k2"))
     links = verified(grams, stars)
     labels = components(links)
     more = _links_across(members, labels, grams)
     if more is not None:
         labels = components(links.union(more))
 
-    found = copies.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
-        F.col("doc_id").alias("id"), F.coalesce("label", "first").alias("found")
-    )
+    named = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    of_odd = shared.select(F.col("node").alias("label"), F.col("first").alias("low"))
+    named = named.join(of_odd, "label", "left").withColumn("class_id", F.coalesce("low", "label"))
+    named = named.select("k1", "k2", "class_id", F.when(F.col("label") == F.col("node"), F.col("first")).alias("chosen_id"))
+    rows = signed.select("doc_id", "k1", "k2").join(named, ["k1", "k2"])
+    return rows.select("doc_id", "k1", "k2", "class_id", F.coalesce(F.col("chosen_id") == F.col("doc_id"), F.lit(False)).alias("chosen"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``class_id`` (smallest id of the class) and ``kept`` (it is that one)."""
+    found = _classes(docs).groupBy(F.col("doc_id").alias("id")).agg(F.min("class_id").alias("found"))
     ids = docs.select("doc_id")
     class_id = F.coalesce("found", "doc_id")
     return ids.join(found, ids.doc_id == found.id, "left").select(
@@ -415,17 +452,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for run in runs(batch, limit=RUN_BYTES):
+            keys = map(pa.array, _sequence_keys(Words(*utf8(run.column("text")))))
+            yield pa.RecordBatch.from_arrays([*run.columns, *keys], [str(i) for i in range(run.num_columns + 2)])
+
+
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their class's, each such id once.
+    """The rows of ``docs`` with one text of each class, in the row of its smallest id.
 
-    Rows without an id or text have no copies and stay.
+    Rows are told apart by id and text: of equal ones one stays, and a text goes only
+    if an equal or similar one stays. Rows without an id or text have no copies and
+    stay.
     """
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("copy")).distinct()
-    # Rows without an id are told apart by a number, so that all of them stay.
-    number = "row" + "_" * max(map(len, docs.columns))
-    numbered = docs.withColumn(number, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    left = numbered.join(dropped, numbered.doc_id == dropped.copy, "left_anti")
-    return left.dropDuplicates(["doc_id", number]).drop(number)
+    mark = "_" * (1 + max(map(len, docs.columns)))
+    k1, k2, none = f"{mark}k1", f"{mark}k2", f"{mark}none"
+    schema = StructType([*docs.schema.fields, StructField(k1, LongType()), StructField(k2, LongType())])
+    chosen = _classes(docs).where("chosen").select(F.col("doc_id").alias(f"{mark}id"), F.col("k1").alias(f"{mark}a"), F.col("k2").alias(f"{mark}b")).distinct()
+    keyed = docs.mapInArrow(_keyed, schema)
+    alone = keyed.doc_id.isNull() | keyed.text.isNull()
+    # A number of their own keeps rows apart that have no id or text.
+    keyed = keyed.withColumns({none: alone, k1: F.when(alone, F.monotonically_increasing_id()).otherwise(F.col(k1))})
+    same = (F.col("doc_id") == F.col(f"{mark}id")) & (F.col(k1) == F.col(f"{mark}a")) & (F.col(k2) == F.col(f"{mark}b"))
+    left = keyed.join(chosen, same, "left").where(F.col(none) | F.col(f"{mark}id").isNotNull())
+    return left.dropDuplicates(["doc_id", k1, k2, none]).select(*docs.columns)
 
 
 @registered("op4_minhash_near_dedup")

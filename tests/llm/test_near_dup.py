@@ -110,6 +110,40 @@ def test_components(spark):
     assert found == {i: 0 for i in range(41)} | {100: 98, 99: 98, 98: 98, 200: 200, 201: 200}
 
 
+def test_texts_of_one_id_are_kept_apart(table):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(40)) for name in "abc")
+    kept = near_dup.keep(table([(1, a), (1, b), (2, b), (3, c)])).collect()
+    assert sorted(map(tuple, kept)) == [(1, a), (1, b), (3, c)]
+    found = near_dup.near_duplicates(table([(1, a), (1, b), (2, b), (3, c)])).collect()
+    assert sorted(map(tuple, found)) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 3, True)]
+
+
+def test_repeated_ids_against_all_pairs(table, rows):
+    """Texts dealt anew to fewer ids: no text goes unless an equal or similar one stays."""
+    rng = random.Random(3)
+    dealt = [(rng.randrange(25), text) for _, text in rows] + [(rng.randrange(25), text) for _, text in rows[::3]]
+    dealt += dealt[:4] + [(5, None), (5, None), (None, rows[0][1]), (None, rows[0][1])]
+    texts = sorted({text for _, text in dealt if text is not None})
+    of_text = plain_classes(list(enumerate(texts)))
+    classes = {}
+    for i, text in dealt:
+        if i is not None and text is not None:
+            classes.setdefault(of_text[texts.index(text)], set()).add(i)
+    kept = near_dup.keep(table(dealt)).collect()
+    plain = [(r.doc_id, r.text) for r in kept if r.doc_id is not None and r.text is not None]
+    assert sorted(of_text[texts.index(t)] for _, t in plain) == sorted(classes)
+    assert all((i, t) in dealt for i, t in plain)
+    assert len(kept) == len(plain) + 4
+    smallest = {}
+    for i, text in dealt:
+        if text is not None and i is not None:
+            low = min(classes[of_text[texts.index(text)]])
+            smallest[i] = min(smallest.get(i, low), low)
+    found = near_dup.near_duplicates(table(dealt)).collect()
+    assert len(found) == len(dealt)
+    assert {r.doc_id: r.class_id for r in found if r.doc_id in smallest} == smallest
+
+
 def test_awkward_rows(awkward, nothing):
     found = near_dup.near_duplicates(awkward).collect()
     assert len(found) == awkward.count()
