@@ -66,6 +66,9 @@ _CONTEXT = (
     re.compile(r"\bip\b|host|server|address", re.IGNORECASE),
 )
 GENERATORS = ("written", "dotted", "number", "run")
+CANDIDATE = ["generator", "before", "span", "after", "label", "features"]
+# Signs of a span that training keeps as text.
+CUT = 256
 
 Span = tuple[int, int]
 
@@ -207,19 +210,26 @@ def _worth_reading(run: pa.RecordBatch) -> np.ndarray:
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates with the label the patterns and the credential words give them."""
+    """Candidates with the label the patterns and the credential words give them.
+
+    A long span is cut, with the features of the whole one beside it.
+    """
     for batch in batches:
         for run in runs(batch):
-            rows = []
+            rows = {}
             texts = run.column("text")
             for r in _worth_reading(run).tolist():
                 text = texts[r].as_py()
                 sure = {s for spans in base_spans(text).values() for s in spans}
                 for g, s, e in candidates(text):
-                    label = (s, e) in sure or (g == "run" and bool(_CREDENTIAL.search(text[max(0, s - 32) : s])))
-                    rows.append((g, text[max(0, s - 32) : s], text[s:e][:256], text[e : e + 2], label))
+                    before, after = text[max(0, s - 32) : s], text[e : e + 2]
+                    label = (s, e) in sure or (g == "run" and bool(_CREDENTIAL.search(before)))
+                    features = describe(g, before + text[s:e] + after, len(before), len(before) + e - s) if e - s > CUT else None
+                    rows[g, before, text[s:e][:CUT], after, label, features and tuple(features)] = None
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["generator", "before", "span", "after", "label"])
+                columns = [pa.array(c) for c in zip(*rows, strict=True)]
+                columns[5] = pa.array([key[5] for key in rows], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays(columns, CANDIDATE)
 
 
 def _variations(rows: list[tuple[str, str, str, str, bool]]) -> list[tuple[str, str, str, str, bool]]:
@@ -250,23 +260,35 @@ def _variations(rows: list[tuple[str, str, str, str, bool]]) -> list[tuple[str,
     return more
 
 
-def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Trees and threshold, from at most ``rows`` candidates chosen by a hash."""
-    schema = "generator string, before string, span string, after string, label boolean"
-    found = written(docs.select("text").where("text IS NOT NULL").mapInArrow(_samples, schema), "candidates")
-    columns = ["generator", "before", "span", "after", "label"]
-    draw = F.xxhash64(*columns)
+def drawn_candidates(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple]:
+    """At most ``rows`` distinct candidates of all texts, chosen by a hash of what they are.
+
+    Copies count once, whatever their number, before anything is counted or drawn.
+    """
+    schema = "generator string, before string, span string, after string, label boolean, features array<double>"
+    found = docs.select("text").where("text IS NOT NULL").mapInArrow(_samples, schema).distinct()
+    found = written(found, "candidates")
+    draw = F.xxhash64(*CANDIDATE)
     # The hash leaves about twice the rows asked for, so that no task sorts more.
     share = min(1.0, 2 * rows / max(found.count(), 1))
     unit = F.shiftrightunsigned(draw, 11).cast("double") / 2.0**53
-    chosen = found.where(unit <= share).orderBy(draw, *columns).limit(rows).collect()
-    own = [tuple(r) for r in chosen]
-    own = sorted(set(own)) + _variations(sorted(set(own)))
-    if not own:
+    return [tuple(r) for r in found.where(unit <= share).orderBy(draw, *CANDIDATE).limit(rows).collect()]
+
+
+def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+    """Trees and threshold, from at most ``rows`` distinct candidates chosen by a hash."""
+    drawn = sorted(drawn_candidates(docs, rows), key=lambda r: (r[:5], r[5] or []))
+    made = _variations([r[:5] for r in drawn])
+    if not drawn:
         return Model(boost(np.zeros((0, 1)), np.zeros(0)), 2.0)
-    table = np.array([describe(g, before + span + after, len(before), len(before) + len(span)) for g, before, span, after, _ in own])
-    labels = np.array([label for *_, label in own], np.float64)
-    kept_out = np.random.default_rng(SEED).random(len(own)) < 0.25
+    table = np.array(
+        [
+            features or describe(g, before + span + after, len(before), len(before) + len(span))
+            for g, before, span, after, _, features in [*drawn, *((*row, None) for row in made)]
+        ]
+    )
+    labels = np.array([row[4] for row in [*drawn, *made]], np.float64)
+    kept_out = np.random.default_rng(SEED).random(len(labels)) < 0.25
     trees = boost(table[~kept_out], labels[~kept_out])
     return Model(trees, _threshold(trees.probabilities(table[kept_out]), labels[kept_out]))
 

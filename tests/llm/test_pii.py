@@ -97,6 +97,28 @@ def test_trees_learn_a_rule():
     assert boost(np.zeros((0, 3)), np.zeros(0)).probabilities(np.zeros((2, 3))).tolist() == [0.5, 0.5]
 
 
+def test_copies_take_no_training_places(table):
+    """One candidate in thousands of copies, some hundred others once: all of those asked for are drawn."""
+    texts = ["write to same.person@one.example.com now"] * 3000
+    texts += [f"write to person{i}@host{i % 7}.example.com, call +1 (803) 555-{1000 + i} or see 10.1.{i % 250}.{i // 250}" for i in range(400)]
+    docs = table(list(enumerate(texts)))
+    every = pii.drawn_candidates(docs, 10**6)
+    assert len(every) == len(set(map(str, every))) > 1200
+    assert len({r[2] for r in every if r[0] == "written"}) == 401
+    some = pii.drawn_candidates(docs, 300)
+    assert len(some) == len(set(map(str, some))) == 300
+    assert sorted(map(str, some)) == sorted(map(str, pii.drawn_candidates(docs.repartition(11), 300)))
+
+
+def test_a_long_span_is_described_whole(table):
+    long = "a1" * 300
+    (drawn,) = pii.drawn_candidates(table([(1, f"token = {long} end")]))
+    g, before, span, after, label, features = drawn
+    assert (g, span, after, label) == ("run", long[: pii.CUT], " e", True)
+    text = f"token = {long} e"
+    assert features == [float(v) for v in pii.describe(g, text, len(before), len(before) + 600)]
+
+
 def test_redaction_and_awkward_rows(awkward, nothing, table):
     docs = table(
         [(i, f"word mail{i}@host{i}.example.com and 10.0.0.{i} or +1 (803) 555-{5000 + i} text") for i in range(40)] + [(99, "plain words"), (98, None)]
