@@ -15,8 +15,11 @@ n-gram's key is the number of its context and that of its word. A chunk sends it
 distinct n-grams to the buckets of their keys' hashes. A bucket is a shard of the
 trie and never leaves its task: words follow on the largest of the context before,
 so a shard is one ascending sequence, and the contexts' first children are another;
-both are Elias-Fano coded and lie in a memory map. The chunk gets back counts and
-numbers, with which it asks for the next order. As a shard takes n-grams by their
+both are Elias-Fano coded and lie in a memory map with the n-grams' codes: of the log
+of the discounted count, from which that of the context's count makes the chance. The
+shard finds what a chunk asks for by successor search in the context's children; the
+chunk gets back which n-grams are held, their codes and their places, with which it
+asks for the next order. As a shard takes n-grams by their
 own hash, the words after a frequent context are spread over all shards; each sends
 the context's bucket one sum, and back-off weights are answered from there. The
 driver holds one count for each bucket.
@@ -24,7 +27,9 @@ driver holds one count for each bucket.
 A chunk is a run of the rows as they are read. It is packed once as the places of its
 tokens among its distinct ones, and shuffled in that form; texts are not shuffled. An
 n-gram is asked for when what it begins and ends with occurs often enough. Log weights
-and chances in the lower order are sent as codes of two bytes.
+and chances in the lower order are sent as codes of two bytes; so a chance is within
+0.04 percent of the exact one, and counts of pairs up to some 1,000 are exact. What a
+step has been made of is deleted when the step is written.
 
 Nulls and corner cases: a null text is empty, and an empty one is the end alone; a
 null ``doc_id`` is not learned from and not held out; with nothing learned every
@@ -48,10 +53,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lienspark.llm.elias_fano import EliasFano
-from lienspark.llm.io import written
 from lienspark.llm.registry import read, registered
 from lienspark.llm.text import Words, mix, runs, utf8
-from lienspark.settings import session_conf
+from lienspark.settings import fresh_path, session_conf
+from lienspark.sinks.folders import delete_folder, folders_like
 
 ORDER = 3
 ADDED = 0.1
@@ -62,6 +67,8 @@ WORD_COUNT, NGRAM_COUNT = 1, 2
 CODE = 3000.0
 CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 16 << 20
 # Shuffle files of a step are deleted once its rows are written.
+# A task writes its rows of all kinds at once, without sorting them.
+KIND_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "8"}
 SHORT_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 END = np.uint64(0xE4D0_0F7E_9A11_D0C5)
 
@@ -95,18 +102,16 @@ class Level:
 
     children: EliasFano  # by parent, the place of its first child
     words: EliasFano
-    chances: np.ndarray
-    weights: np.ndarray  # back-off
+    chances: np.ndarray  # codes
 
     @classmethod
-    def of(cls, parents: int, parent: np.ndarray, word: np.ndarray) -> Level:
+    def of(cls, parents: int, parent: np.ndarray, word: np.ndarray, chances: np.ndarray) -> Level:
         """From pairs in order of parent and word."""
         first = np.searchsorted(parent, np.arange(parents + 1))
         count = np.diff(first)
         last = np.where(count > 0, word[np.maximum(first[1:] - 1, 0)] + 1 if len(word) else 0, 0)
         base = np.cumsum(last) - last
-        zeros = np.zeros(len(word), np.int16)
-        return cls(EliasFano.of(first), EliasFano.of(base[parent] + word if len(word) else word), zeros, zeros)
+        return cls(EliasFano.of(first), EliasFano.of(base[parent] + word if len(word) else word), chances.astype(np.int16))
 
     def find(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The place of each word after its parent, -1 where there is none."""
@@ -132,9 +137,7 @@ class Trie:
     """Contexts in their order (level 1), and the levels below them."""
 
     words: np.ndarray
-    weights: np.ndarray
     levels: list[Level]
-    counts: list[np.ndarray]  # kept only while the trie is built
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each context, -1 if it is not held."""
@@ -144,11 +147,11 @@ class Trie:
         return np.where(self.words[at] == hashes, at, -1)
 
     def arrays(self) -> list[np.ndarray]:
-        out = [self.words, self.weights]
+        out = [self.words]
         for level in self.levels:
             for part in (level.children, level.words):
                 out += [np.array([part.size, part.top, part.width], np.int64), part.low, part.high, part.before]
-            out += [level.chances, level.weights]
+            out.append(level.chances)
         return out
 
     def serialised(self) -> bytes:
@@ -172,10 +175,10 @@ class Trie:
             arrays.append(np.frombuffer(view, kind, length, at) if length else np.empty(0, kind))
             at += -(-length * kind.itemsize // 8) * 8
         levels = []
-        for low in range(2, n, 10):
+        for low in range(1, n, 9):
             parts = [EliasFano(*map(int, arrays[k]), *arrays[k + 1 : k + 4]) for k in (low, low + 4)]
-            levels.append(Level(*parts, arrays[low + 8], arrays[low + 9]))
-        return cls(arrays[0], arrays[1], levels, [])
+            levels.append(Level(*parts, arrays[low + 8]))
+        return cls(arrays[0], levels)
 
 
 @dataclass(frozen=True)
@@ -192,11 +195,14 @@ class Unigrams:
 # --- Counting --------------------------------------------------------------------
 
 # Rows of all steps. By kind, ``a``, ``b`` and ``c`` are: of a chunk, its state; of
-# answers, counts and the numbers of held n-grams; of weights, their codes; of asks,
+# answers on words, counts and the numbers of held ones; of answers on n-grams, which
+# are held, and of these the places in the shard (but for the last order) and the codes
+# of their chances; of weights, their codes; of asks,
 # keys, counts and codes of the chances in the lower order; of contexts, ranks in the
 # bucket and counts; of sums, ranks, twice the discounted counts and the chances in the
 # lower order; of totals, the numbers of tokens, of distinct and of held n-grams.
 PARTS = "chunk long, kind int, bucket int, a binary, b binary, c binary"
+UNKIND = PARTS.replace("kind int, ", "")
 STATE, ANSWERS, WEIGHTS, ASKS, CONTEXTS, SUMS, TOTALS = 0, 10, 20, 30, 40, 50, 60
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -228,9 +234,25 @@ def _ascending(data: bytes) -> np.ndarray:
     return np.cumsum(_numbers(data).view(np.uint64))
 
 
-def _step(frame: DataFrame, name: str) -> DataFrame:
-    with session_conf(frame.sparkSession, SHORT_SHUFFLES):
-        return written(frame, name)
+class _Step:
+    """Written rows of several kinds, of which one kind can be deleted."""
+
+    def __init__(self, frame: DataFrame, name: str):
+        self.spark, self.path = frame.sparkSession, fresh_path(frame.sparkSession, name)
+        with session_conf(self.spark, SHORT_SHUFFLES | KIND_FILES):
+            frame.write.partitionBy("kind").parquet(self.path)
+
+    def of(self, kind: int) -> DataFrame:
+        folder = f"{self.path}/kind={kind}"
+        if not folders_like(self.spark, folder):
+            return self.spark.createDataFrame([], PARTS)
+        rows = self.spark.read.schema(UNKIND).parquet(folder)
+        return rows.select("chunk", F.lit(kind).alias("kind"), "bucket", "a", "b", "c")
+
+    def delete(self, *kinds: int) -> None:
+        """Rows that the next step has been made of."""
+        for kind in kinds:
+            delete_folder(self.spark, f"{self.path}/kind={kind}")
 
 
 def _parts(rows: list[tuple]) -> pa.Table:
@@ -287,18 +309,19 @@ class Chunk:
 
     def __init__(self, table: pa.Table, model: Model):
         self.model, self.rows = model, {}
-        names = ("kind", "bucket", "a", "b")
-        for kind, bucket, a, b in zip(*(table.column(n).to_pylist() for n in names), strict=True):
+        names = ("kind", "bucket", "a", "b", "c")
+        for kind, bucket, *row in zip(*(table.column(n).to_pylist() for n in names), strict=True):
             if kind == STATE:
-                self.ids, self.null, self.held_out, self.learned, self.bounds, back = _state(a)
+                self.ids, self.null, self.held_out, self.learned, self.bounds, back = _state(row[0])
             else:
-                self.rows[kind, bucket] = a, b
+                self.rows[kind, bucket] = row
         n = len(self.bounds) - 1
         self.texts = np.repeat(np.arange(n), np.diff(self.bounds))
         self.depth = np.arange(len(back)) - self.bounds[:-1][self.texts]
         counts, numbers = self._words()
-        # By order, the count and the number (-1: not held) of the n-gram that ends at each token.
-        self.counts, self.numbers = [counts[back]], [numbers[back]]
+        # By order, the count and the number (-1: not held) of the n-gram that ends at each
+        # token, and the log of its discounted count where it is held.
+        self.counts, self.numbers, self.taken = [counts[back]], [numbers[back]], [np.empty(0)]
         # By order of the n-grams below it, the context of each token and its log weight.
         self.contexts, self.weights = [], []
 
@@ -306,20 +329,22 @@ class Chunk:
         """As buckets are ranges of hashes, their answers are those of all words in order."""
         counts, numbers = [], []
         for b in sorted(b for kind, b in self.rows if kind == ANSWERS + 1):
-            packed, steps = self.rows[ANSWERS + 1, b]
+            packed, steps, _ = self.rows[ANSWERS + 1, b]
             counts.append(_numbers(packed))
             numbers.append(np.full(len(counts[-1]), -1, np.int64))
             numbers[-1][counts[-1] >= self.model.least[0]] = self.model.bases[0][b] + _ascending(steps).astype(np.int64)
         return np.concatenate(counts), np.concatenate(numbers)
 
     def _answered(self, keys: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        counts, numbers = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
-        least, base = self.model.least[order - 1], self.model.bases[order - 1]
+        """Of each key its number and the log of its discounted count, -1 and 0 if it is not held."""
+        numbers, taken = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
+        base = self.model.bases[order - 1]
         for b, part in _by_bucket(keys, order, self.model.bits):
-            packed, steps = self.rows[ANSWERS + order, b]
-            counts[part] = _numbers(packed)
-            numbers[part[counts[part] >= least]] = base[b] + _ascending(steps).astype(np.int64)
-        return counts, numbers
+            bits, steps, codes = self.rows[ANSWERS + order, b]
+            held = part[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(part)).view(bool)]
+            numbers[held] = base[b] + _ascending(steps).astype(np.int64) if steps else 0
+            taken[held] = _numbers(codes) / CODE
+        return numbers, taken
 
     def before(self, order: int, values: np.ndarray, none) -> np.ndarray:
         """Of each token, the value of the token before it in its text."""
@@ -339,11 +364,12 @@ class Chunk:
         tokens = np.flatnonzero((context >= 0) & (word >= 0) & often)
         return tokens, *np.unique(self.model.keys(context[tokens], word[tokens]), return_index=True, return_inverse=True)
 
-    def add_counts(self, order: int) -> None:
+    def add_chances(self, order: int) -> None:
         tokens, keys, _, back = self.asked(order)
-        counts, numbers = self._answered(keys, order)
-        for kept, found, none in ((self.counts, counts, 0), (self.numbers, numbers, -1)):
-            kept.append(np.full(len(self.depth), none, np.int64))
+        numbers, taken = self._answered(keys, order)
+        counts = np.where(numbers >= 0, np.rint(10**taken + DISCOUNT), 0).astype(np.int64)
+        for kept, found, none in ((self.counts, counts, 0), (self.numbers, numbers, -1), (self.taken, taken, 0.0)):
+            kept.append(np.full(len(self.depth), none))
             kept[-1][tokens] = found[back]
 
     def add_weights(self, order: int) -> None:
@@ -361,8 +387,7 @@ class Chunk:
         for longer in range(2, order + 1):
             of = np.maximum(self.before(longer, self.counts[longer - 2], 0), 1)
             held = self.numbers[longer - 1] >= 0
-            exact = np.log10(np.where(held, self.counts[longer - 1] - DISCOUNT, 1) / of)
-            logs = np.where(held, exact, logs + self.weights[longer - 2])
+            logs = np.where(held, self.taken[longer - 1] - np.log10(of), logs + self.weights[longer - 2])
         return logs
 
 
@@ -407,7 +432,7 @@ def _asks(model: Model, order: int):
     def asks(key, table):
         name, chunk = key[0].as_py(), Chunk(table, model)
         for shorter in range(2, order):
-            chunk.add_counts(shorter)
+            chunk.add_chances(shorter)
             chunk.add_weights(shorter)
         tokens, keys, first, back = chunk.asked(order)
         counts = np.bincount(back[chunk.learned[chunk.texts[tokens]]], minlength=len(keys))
@@ -445,17 +470,27 @@ def _answers(model: Model, order: int):
         keys, first, back = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
         total = np.bincount(back, np.concatenate(counts)).astype(np.int64)
         often = total >= model.least[order - 1]
-        sums = []
+        cuts = np.cumsum([0, *map(len, parts)])
+        rows, sums = [], []
         if order == 1:
-            place = np.where(often, np.cumsum(often) - 1, -1)
+            place = np.cumsum(often) - 1
+            for chunk, low, high in zip(chunks, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                mine = back[low:high]
+                rows.append((chunk, ANSWERS + order, bucket, _small(total[mine]), _steps(place[mine][often[mine]]), None))
         else:
             bits = np.uint64(model.word_bits)
             above, word = keys >> bits, (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
             contexts, parent = np.unique(above[often], return_inverse=True)
-            shard = Trie(contexts, np.zeros(len(contexts), np.int16), [Level.of(len(contexts), parent, word[often])], [])
+            codes = np.clip(np.rint(np.log10(total[often] - DISCOUNT) * CODE), 0, 32767)
+            shard = Trie(contexts, [Level.of(len(contexts), parent, word[often], codes)])
             shard = Trie.mapped(shard.serialised())
-            place = shard.levels[0].find(shard.ids(above), word)
-            total[~often] = 0
+            level = shard.levels[0]
+            place = level.find(shard.ids(above), word)
+            for chunk, low, high in zip(chunks, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                found = place[back[low:high]]
+                held = found[found >= 0]
+                steps = _steps(held) if order < ORDER else None
+                rows.append((chunk, ANSWERS + order, bucket, np.packbits(found >= 0).tobytes(), steps, _small(level.chances[held])))
             lower = np.concatenate([_numbers(c) for c in table.column("c").to_pylist()])[first[often]]
             taken = np.bincount(parent, 2 * (total[often] - DISCOUNT), len(contexts))
             below = np.bincount(parent, 10 ** ((32768 - lower) / CODE), len(contexts)).astype(np.float32)
@@ -464,12 +499,6 @@ def _answers(model: Model, order: int):
                 (bucket, SUMS + order, b, _steps(contexts[part] - base[b]), _small(taken[part]), below[part].tobytes())
                 for b, part in _by_base(contexts, base)
             ]
-        cuts = np.cumsum([0, *map(len, parts)])
-        rows = []
-        for chunk, low, high in zip(chunks, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            mine = back[low:high]
-            held = place[mine][often[mine]]
-            rows.append((chunk, ANSWERS + order, bucket, _small(total[mine]), _steps(held), None))
         totals = np.array([total.sum(), (total > 0).sum(), often.sum()], np.int64)
         return pa.concat_tables([passed, _parts([*rows, *sums, (None, TOTALS + order, bucket, totals.tobytes(), None, None)])])
 
@@ -507,7 +536,7 @@ def _scores(model: Model):
     def scores(key, table):
         chunk = Chunk(table, model)
         for order in range(2, ORDER + 1):
-            chunk.add_counts(order)
+            chunk.add_chances(order)
             chunk.add_weights(order)
         n = len(chunk.ids)
         return pa.table(
@@ -540,19 +569,22 @@ def language_scores(docs: DataFrame, word_share: float = 0.0, ngram_share: float
     least = max(float(NGRAM_COUNT), ngram_share * learned_bytes)
     model = Model(bits, (max(float(WORD_COUNT), word_share * learned_bytes), *[least] * (ORDER - 1)), Unigrams(0, 0))
 
-    asked = _step(texts.mapInArrow(_packs(bits, chunk_bytes), PARTS), "chunks")
-    known = [asked.where(F.col("kind") == STATE)]
+    chunks = _Step(texts.mapInArrow(_packs(bits, chunk_bytes), PARTS), "chunks")
+    asks, known = chunks.of(ASKS + 1), [chunks.of(STATE)]
     for order in range(1, ORDER + 1):
         if order > 1:
-            asked = reduce(DataFrame.union, known).groupBy("chunk").applyInArrow(_asks(model, order), PARTS)
-        asks = asked.where(F.col("kind") != STATE).groupBy("bucket")
-        answered = _step(asks.applyInArrow(_answers(model, order), PARTS), "answered")
-        known.append(answered.where(F.col("kind") == ANSWERS + order))
-        if order > 1:
-            contexts = answered.where(F.col("kind") == CONTEXTS + order).groupBy("bucket")
-            taken = answered.where(F.col("kind") == SUMS + order).groupBy("bucket")
-            known.append(_step(contexts.cogroup(taken).applyInArrow(_weights(order), PARTS), "weights"))
-        totals = answered.where(F.col("kind") == TOTALS + order).select("bucket", "a").collect()
+            asks = reduce(DataFrame.union, known).groupBy("chunk").applyInArrow(_asks(model, order), PARTS)
+        answered = _Step(asks.groupBy("bucket").applyInArrow(_answers(model, order), PARTS), "answered")
+        known.append(answered.of(ANSWERS + order))
+        if order == 1:
+            chunks.delete(ASKS + 1)
+        else:
+            contexts = answered.of(CONTEXTS + order).groupBy("bucket")
+            taken = answered.of(SUMS + order).groupBy("bucket")
+            weights = _Step(contexts.cogroup(taken).applyInArrow(_weights(order), PARTS), "weights")
+            known.append(weights.of(WEIGHTS + order))
+            answered.delete(CONTEXTS + order, SUMS + order)
+        totals = answered.of(TOTALS + order).select("bucket", "a").collect()
         if order == 1:
             counts = [np.frombuffer(r["a"], np.int64).tolist() for r in totals]
             model = replace(model, unigrams=Unigrams(sum(c[0] for c in counts), sum(c[1] for c in counts)))

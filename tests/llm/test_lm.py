@@ -107,6 +107,30 @@ def test_shards_hold_the_whole_model(table, rows, monkeypatch):
         assert found[i].score == pytest.approx(score, abs=1e-3 * found[i].n_tokens)
 
 
+@pytest.mark.parametrize("change", ["no find", "other codes"])
+def test_scores_come_from_the_trie(table, rows, monkeypatch, change):
+    """What the shards do not find, or hold with another code, scores otherwise."""
+    plain = {r.doc_id: r.score for r in lm.language_scores(table(rows)).collect()}
+    if change == "no find":
+        monkeypatch.setattr(Level, "find", lambda self, parent, word: np.full(len(parent), -1, np.int64))
+    else:
+        of = Level.of.__func__
+        monkeypatch.setattr(Level, "of", classmethod(lambda cls, n, parent, word, codes: of(cls, n, parent, word, codes + 30)))
+    found = {r.doc_id: r.score for r in lm.language_scores(table(rows)).collect()}
+    changed = [i for i, text in rows if abs(found[i] - plain[i]) > 1e-3]
+    assert len(changed) > 0.8 * sum(len(text or "") > 20 for _, text in rows)
+
+
+def test_frequent_ngrams(table):
+    """Counts of which the codes are not exact."""
+    rows = [(i, "all of the same " * 3000 + f"end{i % 3} of all") for i in range(12)]
+    found = {r.doc_id: r for r in lm.language_scores(table(rows)).collect()}
+    for i, text in rows[:3]:
+        score, everything = plain_score(rows, text, 0, 0)
+        assert everything == pytest.approx(1)
+        assert found[i].score == pytest.approx(score, abs=1e-3 * found[i].n_tokens)
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(spark):
     found = [r for r in lm.lm_scoring(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert len(found) > 50
@@ -116,7 +140,7 @@ def test_held_out_texts_are_likelier_than_by_words_alone(spark):
 def test_a_level_finds_what_it_holds():
     rng = np.random.default_rng(4)
     pairs = np.unique(rng.integers(0, 50, (600, 2)) * [1, 7], axis=0)
-    level = Level.of(60, pairs[:, 0], pairs[:, 1])
+    level = Level.of(60, pairs[:, 0], pairs[:, 1], np.arange(len(pairs)))
     asked = np.array([(p, w) for p in range(-1, 60) for w in range(-1, 360)])
     place = {tuple(x): i for i, x in enumerate(pairs.tolist())}
     assert level.find(asked[:, 0], asked[:, 1]).tolist() == [place.get(tuple(x), -1) for x in asked.tolist()]
@@ -127,7 +151,8 @@ def test_a_mapped_trie_is_the_same():
     words = np.sort(rng.integers(0, 2**63, 40).astype(np.uint64))
     pairs = np.unique(rng.integers(0, 40, (100, 2)), axis=0)
     more = np.unique(np.stack((rng.integers(0, len(pairs), 50), rng.integers(0, 40, 50)), axis=1), axis=0)
-    trie = Trie(words, np.arange(40, dtype=np.int16), [Level.of(40, *pairs.T), Level.of(len(pairs), *more.T)], [])
+    levels = [Level.of(40, *pairs.T, rng.integers(0, 9000, len(pairs))), Level.of(len(pairs), *more.T, rng.integers(0, 9000, len(more)))]
+    trie = Trie(words, levels)
     again = Trie.mapped(trie.serialised())
     for a, b in zip(trie.arrays(), again.arrays(), strict=True):
         assert (a == b).all() and a.dtype == b.dtype
