@@ -65,7 +65,7 @@ DISCOUNT = 0.5
 WORD_COUNT, NGRAM_COUNT = 1, 2
 # Log chances and weights are sent as codes, so many to a power of ten.
 CODE = 3000.0
-CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 16 << 20
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
 # Shuffle files of a step are deleted once its rows are written.
 # A task writes its rows of all kinds at once, without sorting them.
 KIND_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "8"}
