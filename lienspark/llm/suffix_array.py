@@ -133,6 +133,32 @@ def without_repeats(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     return repeats(docs, KIND, np.uint8, report, RESULT, sizes)
 
 
-@registered("op5_suffix_array_dedup")
+# Bytes as pairs of hexadecimal digits; windows by a hash of theirs, as runs of starts.
+ORACLE = f"""
+WITH t AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, len(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents),
+starts AS (SELECT doc_id, digits, unnest(range(n - {LENGTH - 1})) AS i FROM t WHERE n >= {LENGTH}),
+windows AS (SELECT doc_id, i, hash(substr(digits, 2 * i + 1, {2 * LENGTH})) AS key FROM starts),
+firsts AS (SELECT key, min(doc_id) AS first FROM windows GROUP BY key HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT w.doc_id, w.i, lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS last
+  FROM windows w JOIN firsts f ON w.key = f.key WHERE f.first < w.doc_id),
+numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN last IS NULL OR i > last + {LENGTH} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM gone),
+spans AS (SELECT doc_id, span, min(i) AS start, max(i) + {LENGTH} AS stop FROM numbered GROUP BY doc_id, span),
+between_spans AS (
+  SELECT s.doc_id, start, stop, substr(digits, 2 * coalesce(lag(stop) OVER (PARTITION BY s.doc_id ORDER BY start), 0) + 1,
+    2 * (start - coalesce(lag(stop) OVER (PARTITION BY s.doc_id ORDER BY start), 0))) AS rest
+  FROM spans s JOIN t ON t.doc_id = s.doc_id),
+sums AS (
+  SELECT doc_id, sum(stop - start) AS removed, count(*) AS spans, max(stop) AS stop, string_agg(rest, '' ORDER BY start) AS rest
+  FROM between_spans GROUP BY doc_id)
+SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(rest, '') || substr(digits, 2 * coalesce(stop, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN sums s ON t.doc_id = s.doc_id"""
+
+
+@registered("op5_suffix_array_dedup", ORACLE)
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
