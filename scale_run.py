@@ -71,10 +71,10 @@ def main() -> None:
         frame.write.format("noop").mode("overwrite").save()
 
     timed("fact", lambda: discard(fact))
-    loans = segmented(spark.table(table))
+    scored = segmented(spark.table(table))
     seeds = builtin_seeds(spark)
-    timed("summary", lambda: discard(summarise(loans, seeds)))
-    timed("sample", lambda: discard(sample_of(loans, seeds, seed=1)))
+    timed("summary", lambda: discard(summarise(scored, seeds)))
+    timed("sample", lambda: discard(sample_of(scored, seeds, seed=1)))
     timed("unique_id", lambda: discard(unique_failures(fact, "id")))
     timed("marts", lambda: build_marts(spark, table, base=table, root=f"{place}/marts", seed=1))
     print(
