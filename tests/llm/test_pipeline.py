@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_DIR
@@ -71,3 +72,28 @@ def test_personal_data_stage(stages):
 def test_run_is_the_stages_one_after_the_other(spark, stages):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, stages[-1][2]))
+
+
+@pytest.mark.parametrize("table", ["awkward", "repeated", "nothing"])
+def test_awkward_tables_pass_every_stage(spark, request, awkward, table):
+    """Nulls, repeated ids with other texts, clashing columns, and no rows at all."""
+    if table == "repeated":
+        docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+        docs = docs.union(docs.withColumn("text", F.reverse("text")).limit(40)).union(docs.limit(5))
+    else:
+        docs = request.getfixturevalue(table)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given = spark.createDataFrame(docs.collect(), docs.schema)
+        docs = stage(spark, given, SF_DIR)
+        assert docs.columns == columns, name
+        texts = {(r.doc_id, r.text) for r in given.select("doc_id", "text").collect()}
+        left = docs.select("doc_id", "text").collect()
+        if name != "personal data":
+            assert {(r.doc_id, r.text) for r in left} <= texts, name
+        if name == "near duplicates":
+            classes = plain_classes(list(enumerate({t for i, t in texts if i is not None and t is not None})))
+            worded = [r for r in left if r.doc_id is not None and r.text is not None]
+            assert len(worded) == len(set(classes.values()))
+    mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert sorted(map(str, (r.doc_id for r in mixed.collect()))) == sorted(map(str, (r.doc_id for r in docs.collect())))
