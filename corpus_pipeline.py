@@ -3,6 +3,11 @@
 Near-duplicate and contaminated documents and those of low quality go, personal
 data is masked, and the sources are mixed to their weights. Every stage but the
 last returns the columns it was given, those of ``documents`` or more.
+
+Nulls and corner cases: a null text counts as an empty one, which holds no item; rows
+without an id or text are no copies of any; of rows with one id and text one stays,
+and another text of the same id is a document of its own; an empty table passes every
+stage empty; further columns, whatever their names, are carried along.
 """
 
 from __future__ import annotations
