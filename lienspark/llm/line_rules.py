@@ -2,20 +2,23 @@
 
 Base rules count a document's words, symbols, repeated lines and repeated 3-word
 windows. The method hashes normalised lines (lower case, one blank between words),
-counts the documents of a host that hold each, and takes a line for boilerplate
-when more documents than both limits allow have it. A document is rejected when
-boilerplate lines hold more than half of its words. The host is ``source``. What is
-left of each text without those lines, in their order, is a column of ``cleaned``.
-
-Every row counts as a document, a line once a document. A third of all lines may
-be of one host or be one line: counts are summed before they are shuffled, and the
-lines above the limits are joined back in a plain join that adaptive execution
-cuts. 3-word windows are compared by 64-bit hashes within a document.
+counts the distinct documents of a host that hold each, and takes a line for
+boilerplate when more documents than the limit have it. The limit is a number, not a
+share, so a line is judged alike in hosts of any size. A document is depleted, and
+rejected, when boilerplate lines hold more than half of its words or leave fewer words
+than the base rules ask for. The host is ``source``. What is left of each text without
+those lines, in their order, is a column of ``cleaned``.
+
+A line counts once a document. A third of all lines may be of one host or be one
+line: a line's documents are made distinct over all tasks and summed before the
+counts are shuffled, and the lines above the limit are joined back in a plain join
+that adaptive execution cuts. Texts are written for ``cleaned`` alone. 3-word windows
+are compared by 64-bit hashes within a document.
 
 Nulls and corner cases: a null text has no words and fails the base rules, as does
-an empty one, and stays null; a null source is a host; a null ``doc_id`` is carried along; rows
-that repeat an id each get a result; only ``doc_id``, ``source`` and ``text`` are
-read. All work is done by DataFrame functions.
+an empty one, and stays null; a null source is a host; rows that repeat an id, the null
+one too, count as one document and each get a result; only ``doc_id``, ``source`` and
+``text`` are read. All work is done by DataFrame functions.
 """
 
 from __future__ import annotations
@@ -30,18 +33,17 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
-# A line is boilerplate above so many documents of a host and this share of them.
-LINE_DOCUMENTS, LINE_SHARE = 100, 0.01
+# A line is boilerplate above so many documents of a host.
+LINE_DOCUMENTS = 5
 MAX_BOILERPLATE_PERCENT = 50
 HAS_WORD = f"line RLIKE r'{WORD}'"
 NORMALISED = f"trim(regexp_replace(lower(line), r'{SPACES}', ' '))"
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """Base measures of each row, its text, and ``lines``: hash and words of each line."""
-    text = F.coalesce("text", F.lit(""))
+def measures(docs: DataFrame, *carried: str) -> DataFrame:
+    """Base measures of each row, ``lines``: hash and words of each line, and the columns ``carried``."""
     split = (
-        docs.select("doc_id", "source", F.col("text").alias("given"), text.alias("text"))
+        docs.select("doc_id", "source", F.struct(*carried).alias("given"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("words", F.regexp_extract_all("text", F.lit(WORD), 0))
         .withColumn("with_word", F.expr(f"filter(split(text, '\\n'), line -> {HAS_WORD})"))
@@ -74,7 +76,7 @@ def measures(docs: DataFrame) -> DataFrame:
         "row",
         "doc_id",
         "source",
-        F.col("given").alias("text"),
+        *(F.col(f"given.{name}") for name in carried),
         F.size("words").cast("long").alias("n_words"),
         without_space.cast("long").alias("word_chars"),
         (F.length("text") - without_symbol).cast("long").alias("n_symbols"),
@@ -84,23 +86,21 @@ def measures(docs: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate(measured: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """``host`` and ``hash`` of the lines above both limits."""
-    hosts = measured.groupBy(F.col("source").alias("of")).agg(F.count("*").alias("documents"))
-    held = measured.select("source", F.explode(F.array_distinct(F.col("lines.hash"))).alias("hash"))
-    counted = held.groupBy("source", "hash").agg(F.count("*").alias("n")).where(F.col("n") > documents)
+def boilerplate(measured: DataFrame, documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """``host`` and ``hash`` of the lines that more documents than the limit have."""
+    held = measured.select("source", F.struct("doc_id").alias("document"), F.explode(F.array_distinct(F.col("lines.hash"))).alias("hash"))
     return (
-        counted.join(hosts, F.col("source").eqNullSafe(F.col("of")))
-        .where(F.col("n") > F.col("documents") * F.lit(share))
+        held.groupBy("source", "hash")
+        .agg(F.count_distinct("document").alias("n"))
+        .where(F.col("n") > documents)
         .select(F.col("source").alias("host"), "hash")
     )
 
 
-def cleaned(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """The measures of each row, ``n_boilerplate`` (words), ``base_failed`` and ``kept``,
-    with ``text`` as it is left without its boilerplate lines."""
-    measured = written(measures(docs), "measures")
-    common = written(boilerplate(measured, documents, share), "boilerplate")
+def _verdicts(measured: DataFrame, documents: int) -> DataFrame:
+    """The written measures with ``gone`` (hashes of the row's boilerplate lines),
+    ``n_boilerplate`` (words of theirs), ``base_failed`` and ``kept``."""
+    common = written(boilerplate(measured, documents), "boilerplate")
     lines = measured.select("row", "source", F.explode(F.array_distinct(F.col("lines.hash"))).alias("hash"))
     removed = (
         lines.join(common.withColumnRenamed("hash", "common"), F.col("source").eqNullSafe(F.col("host")) & (F.col("hash") == F.col("common")))
@@ -108,22 +108,27 @@ def cleaned(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LIN
         .agg(F.collect_list("hash").alias("gone"))
     )
     n_boilerplate = F.expr("aggregate(filter(lines, x -> array_contains(gone, x.hash)), 0L, (sum, x) -> sum + x.n)")
-    left = F.expr(f"array_join(filter(split(text, '\\n'), line -> NOT ({HAS_WORD} AND array_contains(gone, xxhash64({NORMALISED})))), '\\n')")
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words")
-    depleted = F.expr(f"100 * n_boilerplate > {MAX_BOILERPLATE_PERCENT} * n_words")
+    depleted = F.expr(f"100 * n_boilerplate > {MAX_BOILERPLATE_PERCENT} * n_words OR n_words - n_boilerplate < {MIN_WORDS}")
     return (
         measured.join(removed, F.col("row") == F.col("of_row"), "left")
         .withColumn("n_boilerplate", F.coalesce(n_boilerplate, F.lit(0).cast("long")))
-        .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("row", "of_row", "lines", "gone")
+        .drop("row", "of_row", "lines")
     )
 
 
-def judged(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """``cleaned`` without the text."""
-    return cleaned(docs, documents, share).drop("text")
+def cleaned(docs: DataFrame, documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """``judged``, with ``text`` as it is left without its boilerplate lines."""
+    left = F.expr(f"array_join(filter(split(text, '\\n'), line -> NOT ({HAS_WORD} AND array_contains(gone, xxhash64({NORMALISED})))), '\\n')")
+    found = _verdicts(written(measures(docs, "text"), "measures"), documents)
+    return found.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)).drop("gone")
+
+
+def judged(docs: DataFrame, documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """The measures of each row, ``n_boilerplate`` (words), ``base_failed`` and ``kept``."""
+    return _verdicts(written(measures(docs), "measures"), documents).drop("gone")
 
 
 ORACLE = rf"""
@@ -141,13 +146,11 @@ twice AS (
 repeats AS (
   SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(3) o(k) WHERE times > 1 GROUP BY r),
 lines AS (
-  SELECT r, source, trim(regexp_replace(lower(line), '{SPACES}', ' ', 'g')) AS line
-  FROM (SELECT r, source, unnest(with_word) AS line FROM split)),
+  SELECT r, doc_id, source, trim(regexp_replace(lower(line), '{SPACES}', ' ', 'g')) AS line
+  FROM (SELECT r, doc_id, source, unnest(with_word) AS line FROM split)),
 common AS (
-  SELECT l.source, line FROM lines l JOIN (SELECT source, count(*) AS documents FROM t GROUP BY source) h
-    ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, line, documents
-  HAVING count(DISTINCT r) > {LINE_DOCUMENTS} AND count(DISTINCT r) > documents * {LINE_SHARE}),
+  SELECT source, line FROM lines GROUP BY source, line
+  HAVING count(DISTINCT struct_pack(d := doc_id)) > {LINE_DOCUMENTS}),
 removed AS (
   SELECT r, sum(len(regexp_extract_all(l.line, '{WORD}'))) AS n FROM lines l JOIN common c
     ON l.line = c.line AND l.source IS NOT DISTINCT FROM c.source GROUP BY r),
@@ -162,10 +165,10 @@ measured AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words AS base_failed,
   NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words)
-    AND 100 * n_boilerplate <= {MAX_BOILERPLATE_PERCENT} * n_words AS kept
+    AND 100 * n_boilerplate <= {MAX_BOILERPLATE_PERCENT} * n_words AND n_words - n_boilerplate >= {MIN_WORDS} AS kept, n_boilerplate
 FROM measured"""
 
 
 @registered("op6_quality_rules", ORACLE)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(read(spark, sf_dir, "documents")).drop("source", "n_boilerplate")
+    return judged(read(spark, sf_dir, "documents")).drop("source")

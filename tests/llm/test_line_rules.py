@@ -28,35 +28,59 @@ def test_measures(awkward, table):
         assert sorted(map(tuple, found), key=str) == sorted(((r.doc_id, *plain(r.text)) for r in rows), key=str)
 
 
-def test_lines_above_both_limits(table):
+def test_lines_above_the_limit(table):
     common, rare = "Shared  Line of the HOST here", "a rare line of seven words only"
     rows = [(i, f"{common}\n{rare} {i}\n{common}", "big") for i in range(6)]
     rows += [(10 + i, f"{common}\nsomething else {i} entirely my own", None) for i in range(3)]
     rows += [(20 + i, "shared line of the host here", "small") for i in range(2)]
+    rows += [(30, f"{common} again", "same")] * 4 + [(None, f"{common} again", "same")] * 4
     docs = table(rows, "doc_id long, text string, source string")
-    lines = line_rules.boilerplate(line_rules.measures(docs), documents=2, share=0.5).collect()
+    lines = line_rules.boilerplate(line_rules.measures(docs), documents=2).collect()
     assert sorted((r.host or "") for r in lines) == ["", "big"]
-    counts = {r.doc_id: r.n_boilerplate for r in line_rules.judged(docs, documents=2, share=0.5).collect()}
-    assert counts == {i: 12 for i in range(6)} | {10: 6, 11: 6, 12: 6, 20: 0, 21: 0}
+    counts = {r.doc_id: r.n_boilerplate for r in line_rules.judged(docs, documents=2).collect()}
+    assert counts == {i: 12 for i in range(6)} | {10: 6, 11: 6, 12: 6, 20: 0, 21: 0, 30: 0, None: 0}
 
 
-def test_depleted_documents_agree_with_sql(spark, monkeypatch):
-    monkeypatch.setattr(line_rules, "LINE_DOCUMENTS", 3)
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+def compared(docs, con):
+    found = line_rules.judged(docs)
+    assert differences(found.drop("source"), con, line_rules.ORACLE) is None
+    return found
+
+
+def test_given_documents_agree_with_sql(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    assert compared(spark.read.parquet(path), con).where("n_boilerplate > 0").count() > 100
+
+
+def test_registered_limits_reject_depleted_documents(table, tmp_path):
+    """Documents just below and above each limit, as registered, beside the SQL."""
+    shared = [" ".join(f"s{n}x{i}" for i in range(n)) for n in (30, 31, 60)]
+
+    def own(doc, n):
+        return " ".join(f"d{doc}w{i}" for i in range(n))
+
+    rows = [(i, f"{own(i, 30)}\n{shared[0]}", "few") for i in range(5)]
+    rows += [(10 + i, f"{own(10 + i, 60)}\n{shared[2].upper()}", "half") for i in range(6)]
+    rows += [(20 + i, f"{own(20 + i, 59)}\n{shared[2]}", "more") for i in range(6)]
+    rows += [(30 + i, f"{own(30 + i, 49 + i % 2)}\n{shared[1]}", "left") for i in range(6)]
+    rows += [(40 + i % 5, f"{own(40 + i, 30)}\n{shared[0]}", "twice") for i in range(9)]
+    rows += [(None, f"{own(50 + i, 30)}\n{shared[0]}", None) for i in range(9)]
+    docs = table(rows, "doc_id long, text string, source string")
+    docs.toPandas().astype({"doc_id": "Int64"}).to_parquet(tmp_path / "documents.parquet")
     con = duckdb.connect()
-    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
-    sql = line_rules.ORACLE.replace("> 100 AND", "> 3 AND")
-    assert sql != line_rules.ORACLE
-    found = line_rules.judged(docs, documents=3)
-    assert found.where("n_boilerplate > 0").count() > 20
-    assert differences(found.drop("source", "n_boilerplate"), con, sql) is None
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    found = compared(docs, con).collect()
+    assert {r.doc_id for r in found if not r.kept} == {20, 21, 22, 23, 24, 25, 30, 32, 34}
+    assert not any(r.base_failed for r in found)
 
 
 def test_texts_lose_the_lines_above_the_limits(table):
     common = "Shared  Line of the HOST here"
     texts = {i: f"first {i}\n{common}\n\n \nlast {i}\nshared line of the host here\n" for i in range(4)}
     texts |= {10: f"{common}", 11: "nothing shared\n", 12: None, 13: ""}
-    found = line_rules.cleaned(table([(i, t, "h") for i, t in texts.items()], "doc_id long, text string, source string"), documents=2, share=0.1)
+    found = line_rules.cleaned(table([(i, t, "h") for i, t in texts.items()], "doc_id long, text string, source string"), documents=2)
     left = {r.doc_id: r.text for r in found.collect()}
     assert left == {i: f"first {i}\n\n \nlast {i}\n" for i in range(4)} | {10: "", 11: "nothing shared\n", 12: None, 13: ""}
 
