@@ -49,13 +49,22 @@ KEY_BITS = 40
 @dataclass(frozen=True)
 class Sizes:
     """Bytes of text per chunk, bucket, shard and bucket of open windows, and
-    occurrences per shard of an anchor."""
+    occurrences per shard of an anchor.
+
+    A chunk has ``asked`` bytes for every bucket at the least, so that what it sends to
+    one is some 70 anchors and not a row for each, until it is ``widest``.
+    """
 
     chunk: int = 1 << 20
-    bucket: int = 4 << 20
+    bucket: int = 16 << 20
     shard: int = 2 << 20
     open: int = 16 << 20
     occurrences: int = 256
+    asked: int = 1 << 10
+    widest: int = 4 << 20
+
+    def chunk_of(self, total: int) -> int:
+        return min(max(self.chunk, self.asked * total // self.bucket), max(self.chunk, self.widest))
 
 
 @dataclass(frozen=True)
@@ -164,7 +173,11 @@ class Chunk:
 
 
 def _planes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and in-bucket key of a hash."""
+    """Bucket and in-bucket key of a mixed hash.
+
+    Anchors are the least hashes of their windows: their leading bits are mostly zero,
+    and only mixed once more do they spread evenly over the buckets.
+    """
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     return bucket, keys >> np.uint64(64 - KEY_BITS - bits) & np.uint64((1 << KEY_BITS) - 1)
 
@@ -207,9 +220,9 @@ def _asks(kind: Kind, bits: int):
         chunk = Chunk(table, kind)
         least, hashes = window_anchors(chunk.items, chunk.bounds, kind.length, kind.gram)
         spots = anchor_positions(least, hashes, kind.length, kind.gram)
-        order = np.argsort(hashes[spots], kind="stable")
-        spots = spots[order]
-        keys = hashes[spots]
+        keys = mix(hashes[spots])
+        order = np.argsort(keys, kind="stable")
+        spots, keys = spots[order], keys[order]
         docs = chunk.documents_at(spots)
         new = np.ones(len(keys), bool)
         new[1:] = keys[1:] != keys[:-1]
@@ -321,7 +334,7 @@ def _stretches(kind: Kind, bits: int, shards: int):
         turn[1:] = least[1:] != least[:-1]
         starts = np.flatnonzero(turn)
         ends = np.append(starts[1:], len(least))
-        bucket, small = _planes(least[starts], bits)
+        bucket, small = _planes(mix(least[starts]), bits)
         wanted = small | bucket.astype(np.uint64) << np.uint64(KEY_BITS)
         spot = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
         again = (known[spot] == wanted) & (least[starts] != 0)
@@ -486,7 +499,7 @@ def repeats(
 ) -> DataFrame:
     """``report`` of every chunk and its covered items, over all chunks."""
     total = text_bytes(docs)
-    chunks = max(1, -(-total // sizes.chunk))
+    chunks = max(1, -(-total // sizes.chunk_of(total)))
     bits = max(0, (-(-total // sizes.bucket) - 1).bit_length())
     shards = max(1, -(-total // sizes.shard))
     texts = docs.select("doc_id", "text").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))

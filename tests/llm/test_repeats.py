@@ -3,12 +3,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lienspark.llm import suffix_array, suffix_automaton
-from lienspark.llm.repeats import Sizes
+from lienspark.llm.repeats import Sizes, _asks
 
-SMALL = Sizes(chunk=600, bucket=1500, shard=900, open=3000, occurrences=2)
+SMALL = Sizes(chunk=600, bucket=1500, shard=900, open=3000, occurrences=2, widest=600)
 
 
 def plain_bytes(rows):
@@ -93,6 +94,23 @@ def test_repeated_rows(table):
     assert sorted(r.n_removed for r in suffix_automaton.without_repeats(twice).collect()) == [0, 40, 40]
 
 
+@pytest.mark.parametrize("operator", [suffix_array, suffix_automaton])
+def test_anchors_spread_over_buckets(operator):
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(4000)) for _ in range(8)]
+    table = pa.table({"doc_id": pa.array(range(8), pa.int64()), "text": texts, "chunk": pa.array([0] * 8, pa.int32())})
+    asked = _asks(operator.KIND, 4)((pa.scalar(0),), table)
+    held = [len(low) // 4 for low in asked.column("low").to_pylist()]
+    assert asked.column("bucket").to_pylist() == list(range(16))
+    assert max(held) < 1.5 * sum(held) / 16
+
+
+def test_chunks_grow_with_buckets_to_a_bound():
+    sizes = Sizes()
+    assert [sizes.chunk_of(n << 20) >> 20 for n in (0, 1, 1 << 10, 48 << 10, 1 << 20, 1 << 30)] == [1, 1, 1, 3, 4, 4]
+    assert Sizes(chunk=8 << 20).chunk_of(1 << 40) == 8 << 20
+
+
 def test_buckets_are_equal_where_strings_are():
     items = np.random.default_rng(2).integers(0, 2, 900).astype(np.uint8)
     bounds = np.array([0, 300, 310, 900])
