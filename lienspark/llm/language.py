@@ -13,8 +13,8 @@ chosen by a hash, at ``TRAIN_WINDOWS`` places of the whole text. ``lang``,
 
 Nulls and corner cases: ``und`` with score 0 for a null text, a text without a
 letter, or if there was nothing to learn from; a null ``lang`` or ``doc_id`` is not
-learned from; with one language in training that one is predicted; repeated rows
-get equal results; an empty table gives an empty result; only ``doc_id``, ``text``
+learned from; with one language in training that one is predicted; of equal chances
+the language that sorts first (by code point) is taken; repeated rows get equal results; an empty table gives an empty result; only ``doc_id``, ``text``
 and, to learn, ``lang`` are read.
 """
 

@@ -1,3 +1,7 @@
+import math
+import random
+import zlib
+
 import numpy as np
 import pytest
 
@@ -73,3 +77,80 @@ def test_awkward_rows(awkward, nothing):
     assert language.predict(nothing, network).count() == 0
     assert language.train(nothing) is None
     assert {r.lang_pred for r in language.predict(awkward, None).collect()} == {"und"}
+
+
+def plain_chances(network, text):
+    """The mean over a text's bytes of the chances, one byte and unit after the other."""
+    w = {name: value.astype(float).tolist() for name, value in network.weights.items()}
+    hidden = len(w["forth_state"])
+
+    def clipped(x, low):
+        return min(max(x, low), 1.0)
+
+    def read(piece, way):
+        state, states = [0.0] * hidden, []
+        for byte in piece:
+            given = [row[byte] for row in w[f"{way}_in"]]
+            gates = [clipped(given[k] + sum(a * b for a, b in zip(row, state)), 0.0) for k, row in enumerate(w[f"{way}_gates"])]
+            held = [gate * old for gate, old in zip(gates[hidden:], state)]
+            new = [clipped(given[2 * hidden + k] + sum(a * b for a, b in zip(row, held)), -1.0) for k, row in enumerate(w[f"{way}_state"])]
+            state = [old + gate * (now - old) for old, gate, now in zip(state, gates, new)]
+            states.append(state)
+        return states
+
+    data, total = text.encode(), [0.0] * len(network.languages)
+    for low in range(0, len(data), STEPS):
+        piece = list(data[low : low + STEPS])
+        padding = [PAD] * (STEPS - len(piece))
+        forth, back = read(piece, "forth"), read(padding + piece[::-1], "back")[::-1]
+        for ahead, behind in zip(forth, back):
+            odds = [
+                sum(a * b for a, b in zip(w["forth_out"][k], ahead)) + sum(a * b for a, b in zip(w["back_out"][k], behind)) + w["out"][k][0]
+                for k in range(len(total))
+            ]
+            whole = sum(math.exp(x) for x in odds)
+            total = [t + math.exp(x) / whole for t, x in zip(total, odds)]
+    return [t / len(data) for t in total]
+
+
+@pytest.fixture(scope="module")
+def small():
+    rng = random.Random(4)
+    words = {"en": "the of and water".split(), "fr": "été le où garçon".split(), "de": "über und zwölf daß".split()}
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(1, 40))), lang) for i, lang in enumerate(list(words) * 12)]
+    return rows + [(100, None, "en"), (101, "", "fr"), (102, "12 + 3", "de"), (103, "the", None), (104, "und " * 300, "de"), (3, "le été", "en"), (None, "où", "xx")]
+
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def test_against_plain_network(table, small):
+    docs = table(small, SCHEMA)
+    network = language.train(docs)
+    expected = []
+    for i, text, _ in small:
+        if text and any(c.isalpha() for c in text):
+            chances = plain_chances(network, text)
+            expected.append((str(i), network.languages[int(np.argmax(chances))], max(chances)))
+        else:
+            expected.append((str(i), "und", 0.0))
+    found = [(str(r.doc_id), r.lang_pred, r.score) for r in language.predict(docs, network).collect()]
+    assert network.languages == ["de", "en", "fr"] and {x[1] for x in found} == {"de", "en", "fr", "und"}
+    for one, two in zip(sorted(found), sorted(expected), strict=True):
+        assert one[:2] == two[:2] and one[2] == pytest.approx(two[2], abs=1e-4)
+
+
+def test_held_out_rows_teach_nothing(table, small):
+    changed = [(i, "x" if (out := i is None or zlib.crc32(str(i).encode()) % 4 == 2) else text, "zz" if out else lang) for i, text, lang in small]
+    assert changed != small
+    one, two = (language.train(table(rows, SCHEMA)) for rows in (small, changed))
+    assert one.languages == two.languages
+    assert all((one.weights[name] == two.weights[name]).all() for name in one.weights)
+
+
+def test_equal_chances_go_to_the_language_that_sorts_first(table, small):
+    network = Network.fresh(["a", "b", "c"])
+    for name in ("forth_out", "back_out", "out"):
+        network.weights[name][:] = 0
+    found = language.predict(table(small, SCHEMA), network).collect()
+    assert {r.lang_pred for r in found} == {"a", "und"}
