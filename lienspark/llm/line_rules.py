@@ -171,4 +171,6 @@ FROM measured"""
 
 @registered("op6_quality_rules", ORACLE)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(read(spark, sf_dir, "documents")).drop("source")
+    """Base measures and verdict, and the words in boilerplate lines they rest on."""
+    found = judged(read(spark, sf_dir, "documents"))
+    return found.select(*(name for name in found.columns if name not in ("source", "n_boilerplate")), "n_boilerplate")

@@ -13,7 +13,7 @@ COLUMNS = {
     3: "doc_id item_id similarity first_word n_words",
     4: "doc_id class_id kept",
     5: "doc_id n_bytes n_removed n_spans kept_sha256",
-    6: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    6: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_boilerplate",
     7: "doc_id held_out score predicted",
     8: "doc_id held_out n_tokens n_known train_tokens base_score score",
     9: "doc_id n_words n_removed kept_sha256",
