@@ -8,7 +8,9 @@ use. The network is trained in numpy by backpropagation through time, with the
 document's language as the label of every byte.
 
 It learns from windows of about ``TRAIN_DOCUMENTS`` documents of each language,
-chosen by a hash, at ``TRAIN_WINDOWS`` places of the whole text. ``lang``,
+chosen by a hash, at ``TRAIN_WINDOWS`` places of the whole text; of the rows of one id
+and language it learns from the least text, so rows that repeat an id never add to what
+the driver holds. ``lang``,
 ``source`` and ``doc_id`` take no part in a prediction. Every text is read whole.
 
 Nulls and corner cases: ``und`` with score 0 for a null text, a text without a
@@ -199,7 +201,7 @@ def train(docs: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Network | None:
     labelled = docs.select("doc_id", "text", "lang").where(
         r"lang IS NOT NULL AND doc_id IS NOT NULL AND pmod(crc32(CAST(doc_id AS STRING)), 4) <> 2 AND text RLIKE '\\p{L}'"
     )
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count_distinct("doc_id").alias("n")).collect()}
     if not counts:
         return None
     draw = F.xxhash64("doc_id", F.lit(SEED))
@@ -207,6 +209,8 @@ def train(docs: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Network | None:
     unit = F.shiftrightunsigned(draw, 11).cast("double") / 2.0**53
     sample = (
         labelled.where(unit < chance[F.col("lang")])
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))
         .select("lang", "text", draw.alias("draw"))
         .mapInArrow(_samples, "lang string, draw long, piece binary")
         .toArrow()

@@ -148,6 +148,23 @@ def test_held_out_rows_teach_nothing(table, small):
     assert all((one.weights[name] == two.weights[name]).all() for name in one.weights)
 
 
+def test_repeated_ids_are_learned_from_once(table, small, monkeypatch):
+    """Copies of a row leave the network as it is; of two texts of an id the least teaches."""
+    (i, text, lang), other = small[0], "zzz"
+    assert zlib.crc32(str(i).encode()) % 4 != 2 and text < other
+    drawn = []
+    fit = language.train_network
+
+    def counted(windows, labels, languages):
+        drawn.append(len(windows))
+        return fit(windows, labels, languages, rounds=5)
+
+    monkeypatch.setattr(language, "train_network", counted)
+    one, two = (language.train(table(rows, SCHEMA)) for rows in (small, small + [(i, text, lang)] * 500 + [(i, other, lang)]))
+    assert drawn[0] == drawn[1]
+    assert all((one.weights[name] == two.weights[name]).all() for name in one.weights)
+
+
 def test_equal_chances_go_to_the_language_that_sorts_first(table, small):
     network = Network.fresh(["a", "b", "c"])
     for name in ("forth_out", "back_out", "out"):
