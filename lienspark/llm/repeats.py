@@ -494,6 +494,22 @@ def covered_items(chunk: Chunk, intervals: pa.Table) -> np.ndarray:
     return np.cumsum(change)[:-1] > 0
 
 
+SPANS = "array<struct<start: long, stop: long>>"
+
+
+def removed_spans(bounds: np.ndarray, covered: np.ndarray) -> pa.ListArray:
+    """Per row, the maximal runs of its covered items, from the row's first item."""
+    opens, closes = covered.copy(), covered.copy()
+    opens[1:] &= ~covered[:-1]
+    closes[:-1] &= ~covered[1:]
+    heads, ends = bounds[:-1][bounds[:-1] < len(covered)], bounds[1:][bounds[1:] > 0] - 1
+    opens[heads], closes[ends] = covered[heads], covered[ends]
+    start, stop = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    base = bounds[np.searchsorted(bounds[1:], start, "right")]
+    runs = pa.StructArray.from_arrays([pa.array(start - base), pa.array(stop - base)], ["start", "stop"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(start, bounds).astype(np.int32)), runs)
+
+
 def repeats(
     docs: DataFrame, kind: Kind, item_type: type, report: Callable[[Chunk, np.ndarray], pa.Table], schema: str, sizes: Sizes = Sizes()
 ) -> DataFrame:

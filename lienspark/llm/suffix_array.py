@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from lienspark.llm.registry import read, registered
-from lienspark.llm.repeats import Chunk, Found, Kind, Sizes, Stretches, byte_items, repeats
+from lienspark.llm.repeats import SPANS, Chunk, Found, Kind, Sizes, Stretches, byte_items, removed_spans, repeats
 
 LENGTH = 50
 Q = 5
@@ -133,6 +133,20 @@ def without_repeats(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     return repeats(docs, KIND, np.uint8, report, RESULT, sizes)
 
 
+def remaining(chunk: Chunk, covered: np.ndarray) -> pa.Table:
+    """Per row of a chunk, the bytes that are kept and the runs that are not."""
+    data = np.ascontiguousarray(chunk.items[~covered])
+    cuts = np.concatenate(([0], np.cumsum(~covered)))[chunk.bounds].tolist()
+    kept = pa.array([data[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+    return pa.table({"doc_id": chunk.table.column("doc_id"), "kept": kept, "spans": removed_spans(chunk.bounds, covered)})
+
+
+def deduplicated(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """``kept`` (bytes, since a run may end inside a character) and ``spans`` (removed
+    bytes) of every row, null texts being empty."""
+    return repeats(docs, KIND, np.uint8, remaining, f"doc_id long, kept binary, spans {SPANS}", sizes)
+
+
 # Bytes as pairs of hexadecimal digits; windows by a hash of theirs, as runs of starts.
 ORACLE = f"""
 WITH t AS (

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from lienspark.llm.registry import read, registered
-from lienspark.llm.repeats import Chunk, Found, Kind, Sizes, Stretches, repeats, word_items
+from lienspark.llm.repeats import SPANS, Chunk, Found, Kind, Sizes, Stretches, removed_spans, repeats, word_items
 from lienspark.llm.text import Words, utf8
 
 LENGTH = 20
@@ -155,6 +155,20 @@ def without_repeats(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     return repeats(docs, KIND, np.uint64, report, RESULT, sizes)
 
 
+def remaining(chunk: Chunk, covered: np.ndarray) -> pa.Table:
+    """Per row of a chunk, the words that are kept, joined, and the runs that are not."""
+    data, cuts = joined(Words(*utf8(chunk.table.column("text"))), ~covered)
+    cuts = cuts.tolist()
+    kept = pa.array([data[a : max(a, b - 1)].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.string())
+    return pa.table({"doc_id": chunk.table.column("doc_id"), "kept": kept, "spans": removed_spans(chunk.bounds, covered)})
+
+
+def deduplicated(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """``kept`` (words joined by a blank) and ``spans`` (removed words) of every row,
+    null texts being empty."""
+    return repeats(docs, KIND, np.uint64, remaining, f"doc_id long, kept string, spans {SPANS}", sizes)
+
+
 ORACLE = r"""
 WITH t AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),

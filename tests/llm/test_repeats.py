@@ -94,6 +94,35 @@ def test_repeated_rows(table):
     assert sorted(r.n_removed for r in suffix_automaton.without_repeats(twice).collect()) == [0, 40, 40]
 
 
+@pytest.mark.parametrize("sizes", [Sizes(), SMALL], ids=["one task", "many small tasks"])
+def test_kept_texts_and_spans(table, rows, sizes):
+    """What is kept has the plain search's digest, and is the text without its spans."""
+    docs = table(rows + [(6000, None), (6001, "")])
+    texts = dict(rows) | {6000: "", 6001: ""}
+    for operator, plain in ((suffix_array, plain_bytes), (suffix_automaton, plain_words)):
+        digest = {r[0]: r[-1] for r in plain(list(texts.items()))}
+        removed = {r[0]: r[2] for r in plain(list(texts.items()))}
+        found = operator.deduplicated(docs, sizes).collect()
+        assert len(found) == len(texts) and any(len(r.spans) > 1 for r in found)
+        for r in found:
+            whole = texts[r.doc_id].encode() if operator is suffix_array else re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id])
+            kept = bytes(r.kept) if operator is suffix_array else r.kept.encode()
+            assert hashlib.sha256(kept).hexdigest() == digest[r.doc_id]
+            assert sum(s.stop - s.start for s in r.spans) == removed[r.doc_id]
+            assert all(a.stop < b.start for a, b in zip(r.spans, r.spans[1:]))
+            gone = {i for s in r.spans for i in range(s.start, s.stop)}
+            left = [x for i, x in enumerate(whole) if i not in gone]
+            assert kept == (bytes(left) if operator is suffix_array else " ".join(left).encode())
+
+
+@pytest.mark.parametrize("operator", [suffix_array, suffix_automaton])
+def test_kept_texts_of_awkward_rows(awkward, nothing, operator):
+    found = operator.deduplicated(awkward)
+    digests = sorted((str(r.doc_id), hashlib.sha256(bytes(r.kept) if operator is suffix_array else r.kept.encode()).hexdigest()) for r in found.collect())
+    assert digests == sorted((str(r.doc_id), r.kept_sha256) for r in operator.without_repeats(awkward).collect())
+    assert operator.deduplicated(nothing).count() == 0
+
+
 @pytest.mark.parametrize("operator", [suffix_array, suffix_automaton])
 def test_anchors_spread_over_buckets(operator):
     rng = random.Random(7)
