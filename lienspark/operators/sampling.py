@@ -12,6 +12,10 @@ SAMPLE_ROWS = 10_000
 MAX_ZEROS = 12
 HASH_DIGITS = 32
 BROADCAST_GROUPS = 10_000
+# So many rows of a group are ranked by one task; of more, those of one start of their
+# hash, which has so many digits behind its zeros.
+RANKED_ROWS = 200_000
+EDGE_DIGITS = 4
 
 
 def sample_quality(fact: DataFrame) -> DataFrame:
@@ -74,6 +78,49 @@ def random_rows(
     return rows.where(zeros >= cut.scalar()).orderBy(hashed, id_column).limit(n)
 
 
+def _few(groups: DataFrame) -> DataFrame:
+    """Rows of groups, found at once and broadcast up to ``BROADCAST_GROUPS``."""
+    found = groups.limit(BROADCAST_GROUPS + 1).collect()
+    if len(found) > BROADCAST_GROUPS:
+        return groups
+    return F.broadcast(groups.sparkSession.createDataFrame(found, groups.schema))
+
+
+def _first_drawn(drawn: DataFrame, group: str, n: int, id_column: str) -> DataFrame:
+    """The ``n`` rows of each group first in the order of ``draw``, a hash.
+
+    Rows with enough zeros are near. Where no group has more than ``n`` of them they
+    are all wanted, and nothing is ordered. Where a group has more than ``RANKED_ROWS``
+    they are counted by the start of their hash: what starts lower than where the
+    n-th row lies is wanted whole, and only rows that start like it are ranked.
+    """
+    zeros = _zeros(F.col("draw"))
+    by_zeros = _counted(drawn, zeros, group).groupBy(F.col(group).alias("_of"))
+    least = F.array(*(F.sum(F.when(F.col("zeros") >= k, F.col("n_rows"))) for k in range(MAX_ZEROS + 1)))
+    cuts = by_zeros.agg(_cut(n).alias("_cut"), least.alias("_least"))
+    cuts = _few(cuts.select("_of", "_cut", F.get("_least", F.col("_cut")).alias("_near")))
+    most = cuts.agg(F.max("_near")).first()[0] or 0
+    near = drawn.join(cuts, F.col(group).eqNullSafe(F.col("_of"))).where(zeros >= F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("draw", id_column))
+    if most <= n:
+        first = near
+    elif most <= RANKED_ROWS:
+        first = near.withColumn("_place", place).where(F.col("_place") <= n)
+    else:
+        crowded = F.col("_near") > n
+        start = F.substring("draw", F.lit(1), F.col("_cut") + EDGE_DIGITS).alias("_edge")
+        starts = near.where(crowded).groupBy("_of", start).agg(F.count("*").alias("_n"))
+        line = Window.partitionBy("_of").orderBy("_edge").rowsBetween(Window.unboundedPreceding, 0)
+        left = F.lit(n) - (F.sum("_n").over(line) - F.col("_n"))
+        edges = starts.withColumn("_left", left).where(F.col("_left").between(1, F.col("_n")))
+        edges = _few(edges.select(F.col("_of").alias("_at"), "_edge", "_left"))
+        near = near.join(edges, F.col("_of").eqNullSafe(F.col("_at")), "left")
+        whole = near.where(~crowded | (F.col("draw") < F.col("_edge")))
+        edge = near.where(crowded & F.col("draw").startswith(F.col("_edge")))
+        first = whole.unionByName(edge.withColumn("_place", place).where(F.col("_place") <= F.col("_left")).drop("_place"))
+    return first.select(*drawn.columns)
+
+
 def random_rows_by(
     rows: DataFrame,
     group: str,
@@ -84,22 +131,20 @@ def random_rows_by(
 ) -> DataFrame:
     """The ``n`` rows of each group first in the order of their hash, with ``draw``, the hash.
 
-    Of samples of all groups ``merged_rows`` makes one of all rows. A group has
-    about 16 n rows to sort at most, as in ``random_rows``. The first pass runs at
-    once; its result, a row for each group, is broadcast up to ``BROADCAST_GROUPS``.
+    Of samples of all groups ``merged_rows`` makes one of all rows. A task ranks
+    ``RANKED_ROWS`` at most, or one of 16 ** ``EDGE_DIGITS`` parts of about 16 n rows,
+    and none where no group has more than ``n``. The passes that count run at once;
+    their results, a row for each group, are broadcast up to ``BROADCAST_GROUPS``.
     """
-    spark = rows.sparkSession
     hashed = _hashed(id_column, seed, reproducible)
-    cuts = _counted(rows, _zeros(hashed), group).groupBy(F.col(group).alias("_of")).agg(_cut(n).alias("_cut"))
-    few = cuts.limit(BROADCAST_GROUPS + 1).collect()
-    if len(few) <= BROADCAST_GROUPS:
-        cuts = F.broadcast(spark.createDataFrame(few, cuts.schema))
-    drawn = rows.withColumn("draw", hashed)
-    near = drawn.join(cuts, F.col(group).eqNullSafe(F.col("_of"))).where(_zeros(F.col("draw")) >= F.col("_cut"))
-    place = F.row_number().over(Window.partitionBy(group).orderBy("draw", id_column))
-    return near.withColumn("_place", place).where(F.col("_place") <= n).drop("_of", "_cut", "_place")
+    return _first_drawn(rows.withColumn("draw", hashed), group, n, id_column)
 
 
 def merged_rows(samples: DataFrame, n: int = SAMPLE_ROWS, id_column: str = "id") -> DataFrame:
-    """The ``n`` rows of all groups that ``random_rows`` draws, from a sample of each group."""
-    return samples.orderBy("draw", id_column).limit(n).drop("draw")
+    """The ``n`` rows of all groups that ``random_rows`` draws, from a sample of each group.
+
+    They are chosen before they are ordered, so the order needs no limit, which would
+    bring all of them to one task.
+    """
+    first = _first_drawn(samples.withColumn("_all", F.lit(0)), "_all", n, id_column)
+    return first.orderBy("draw", id_column).drop("draw", "_all")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lienspark.functions import cost_category, risk_segment
 from lienspark.functions.segments import HIGH_DTI, HIGH_LTV, MEDIUM_LTV
+from lienspark.operators.layout import GATHER_SETTINGS, gather_by
 from lienspark.operators.lookups import LOOKUPS, describe
 from lienspark.operators.quality import (
     accepted_values_failures,
@@ -47,8 +48,6 @@ SUMMARY_LOOKUPS = ("loan_purpose", "state_mapping")
 SEGMENT_VALUES = {"risk_segment": RISK_SEGMENTS}
 FACT_VALUES = {"risk_segment": RISK_SEGMENTS, "cost_category": COST_CATEGORIES}
 SOURCE_KEYS = ["data_year", "state_code"]
-# Stored parts are small: groups by code, and as many loans as a sample has.
-PART_FILES = 8
 
 
 def segmented(staging: DataFrame, dti_scale: float = 1) -> DataFrame:
@@ -239,11 +238,16 @@ def _refresh(
     year: int | None,
     test: Callable[[DataFrame], None],
 ) -> DataFrame:
-    """Replace a year of stored parts, or all, once tested; returns those of every year."""
+    """Replace a year of stored parts, or all, once tested; returns those of every year.
+
+    They are gathered by their first column, so a few make one file, and a sample as
+    large as the table as many tasks as it needs.
+    """
     spark = rows.sparkSession
     generations.create(spark, table, types)
     typed = rows.select(*(F.col(name).cast(kind) for name, kind in types.items()))
-    generations.replace(typed.coalesce(PART_FILES), table, year, WIDE_ROW_SETTINGS, test)
+    gathered = gather_by(typed, next(iter(types)))
+    generations.replace(gathered, table, year, GATHER_SETTINGS | WIDE_ROW_SETTINGS, test)
     return spark.table(table)
 
 

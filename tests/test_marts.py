@@ -378,6 +378,61 @@ def test_samples_of_groups_merge_to_the_sample_of_all(spark, monkeypatch, groups
     assert merged_rows(parts, 300).collect() == whole
 
 
+@pytest.mark.parametrize("groups", [sampling.BROADCAST_GROUPS, 0])
+@pytest.mark.parametrize("n", [1, 300, 9_000, 19_999, 20_000, 2**31 - 1])
+def test_large_samples_are_those_of_the_full_order(spark, monkeypatch, groups, n):
+    monkeypatch.setattr(sampling, "BROADCAST_GROUPS", groups)
+    monkeypatch.setattr(sampling, "RANKED_ROWS", 0)
+    monkeypatch.setattr(sampling, "EDGE_DIGITS", 2)
+    rows = spark.range(0, 30_000, 1, 8).withColumn("g", F.when(F.col("id") < 20_000, 1).when(F.col("id") < 20_050, 2))
+    parts = random_rows_by(rows, "g", n, reproducible=True)
+    assert parts.columns == ["id", "g", "draw"]
+    wanted = {}
+    for row in rows.withColumn("draw", F.md5(F.col("id").cast("string"))).collect():
+        wanted.setdefault(row.g, []).append((row.draw, row.id))
+    found = {}
+    for row in parts.collect():
+        found.setdefault(row.g, []).append((row.draw, row.id))
+    assert {g: sorted(own) for g, own in found.items()} == {g: sorted(own)[:n] for g, own in wanted.items()}
+    order = sorted(pair for own in wanted.values() for pair in own)
+    assert [row.id for row in merged_rows(parts, n).collect()] == [i for _, i in order[:n]]
+
+
+@pytest.mark.parametrize("n", [3, 500, 1_500])
+def test_samples_of_equal_and_missing_ids(spark, monkeypatch, n):
+    monkeypatch.setattr(sampling, "RANKED_ROWS", 0)
+    rows = spark.range(0, 2_000, 1, 8).select(F.lit(2024).alias("g"), F.when(F.col("id") % 2 == 0, F.col("id") % 6).alias("id"))
+    parts = random_rows_by(rows, "g", n, reproducible=True)
+    draws = sorted(row[0] for row in rows.select(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))).collect())
+    assert sorted(row.draw for row in parts.collect()) == draws[:n]
+    assert merged_rows(parts, n).count() == n
+    assert random_rows_by(rows.where("false"), "g", n).isEmpty() and merged_rows(parts.where("false"), n).isEmpty()
+
+
+def test_a_sample_of_all_rows_is_not_brought_to_one_task(spark, plan_of):
+    rows = spark.range(0, 5_000, 1, 8).withColumn("g", F.lit(2024))
+    parts = random_rows_by(rows, "g", 2**31 - 1)
+    assert "Window" not in plan_of(parts)
+    assert "Limit" not in plan_of(merged_rows(parts, 2**31 - 1))
+
+
+def test_ranked_rows_are_those_where_the_sample_ends(spark, monkeypatch, plan_of):
+    monkeypatch.setattr(sampling, "RANKED_ROWS", 1_000)
+    rows = spark.range(0, 50_000, 1, 8).withColumn("g", F.lit(2024))
+    plan = plan_of(random_rows_by(rows, "g", 20_000)).split("== Physical Plan ==")[1]
+    assert "Window" in plan and "Union" in plan and "StartsWith" in plan.replace("startswith", "StartsWith")
+
+
+@pytest.mark.parametrize(("n_rows", "least", "most"), [(300_000, 9, 1_000), (20, 1, 1)])
+def test_stored_parts_have_as_many_files_as_they_need(spark, monkeypatch, n_rows, least, most):
+    monkeypatch.setitem(marts.GATHER_SETTINGS, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    table = f"parts_{fresh_path(spark, 'p').split('/')[-2]}"
+    rows = spark.range(0, n_rows, 1, 8).select("id", F.md5(F.col("id").cast("string")).alias("draw"), F.lit(2024).alias("data_year"))
+    types = {"id": "bigint", "draw": "string", "data_year": "int"}
+    stored = marts._refresh(rows, table, types, None, lambda written: None)
+    assert stored.count() == n_rows and least <= len(stored.inputFiles()) <= most
+
+
 def test_failed_build_keeps_the_old_tables(spark, monkeypatch):
     table, location = loan_table(spark, fact_rows(spark, 40))
     names = build_marts(spark, table, base=table, root=f"{location}_marts")
