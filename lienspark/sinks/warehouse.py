@@ -41,7 +41,8 @@ def replace_year(
     The new rows are written beside the old ones and take their place in one step
     when all tasks are done, states that vanish and states that come alike. Each
     task writes its rows as they come; ``batch_rows`` starts a new file after as
-    many. Returns one row: ``rows_removed`` and ``rows_loaded``.
+    many, whose bloom filter is as large as that many lenders need and not the whole
+    megabyte it may take. Returns one row: ``rows_removed`` and ``rows_loaded``.
     """
     spark = loans.sparkSession
     year = int(year)
@@ -54,6 +55,8 @@ def replace_year(
     )
     removed = _rows_of(spark, table, year)
     batches = {"spark.sql.files.maxRecordsPerFile": str(batch_rows or 0)}
+    if batch_rows:
+        batches[f"parquet.bloom.filter.expected.ndv#{TABLE_BLOOM_COLUMN}"] = str(batch_rows)
     generations.replace(values, table, year, batches | GATHER_SETTINGS | WIDE_ROW_SETTINGS)
     return spark.range(1).select(
         F.lit(removed).cast("bigint").alias("rows_removed"),

@@ -86,6 +86,15 @@ def test_batches_become_files(spark, table):
     assert spark.table(table).agg(F.count_distinct("id")).first()[0] == 10
 
 
+def test_filters_of_small_batches_are_small(spark, table):
+    rows = staging(spark, *(loan("CA", lei=f"L{i:05d}") for i in range(40))).coalesce(1)
+    load_year(rows, table, 2023, batch_rows=4)
+    files = [file.removeprefix("file:") for file in spark.table(table).inputFiles()]
+    assert len(files) == 10 and max(map(os.path.getsize, files)) < 50_000
+    for i in (0, 17, 39):
+        assert spark.table(table).where(F.col("lei") == f"L{i:05d}").count() == 1
+
+
 def test_odd_states_keep_their_place(spark, table):
     odd = staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0))
     load_year(odd, table, 2023, require_state=False)
