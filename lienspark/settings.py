@@ -15,6 +15,12 @@ from pyspark.sql import SparkSession
 COMPILED_METHOD_BYTES = "8000"
 WIDE_ROW_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": COMPILED_METHOD_BYTES}
 
+# A task of a partitioned write keeps a file open for each of its partitions, so its
+# rows need no sort, which would hold all of them in memory. Only rows of partitions
+# beyond this number are sorted.
+OPEN_FILES = "100"
+OPEN_FILES_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}
+
 _local_folders: dict[str, str] = {}
 
 

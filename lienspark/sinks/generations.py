@@ -26,7 +26,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lienspark.settings import session_conf
+from lienspark.settings import OPEN_FILES_SETTINGS, session_conf
 from lienspark.sinks.folders import create_file, delete_folder, folders_like, make_folder
 
 GENERATION, YEAR, ALL = "generation", "data_year", "all"
@@ -171,7 +171,7 @@ def replace(
     keys = [*own, *(name for name in partitions if name not in (GENERATION, YEAR))]
     chosen = ", ".join(f"`{name}`" for name in names)
     try:
-        with session_conf(spark, settings or {}):
+        with session_conf(spark, OPEN_FILES_SETTINGS | (settings or {})):
             spark.sql(
                 f"INSERT INTO {rows_table(table)} PARTITION ({', '.join(keys)}) "
                 f"SELECT {chosen} FROM {{rows}}",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lienspark.operators.layout import GATHER_SETTINGS, cluster_by, gather_by
 from lienspark.schemas import PARTITION_KEYS
-from lienspark.settings import WIDE_ROW_SETTINGS, session_conf
+from lienspark.settings import OPEN_FILES_SETTINGS, WIDE_ROW_SETTINGS, session_conf
 from lienspark.sinks.folders import replace_folder
 
 
@@ -19,13 +19,15 @@ def write_by_state(loans: DataFrame, path: str, gather: bool = True) -> DataFram
     Rows in any order need one shuffle, or every task would write a small file
     for every state. Loans read from a folder that is already partitioned by
     state come in tasks of few states each: ``gather=False`` writes them as they
-    are, without a shuffle. A write that fails leaves the old folder in place.
+    are, without a shuffle. A task writes its states side by side, unsorted, so it
+    holds the open files' buffers and not its rows. A write that fails leaves the
+    old folder in place.
     """
     spark = loans.sparkSession
     report = Observation(f"write-{uuid.uuid4().hex}")
     rows = gather_by(loans, "state_code") if gather else loans
     rows = rows.observe(report, F.count(F.lit(1)).alias("rows_loaded"))
-    with session_conf(spark, GATHER_SETTINGS | WIDE_ROW_SETTINGS):
+    with session_conf(spark, GATHER_SETTINGS | OPEN_FILES_SETTINGS | WIDE_ROW_SETTINGS):
         replace_folder(spark, path, rows.write.partitionBy("state_code").parquet)
     return spark.range(1).select(
         F.lit(len(loans.columns)).alias("n_columns"),

@@ -1,5 +1,6 @@
 import glob
 import os
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,11 +10,11 @@ from lienspark.operators.quality import DataTestFailure
 from lienspark.operators.surrogate import YEAR_SHIFT, add_surrogate_id, year_start
 from lienspark.plans.load import load_year, shape_for_load
 from lienspark.schemas import LOAD_COLUMNS, WAREHOUSE_TYPES
-from lienspark.settings import fresh_path, session_conf
+from lienspark.settings import OPEN_FILES_SETTINGS, fresh_path, session_conf
 from lienspark.sinks import generations
 from lienspark.sinks.generations import committed, place_of, rows_table, show_current
 from lienspark.sinks.lake import count_files, publish_year, write_by_state, write_clustered
-from lienspark.sinks.warehouse import create_loan_table, partition_keys
+from lienspark.sinks.warehouse import create_loan_table, partition_keys, written_files
 from lienspark.sources.lake import read_loans
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -95,6 +96,43 @@ def test_filters_of_small_batches_are_small(spark, table):
         assert spark.table(table).where(F.col("lei") == f"L{i:05d}").count() == 1
 
 
+def test_states_are_written_side_by_side(spark, table, monkeypatch):
+    from lienspark.sinks import lake
+
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    for module in (lake, generations):
+
+        @contextmanager
+        def noted(session, settings, keep=module.session_conf):
+            with keep(session, settings):
+                seen.append(session.conf.get(name))
+                yield
+
+        monkeypatch.setattr(module, "session_conf", noted)
+    before = spark.conf.get(name)
+    write_by_state(staging(spark, loan("CA"), loan("TX")), fresh_path(spark, "beside"))
+    load_year(staging(spark, loan("CA"), loan("TX")), table, 2023)
+    assert len(seen) == 2 and min(map(int, seen)) >= 60
+    assert spark.conf.get(name) == before
+
+
+@pytest.mark.parametrize("open_files", ["1", "3", "100"])
+def test_more_states_than_open_files(spark, table, monkeypatch, open_files):
+    monkeypatch.setitem(OPEN_FILES_SETTINGS, "spark.sql.maxConcurrentOutputFileWriters", open_files)
+    states = ["CA", None, "TX", "NY", "CO", "WA", "PR"]
+    rows = staging(spark, *(loan(states[i % 7], float(i)) for i in range(70))).coalesce(1)
+    path = fresh_path(spark, "many")
+    report = write_by_state(rows, path, gather=False).first()
+    assert (report.rows_loaded, report.n_files) == (70, 7)
+    written = {r.state_code: r[1] for r in read_loans(spark, path).groupBy("state_code").agg(F.sum("loan_amount")).collect()}
+    assert written == {state: sum(float(i) for i in range(70) if states[i % 7] == state) for state in states}
+    load_year(rows, table, 2023, batch_rows=4, require_state=False)
+    assert {state: amount for (_, state), amount in contents(spark, table).items()} == written
+    files = {(r.state_code, r.file): r.n_rows for r in written_files(spark, table, 2023).collect()}
+    assert len(files) == 7 * 3 and sorted({*files.values()}) == [2, 4]
+    assert spark.table(table).agg(F.count_distinct("id")).first()[0] == 70
+
+
 def test_odd_states_keep_their_place(spark, table):
     odd = staging(spark, loan("NA", 1.0), loan(None, 2.0), loan("A/'", 3.0))
     load_year(odd, table, 2023, require_state=False)
