@@ -397,6 +397,33 @@ def snk11_files(spark, sf_dir):
     return years.withColumn("narrow", narrow).drop("mean_width", "n_files")
 
 
+# Ids that one task compares; it sorts them with the others' and groups them.
+TASK_IDS = 400_000
+
+
+def id_report(rows: DataFrame, others: DataFrame, start: int, reading: str) -> DataFrame:
+    """Counts of one reading's ids, and of those that are alike in ``others``.
+
+    Keys and ids are dealt to as many tasks as their number needs: left to the
+    session they come to about as many tasks as there are cores, and what a task
+    holds grows with the table.
+    """
+    tasks = max(1, -(-rows.count() // TASK_IDS))
+    joined = rows.repartition(tasks, "k").join(others.repartition(tasks, "k"), "k", "left")
+    alike = F.count_if(F.col("id") == F.col("other"))
+    each = joined.repartition(tasks, "id").groupBy("id").agg(F.count("*").alias("n"), alike.alias("alike"))
+    none = F.lit(0).cast("bigint")
+    return each.agg(
+        F.lit(reading).alias("reading"),
+        F.coalesce(F.sum("n"), none).alias("n_rows"),
+        F.count("id").alias("n_ids"),
+        F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("n"))), none).alias("n_null"),
+        (F.min("id") - start).alias("first_number"),
+        (F.max("id") - start).alias("last_number"),
+        F.coalesce(F.sum("alike"), none).alias("n_alike"),
+    )
+
+
 @registered(
     "snk9_surrogate_id",
     after(
@@ -419,18 +446,7 @@ def snk9(spark, sf_dir):
     with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}):
         ids["in small tasks"] = numbered("ids_again")
     others = ids["as it is"].select("k", F.col("id").alias("other"))
-    results = [
-        rows.join(others, "k", "left").agg(
-            F.lit(reading).alias("reading"),
-            F.count("*").alias("n_rows"),
-            F.count_distinct("id").alias("n_ids"),
-            F.count_if(F.col("id").isNull()).alias("n_null"),
-            (F.min("id") - start).alias("first_number"),
-            (F.max("id") - start).alias("last_number"),
-            F.count_if(F.col("id") == F.col("other")).alias("n_alike"),
-        )
-        for reading, rows in ids.items()
-    ]
+    results = [id_report(rows, others, start, reading) for reading, rows in ids.items()]
     return results[0].unionAll(results[1])
 
 

@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -16,6 +17,8 @@ from lienspark.sinks.generations import committed, place_of, rows_table, show_cu
 from lienspark.sinks.lake import count_files, publish_year, write_by_state, write_clustered
 from lienspark.sinks.warehouse import create_loan_table, partition_keys, written_files
 from lienspark.sources.lake import read_loans
+from lienspark_checks import job_queries
+from lienspark_checks.registry import QUERIES
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -513,3 +516,27 @@ def test_clustered_files_are_narrow_and_cut_a_hot_state(spark, monkeypatch):
     assert sum(row.n for row in per_file) == 120_000
     assert max(row.n for row in per_file) < 40_000
     assert sum(row.states > 1 for row in per_file) <= 1
+
+
+def test_ids_are_compared_in_as_many_tasks_as_they_need(spark, tmp_path, plan_of, monkeypatch):
+    monkeypatch.setattr(job_queries, "TASK_IDS", 20, raising=False)
+    orders = "id o_orderkey, id % 40 o_custkey, 'F' o_orderstatus, 1.0D + id o_totalprice, timestamp'1997-03-04' o_orderdate"
+    spark.range(130).selectExpr(*orders.split(", ")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(40).selectExpr("id c_custkey", "id % 25 c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    frame = QUERIES["snk9_surrogate_id"](spark, str(tmp_path))
+    dealt = re.findall(r"hashpartitioning\((k|id)#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan_of(frame))
+    assert {*dealt} == {("k", "7"), ("id", "7")}
+    counts = (130, 130, 0, 1, 130, 130)
+    assert sorted(map(tuple, frame.collect())) == [("as it is", *counts), ("in small tasks", *counts)]
+
+
+def test_id_report_of_repeated_and_missing_ids(spark):
+    def rows(text):
+        return spark.sql(f"SELECT * FROM VALUES {text} AS t(k, id)")
+
+    ids = rows("(1L, 101L), (1L, 102L), (2L, 102L), (NULL, 104L), (5L, NULL)")
+    others = ids.withColumnRenamed("id", "other")
+    report = job_queries.id_report(ids, others, 100, "own").first()
+    assert tuple(report) == ("own", 7, 3, 1, 1, 4, 3)
+    empty = job_queries.id_report(ids.limit(0), others, 100, "none").first()
+    assert tuple(empty) == ("none", 0, 0, 0, None, None, 0)
